@@ -36,3 +36,8 @@ def constant_lookup(table: Mapping[str, object], value_type: str) -> Callable[[C
         return F.element_at(F.element_at(literal, slot), key)
 
     return look_up
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), 0)

@@ -9,10 +9,10 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from trendlake.constants import DOMAIN_STOP_WORDS
-from trendlake.functions.lookup import constant_lookup
+from trendlake.functions.lookup import constant_lookup, let
 
 WORD = r"\p{L}\p{N}_"
-DIGIT_TOKEN = r"^[\p{Nd}\x{B2}\x{B3}\x{B9}\x{2070}\x{2074}-\x{2079}\x{2080}-\x{2089}]+$"
+DIGIT = r"0-9\p{Nd}\x{B2}\x{B3}\x{B9}\x{2070}\x{2074}-\x{2079}\x{2080}-\x{2089}"
 _ENTITY = r"^&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 _LEGACY_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
 _NODE_BREAK = "\u0001"
@@ -62,23 +62,27 @@ def unescape_html(text: Column) -> Column:
     named = constant_lookup(html5, "string")
     legacy = "^(" + "|".join(_LEGACY_NAMES) + ")"
 
-    def decode(piece: Column) -> Column:
-        body = F.regexp_extract(piece, _ENTITY, 1)
-        rest = F.substring(piece, F.length(body) + 2, F.length(piece))
-        prefix = F.regexp_extract(body, legacy, 1)
-        return (
-            F.when(body == "", piece)
-            .when(F.startswith(body, F.lit("#")), F.concat(_numeric_entity(body), rest))
-            .when(named(body).isNotNull(), F.concat(named(body), rest))
-            .when(
-                prefix != "",
-                F.concat(named(prefix), F.substring(piece, F.length(prefix) + 2, F.length(piece))),
-            )
-            .otherwise(piece)
+    def decode(piece: Column, body: Column) -> Column:
+        """A piece starts at an ampersand; ``body`` is the entity behind it, if there is one."""
+        names = F.array(body, F.regexp_extract(body, legacy, 1))
+        known = F.filter(
+            F.transform(names, lambda n: F.struct(n.alias("name"), named(n).alias("value"))), lambda n: n["value"].isNotNull()
         )
 
-    pieces = F.split(text, "(?=&)")
-    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, decode), "")).otherwise(text)
+        def after(used: Column) -> Column:
+            return F.substring(piece, F.length(used) + 2, F.length(piece))
+
+        return F.when(F.startswith(body, F.lit("#")), F.concat(_numeric_entity(body), after(body))).otherwise(
+            let(F.get(known, 0), lambda n: F.coalesce(F.concat(n["value"], after(n["name"])), piece))
+        )
+
+    def read(piece: Column) -> Column:
+        return F.when(
+            piece.rlike("^&[#a-zA-Z]"), let(F.regexp_extract(piece, _ENTITY, 1), lambda body: decode(piece, body))
+        ).otherwise(piece)
+
+    decoded = F.array_join(F.transform(F.split(text, "(?=&)"), read), "")
+    return F.when(text.rlike("&[#a-zA-Z]"), decoded).otherwise(text)
 
 
 def strip_html(text: Column) -> Column:
@@ -104,21 +108,33 @@ def remove_photo_credit(text: Column) -> Column:
     return F.regexp_replace(text, r"^.{0,300}? \| \S+(?:\s\S+){0,2} (?=[A-Z])", "")
 
 
+def plain_text(text: Column) -> Column:
+    """Entities decoded, URLs to a space, lower case."""
+
+    def remove_urls(decoded: Column) -> Column:
+        bare = F.regexp_replace(decoded, r"https?://\S+|www\.\S+", " ")
+        return F.when(F.contains(decoded, F.lit("://")) | F.contains(decoded, F.lit("www.")), bare).otherwise(decoded)
+
+    return F.lower(let(unescape_html(text), remove_urls))
+
+
 def normalise(text: Column) -> Column:
-    """Entities decoded, URLs gone, lower case, punctuation and white space to one space."""
-    plain = F.regexp_replace(unescape_html(text), r"https?://\S+|www\.\S+", " ")
-    return F.trim(F.regexp_replace(F.lower(plain), f"[^{WORD}]+", " "))
+    """Plain text with punctuation and white space as one space."""
+    return F.trim(F.regexp_replace(plain_text(text), f"[^{WORD}]+", " "))
 
 
-def clean_tokens(text: Column, stop_words: Iterable[str]) -> Column:
-    """Content words of a raw text, in order."""
-    stop = sorted({w for w in stop_words if " " not in w})
+def is_number(token: Column) -> Column:
+    """Digits only. A word that starts with an ASCII letter skips the pattern."""
+    return ((token < ":") | (token > "\x7f")) & token.rlike(f"^[{DIGIT}]+$")
 
-    def keep(token: Column) -> Column:
-        kept = (F.length(token) > 1) & ~token.rlike(DIGIT_TOKEN)
-        return kept & ~token.isin(stop) if stop else kept
 
-    return F.filter(F.split(normalise(text), " "), keep)
+def clean_tokens(text: Column, stop_words: Iterable[str]) -> Column:
+    """Content words of a raw text, in order: two characters or more, no number, no stop word."""
+    stop = sorted({w for w in stop_words if " " not in w})
+    # The common case first: a word that starts with a letter cannot be a number.
+    pattern = rf"[\p{{L}}_][{WORD}]+|(?![{DIGIT}]++(?![{WORD}]))[{WORD}]{{2,}}"
+    words = F.regexp_extract_all(plain_text(text), F.lit(pattern), F.lit(0))
+    return F.filter(words, lambda token: ~token.isin(stop)) if stop else words
 
 
 def clean_text(text: Column, stop_words: Iterable[str]) -> Column:

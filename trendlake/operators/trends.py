@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendlake.constants import DIETARY_LABELS, POSITIVE_FROM
-from trendlake.functions.text import DIGIT_TOKEN, tokens_of
+from trendlake.functions.text import is_number, tokens_of
 from trendlake.functions.values import half_up, percent, positive_or_not, present_columns, published_date
 from trendlake.operators.keywords import ranked
 from trendlake.operators.longform import long_rows, story_row
@@ -154,7 +154,7 @@ def buzz_words(scored: DataFrame, text: str, top_n: int = 20) -> DataFrame:
     source = scored if positive.isEmpty() else positive
     words = source.select(tokens_of(F.col(text)).alias("words")).select(F.explode("words").alias("term"))
     counted = (
-        words.filter((F.length("term") > 3) & ~F.col("term").rlike(DIGIT_TOKEN))
+        words.filter((F.length("term") > 3) & ~is_number(F.col("term")))
         .groupBy("term").agg(F.count("*").alias("n"))
     )
     return ranked(counted, top_n, "n").select("rank", "term", "n")
