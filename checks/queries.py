@@ -12,6 +12,7 @@ from trendlake.operators import dedupe, entities, keywords, profile, search, tre
 from trendlake.operators.quantiles import exact_quantiles
 from trendlake.plans import serving
 from trendlake.plans.governance import ingestion_facts
+from trendlake.session import written_once
 from trendlake.sources import batches, drift, landed, partitions
 from trendlake.streaming.articles import weekly_windows
 
@@ -276,7 +277,7 @@ def source_comparison(t: Tables):
 
 @query
 def buzz_words(t: Tables):
-    return trends.buzz_words(t.scored(), TEXT)
+    return trends.buzz_words(t.stored_scored(), TEXT)
 
 
 @query
@@ -292,7 +293,7 @@ def trend_alignment_articles(t: Tables):
         F.concat_ws("-", "conv_id", "turn").alias("id"), F.col("text").alias("title"), F.col("role").alias("cuisines"),
         F.lit(None).cast("string").alias("dishTypes"), F.length("text").alias("spoonacularScore"), F.col("turn").alias("aggregateLikes"),
     )
-    rows = facts(trends.trend_alignment(turns, trends.buzz_words(t.scored(), TEXT), q.RUN_TS))
+    rows = facts(trends.trend_alignment(turns, trends.buzz_words(t.stored_scored(), TEXT), q.RUN_TS))
     return rows.filter(F.col("metric").isin("trend_score", "matched_keywords")).select(
         "dimension_value", "metric", "value", F.when(F.col("metric") == "matched_keywords", F.col("label")).alias("label")
     )
@@ -302,25 +303,25 @@ def trend_alignment_articles(t: Tables):
 
 @query
 def tfidf_scores(t: Tables):
-    rows = keywords.tfidf_scores(t.articles(), TEXT)
+    rows = keywords.tfidf_scores(t.stored_articles(), TEXT)
     return rows.select("term", "total", values.half_up(F.col("score"), 6).alias("score"))
 
 
 @query
 def tfidf_top_keywords(t: Tables):
-    return facts(keywords.top_keywords(keywords.top_terms(t.articles(), TEXT, 20), q.RUN_TS))
+    return facts(keywords.top_keywords(keywords.top_terms(t.stored_articles(), TEXT, 20), q.RUN_TS))
 
 
 @query
 def tfidf_topic_keywords(t: Tables):
-    rows = keywords.trending_keywords(t.articles(), [TEXT, "article_title_clean"], 10, q.VOCABULARY)
+    rows = keywords.trending_keywords(t.stored_articles(), [TEXT, "article_title_clean"], 10, q.VOCABULARY)
     return rows.select("rank", "term", values.half_up(F.col("score"), 6).alias("score"))
 
 
 @query
 def frequency_keywords(t: Tables):
     """Fewer than three topic words pass, so the frequency ranking is used."""
-    rows = keywords.trending_keywords(t.articles(), [TEXT, "article_title_clean"], 10, ["that", "absent"])
+    rows = keywords.trending_keywords(t.stored_articles(), [TEXT, "article_title_clean"], 10, ["that", "absent"])
     return rows.select("rank", "term", "score")
 
 
@@ -337,13 +338,13 @@ def conversation_bigrams(t: Tables):
 
 @query
 def keyword_sentiment(t: Tables):
-    scored = t.scored()
+    scored = t.stored_scored()
     return facts(keywords.keyword_sentiment(scored, TEXT, keywords.top_terms(scored, TEXT, 15), q.RUN_TS))
 
 
 @query
 def keyword_sentiment_words(t: Tables):
-    scored = t.scored()
+    scored = t.stored_scored()
     terms = keywords.top_terms(scored, TEXT, 15)
     return facts(keywords.keyword_sentiment(scored, TEXT, terms, q.RUN_TS, whole_words=True))
 
@@ -383,7 +384,7 @@ def vector_vocab_filter(t: Tables):
 def topic_terms(t: Tables):
     """Words of the documents with a vector: word number n of the ranking gets vector n."""
     order = Window.orderBy(F.desc("total"), "term")
-    scores = keywords.tfidf_scores(t.articles(), TEXT)
+    scores = keywords.tfidf_scores(t.stored_articles(), TEXT)
     named = scores.withColumn("vec_id", F.row_number().over(order) - 1)
     vectors = t["embeddings"].join(named, "vec_id").select("term", F.col("embedding").alias("vec"))
     return keywords.topic_terms(scores, ["that", "with"], vectors, ["was", "for", "on"], q.COSINE)
@@ -400,7 +401,7 @@ def keyword_search_topn(t: Tables):
 
 @query
 def conversation_search(t: Tables):
-    terms = keywords.top_terms(t.articles(), TEXT, 10)
+    terms = keywords.top_terms(t.stored_articles(), TEXT, 10)
     turns = t["conversations"].select(
         F.concat_ws("-", "conv_id", "turn").alias("id"), "text", F.length("text").alias("spoonacularScore")
     )
@@ -570,7 +571,7 @@ def storytelling_rows(t: Tables):
 
 
 def _sentiment_facts(t: Tables) -> DataFrame:
-    return trends.sentiment_distribution(t.scored(), q.RUN_TS)
+    return written_once(trends.sentiment_distribution(t.scored(), q.RUN_TS))
 
 
 @query
@@ -589,12 +590,12 @@ def dominant_label(t: Tables):
 
 
 def _keyword_facts(t: Tables) -> DataFrame:
-    scored = t.scored()
+    scored = t.stored_scored()
     terms = keywords.top_terms(scored, TEXT, 20)
-    return drift.union_all([
+    return written_once(drift.union_all([
         keywords.top_keywords(terms, q.RUN_TS),
         keywords.keyword_sentiment(scored, TEXT, terms.filter("rank <= 15"), q.RUN_TS),
-    ])
+    ]))
 
 
 @query
@@ -604,37 +605,37 @@ def keywords_with_sentiment(t: Tables):
 
 @query
 def weekly_trend_join(t: Tables):
-    return serving.sentiment_trend(trends.sentiment_trend(t.scored(dated=True), q.RUN_TS))
+    return serving.sentiment_trend(written_once(trends.sentiment_trend(t.scored(dated=True), q.RUN_TS)))
 
 
 @query
 def daily_volume(t: Tables):
-    return serving.daily_volume(trends.volume_trends(t.dated_articles(), q.RUN_TS))
+    return serving.daily_volume(written_once(trends.volume_trends(t.dated_articles(), q.RUN_TS)))
 
 
 @query
 def top_entities(t: Tables):
-    return serving.entities(entities.named_entities(t["documents"], "text", t.gazetteer(), q.RUN_TS), 2)
+    return serving.entities(written_once(entities.named_entities(t["documents"], "text", t.gazetteer(), q.RUN_TS)), 2)
 
 
 @query
 def source_metric_pivot(t: Tables):
-    return serving.source_metrics(trends.source_comparison(t.scored(), t.recipes(), q.RUN_TS))
+    return serving.source_metrics(written_once(trends.source_comparison(t.scored(), t.recipes(), q.RUN_TS)))
 
 
 @query
 def trending_recipes(t: Tables):
     terms = t.spark.createDataFrame([(i + 1, w) for i, w in enumerate(q.SEARCH_WORDS)], "rank int, term string")
-    return serving.trending_recipes(trends.trend_alignment(t.recipes(), terms, q.RUN_TS), 25)
+    return serving.trending_recipes(written_once(trends.trend_alignment(t.recipes(), terms, q.RUN_TS)), 25)
 
 
 @query
 def narrative_summary(t: Tables):
-    scored, recipes = t.scored(), t.recipes()
+    scored, recipes = t.stored_scored(), t.recipes()
     rows = drift.union_all([
         keywords.top_keywords(keywords.top_terms(scored, TEXT, 20), q.RUN_TS),
         trends.sentiment_distribution(scored, q.RUN_TS),
         trends.source_comparison(scored, recipes, q.RUN_TS),
         trends.flag_breakdown(recipes, q.RUN_TS),
     ])
-    return serving.narrative_summary(rows).drop("top_diet_label", "narrative")
+    return serving.narrative_summary(written_once(rows)).drop("top_diet_label", "narrative")

@@ -11,6 +11,7 @@ from trendlake.plans.gold import gold_articles
 from trendlake.plans.governance import table_facts
 from trendlake.plans.silver import clean_articles
 from trendlake.plans.storytelling import storytelling_facts
+from trendlake.session import written_once
 from trendlake.sources.drift import union_all
 
 TEXT = "article_summary_clean"
@@ -39,6 +40,14 @@ class Tables:
     def articles(self) -> DataFrame:
         return clean_articles(self.raw_articles(), q.STOP_WORDS)
 
+    def stored_articles(self) -> DataFrame:
+        """Cleaned articles as a written table, for queries that read the corpus more than once."""
+        return written_once(self.articles().select("article_id", TEXT, "article_title_clean"))
+
+    def stored_scored(self) -> DataFrame:
+        """Scored articles as a written table."""
+        return written_once(self.scored().select("article_id", TEXT, "compound_score", "sentiment_label"))
+
     def dated_articles(self) -> DataFrame:
         """Articles with the time of the event of the same number as a feed date."""
         text = F.date_format("ts", "dd MMM yyyy HH:mm:ss")
@@ -73,21 +82,22 @@ class Tables:
         )
 
     def governance(self) -> DataFrame:
-        """Governance facts of articles (with the partly missing labels) and recipes."""
+        """Governance facts of articles (with the partly missing labels) and recipes, stored as the job does."""
         labels = self["labels"].withColumnRenamed("doc_id", "article_id")
         articles = self.raw_articles().join(labels, "article_id", "left")
         expected = ["article_id", "article_title", "article_summary", "source", "published_date"]
         numeric = ["spoonacularScore", "healthScore", "readyInMinutes"]
-        return union_all([
+        return written_once(union_all([
             table_facts(articles, "webscraping", q.RUN_TS, "article_summary", expected, []),
             table_facts(self.recipes(), "api", q.RUN_TS, "title", ["id", "title"], [], numeric, outlier_method="discrete"),
-        ])
+        ]))
 
     def story(self) -> DataFrame:
-        """Storytelling facts of articles and recipes."""
-        return storytelling_facts(
+        """Storytelling facts of articles and recipes, stored as the job does."""
+        facts = storytelling_facts(
             self.scored(dated=True), self.recipes(), q.RUN_TS, q.VOCABULARY, gazetteer=self.gazetteer()
         )
+        return written_once(facts)
 
     def curated(self) -> DataFrame:
         return gold_articles(self.articles())

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Callable, Mapping
+from functools import lru_cache, partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,19 +24,29 @@ def bounded_rows(df: DataFrame, limit: int = INLINE_LIMIT) -> list | None:
     return rows if len(rows) <= limit else None
 
 
-def constant_lookup(table: Mapping[str, object], value_type: str) -> Callable[[Column], Column]:
-    """A function Column -> Column that maps a string key to its value or null."""
-    size = max(1, len(table) // 4)
+@lru_cache(maxsize=32)
+def _buckets(items: tuple[tuple[str, object], ...]) -> str:
+    size = max(1, len(items) // 4)
     buckets: list[dict] = [{} for _ in range(size)]
-    for key, value in table.items():
+    for key, value in items:
         buckets[zlib.crc32(key.encode("utf-8")) % size][key] = value
-    literal = F.from_json(F.lit(json.dumps(buckets)), f"array<map<string,{value_type}>>")
+    return json.dumps(buckets)
+
+
+def bucket_table(table: Mapping[str, object], value_type: str) -> Column:
+    """The table as one constant: an array of small maps, keyed by hash bucket."""
+    return F.from_json(F.lit(_buckets(tuple(table.items()))), f"array<map<string,{value_type}>>")
 
-    def look_up(key: Column) -> Column:
-        slot = (F.crc32(key.cast("binary")) % size + 1).cast("int")
-        return F.element_at(F.element_at(literal, slot), key)
 
-    return look_up
+def look_up(table: Column, key: Column) -> Column:
+    """Value of a key in a bucket table, or null."""
+    slot = (F.crc32(key.cast("binary")) % F.size(table) + 1).cast("int")
+    return F.element_at(F.element_at(table, slot), key)
+
+
+def constant_lookup(table: Mapping[str, object], value_type: str) -> Callable[[Column], Column]:
+    """A function Column -> Column that maps a string key to its value or null."""
+    return partial(look_up, bucket_table(table, value_type))
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:

@@ -22,39 +22,36 @@ def _code_point(n: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
 
 
-def _windows_1252() -> dict[str, str]:
-    """Code points 128..159 read as Windows-1252, as HTML prescribes."""
-    table = {}
+def _windows_1252() -> tuple[str, str]:
+    """Code points 128..159 and the Windows-1252 characters HTML reads them as."""
+    shown = {}
     for n in range(0x80, 0xA0):
         try:
-            table[str(n)] = bytes([n]).decode("cp1252")
+            shown[chr(n)] = bytes([n]).decode("cp1252")
         except UnicodeDecodeError:
-            table[str(n)] = chr(n)
-    return table
+            continue
+    return "".join(shown), "".join(shown.values())
 
 
 def _numeric_entity(body: Column) -> Column:
-    digits = F.regexp_extract(body, r"^#[xX]?([0-9a-fA-F]+)", 1)
-    significant = F.regexp_replace(digits, "^0+(?=.)", "")
-    n = F.when(
-        F.length(significant) <= 9,
-        F.when(body.rlike("^#[xX]"), F.conv(significant, 16, 10).cast("bigint")).otherwise(
-            significant.try_cast("bigint")
-        ),
+    digits = F.regexp_replace(F.regexp_extract(body, r"^#[xX]?([0-9a-fA-F]+)", 1), "^0+(?=.)", "")
+    number = F.when(
+        F.length(digits) <= 9,
+        F.when(body.rlike("^#[xX]"), F.conv(digits, 16, 10).cast("bigint")).otherwise(digits.try_cast("bigint")),
     ).otherwise(F.lit(0x110000).cast("bigint"))
-    plane_end = (n % 0x10000) >= 0xFFFE
-    return (
-        F.when(n == 0, "�")
-        .when(n == 13, "\r")
-        .when(n.between(0x80, 0x9F), constant_lookup(_windows_1252(), "string")(n.cast("string")))
-        .when(n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), "�")
-        .when(
-            n.between(1, 8) | n.between(0xB, 0xB) | n.between(0xE, 0x1F) | n.between(0x7F, 0x7F)
-            | n.between(0xFDD0, 0xFDEF) | plane_end,
-            "",
+
+    def character(n: Column) -> Column:
+        unusable = (
+            n.between(1, 8) | (n == 0xB) | n.between(0xE, 0x1F) | (n == 0x7F) | n.between(0xFDD0, 0xFDEF)
+            | ((n % 0x10000) >= 0xFFFE)
         )
-        .otherwise(_code_point(n))
-    )
+        return (
+            F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), "\ufffd")
+            .when(unusable, "")
+            .otherwise(F.translate(_code_point(n), *_windows_1252()))
+        )
+
+    return let(number, character)
 
 
 def unescape_html(text: Column) -> Column:

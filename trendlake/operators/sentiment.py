@@ -9,6 +9,7 @@ the distinct words of the documents and travels as a per-document map.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from trendlake.constants import (
     BOOSTER_STEP, DAMPENERS, DISTANCE_DAMPING, INTENSIFIERS, NEGATION_FACTOR, NEGATIONS, NORMALISATION_ALPHA,
 )
-from trendlake.functions.lookup import INLINE_LIMIT, bounded_rows, constant_lookup
+from trendlake.functions.lookup import INLINE_LIMIT, bounded_rows, bucket_table, constant_lookup, let, look_up
 from trendlake.functions.text import tokens_of
 from trendlake.functions.values import half_up, sentiment_label
 
@@ -60,7 +61,7 @@ def token_sentiment(
 
     start = F.struct(F.lit(0.0).alias("total"), *[F.lit("").alias(p) for p in ("p1", "p2", "p3")])
     total = F.aggregate(tokens, start, fold, lambda state: state["total"])
-    return half_up(total / F.sqrt(total * total + NORMALISATION_ALPHA), 4)
+    return let(total, lambda t: half_up(t / F.sqrt(t * t + NORMALISATION_ALPHA), 4))
 
 
 def _lexicon_maps(df: DataFrame, tokens: Column, lexicon: DataFrame, key: str) -> DataFrame:
@@ -88,7 +89,8 @@ def add_sentiment(
     entries = bounded_rows(lexicon.select("token", F.col("valence").cast("double")), inline_limit)
     tokens = tokens_of(F.col(text))
     if entries is not None:
-        score = token_sentiment(tokens, constant_lookup({r[0]: r[1] for r in entries}, "double"), boosters, negations)
+        table = bucket_table({r[0]: r[1] for r in entries}, "double")
+        score = let(table, lambda known: token_sentiment(tokens, partial(look_up, known), boosters, negations))
         scored = df.withColumn("compound_score", score)
     else:
         if key is None:

@@ -10,7 +10,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,13 +97,12 @@ def run_daily(
     written["governance"] = sinks.write_dated(governance, f"{gold}/governance", day, small=True)
 
     curated = _table(spark, f"{gold}/gold_articles")
-    scored = add_sentiment(curated, TEXT, inputs.lexicon, key="article_id").persist(StorageLevel.MEMORY_AND_DISK)
+    scored = add_sentiment(curated, TEXT, inputs.lexicon, key="article_id")
     story = storytelling_facts(
         scored, _table(spark, f"{gold}/gold_recipes"), run_ts,
         inputs.vocabulary, inputs.vectors, inputs.seeds, inputs.gazetteer,
     )
     written["storytelling"] = sinks.write_dated(story, f"{gold}/storytelling", day)
-    scored.unpersist()
 
     if target is not None:
         sinks.publish_latest(spark, gold, target, GOLD_TABLES)

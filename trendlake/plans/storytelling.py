@@ -7,9 +7,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
+from trendlake.functions.values import select_present
 from trendlake.operators import trends
 from trendlake.operators.entities import named_entities
 from trendlake.operators.keywords import keyword_sentiment, ranked, tfidf_scores, top_bigrams, top_keywords, topic_terms
+from trendlake.session import written_once
 from trendlake.sources.drift import union_all
 
 TEXT = "article_summary_clean"
@@ -26,8 +28,11 @@ def storytelling_facts(
 ) -> DataFrame:
     """All aggregations over scored articles and recipes.
 
-    ``scored`` comes from ``add_sentiment``; persist it, several aggregations read it.
+    ``scored`` comes from ``add_sentiment``. Its needed columns are written once, as
+    every aggregation reads them.
     """
+    needed = [TEXT, "article_title", "categories", "published_date", "compound_score", "sentiment_label"]
+    scored = written_once(select_present(scored, needed))
     scores = tfidf_scores(scored, TEXT)
     if vocabulary is not None:
         scores = scores.join(topic_terms(scores, vocabulary, vectors, seeds), "term", "left_semi")

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+OWN_FOLDER = "trendlake.checkpoint.dir"
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -21,3 +26,20 @@ def build_session(app: str = "trendlake", **conf: str) -> SparkSession:
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+def written_once(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back.
+
+    For a table that several aggregations of one job read: it is computed once, read
+    by column, and survives lost executors. The folder is the session's
+    ``spark.checkpoint.dir``; only a session without one gets a temporary folder.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(OWN_FOLDER, None)
+    if folder is None:
+        folder = tempfile.mkdtemp(prefix="trendlake-")
+        spark.conf.set(OWN_FOLDER, folder)
+    path = f"{folder}/trendlake/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
