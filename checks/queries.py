@@ -514,7 +514,7 @@ def run_summary(t: Tables):
     """Rows and files per table."""
     names = ["documents", "pages", "conversations", "lineitem", "orders"]
     counted = [
-        t[n].select(F.lit(n).alias("table"), F.col("_metadata.file_path").alias("file")) for n in names
+        t.scan(n).select(F.lit(n).alias("table"), F.col("_metadata.file_path").alias("file")) for n in names
     ]
     return drift.union_all(counted).groupBy("table").agg(F.count("*").alias("rows"), F.count_distinct("file").alias("files"))
 

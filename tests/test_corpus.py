@@ -180,6 +180,8 @@ def test_entities(spark):
     gazetteer = spark.createDataFrame(names, "name string, entity_type string")
     got = {(r.entity_type, r.name): r.mentions for r in entities.entity_counts(df, "title", gazetteer).collect()}
     assert got == {("restaurant", "Le Bernardin"): 3, ("neighborhood", "Midtown"): 2, ("neighborhood", "Midtown East"): 1}
+    joined = entities.entity_counts(df, "title", gazetteer, inline_limit=2)
+    assert {(r.entity_type, r.name): r.mentions for r in joined.collect()} == got
     best = entities.named_entities(df, "title", gazetteer, TS, top_n=1).collect()
     assert {(r.dimension_value, r.label) for r in best} == {("restaurant", "Le Bernardin"), ("neighborhood", "Midtown")}
     assert entities.entity_counts(df, "title", gazetteer.limit(0)).count() == 0

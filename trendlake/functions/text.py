@@ -141,7 +141,8 @@ def clean_text(text: Column, stop_words: Iterable[str]) -> Column:
 
 def tokens_of(clean: Column) -> Column:
     """Words of an already cleaned text; null or blank text has none."""
-    return F.filter(F.split(F.trim(F.coalesce(clean, F.lit(""))), r"\s+"), lambda t: t != "")
+    bare = F.trim(F.coalesce(clean, F.lit("")))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"\s+"))
 
 
 def word_tokens(text: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from datetime import datetime
@@ -28,22 +29,27 @@ def join_texts(df: DataFrame, columns: Sequence[str], name: str = "text") -> Dat
     return df.withColumn(name, joined).filter(F.trim(name) != "")
 
 
-def term_statistics(df: DataFrame, text: str) -> DataFrame:
-    """``term``, ``total`` occurrences and ``documents`` holding it, in one pass.
+def corpus_words(df: DataFrame, text: str) -> DataFrame:
+    """``words`` of every non-blank document."""
+    return df.filter(F.trim(text) != "").select(word_tokens(F.col(text)).alias("words"))
 
-    Sorting a document's words inside its row puts equal words side by side, so a
-    word's first copy counts its document. The row with the empty term counts the
-    non-blank documents themselves.
+
+def vocabulary(words: DataFrame, max_features: int) -> DataFrame:
+    """The most frequent terms with their ``total``; equal totals in term order."""
+    counted = words.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("total"))
+    return counted.orderBy(F.desc("total"), "term").limit(max_features)
+
+
+def document_frequencies(words: DataFrame, terms: DataFrame) -> DataFrame:
+    """``documents`` per listed term; the row with the empty term counts all documents.
+
+    Only (document, listed term) pairs survive the join with the bounded list, and
+    they are counted before the shuffle.
     """
-    documents = df.filter(F.trim(text) != "").select(F.array_sort(word_tokens(F.col(text))).alias("words"))
-    previous = F.concat(F.array(F.lit(DOCUMENT_MARK)), F.col("words"))
-    marked = F.concat(F.array(F.lit(DOCUMENT_MARK)), F.col("words"))
-    pairs = documents.select(
-        F.inline(F.arrays_zip(marked.alias("term"), F.concat(F.array(F.lit(DOCUMENT_MARK)), previous).alias("before")))
-    ).filter(F.col("term").isNotNull())
-    return pairs.groupBy("term").agg(
-        F.count("*").alias("total"), F.count_if(F.col("term") != F.col("before")).alias("documents")
-    )
+    mark = F.array(F.lit(DOCUMENT_MARK))
+    seen = words.select(F.explode(F.concat(mark, F.array_distinct("words"))).alias("term"))
+    listed = terms.select("term").union(terms.sparkSession.range(1).select(F.lit(DOCUMENT_MARK).alias("term")))
+    return seen.join(F.broadcast(listed), "term", "left_semi").groupBy("term").agg(F.count("*").alias("documents"))
 
 
 def tfidf_scores(df: DataFrame, text: str, max_features: int = MAX_FEATURES) -> DataFrame:
@@ -53,27 +59,24 @@ def tfidf_scores(df: DataFrame, text: str, max_features: int = MAX_FEATURES) ->
     count x (ln((1 + N) / (1 + df)) + 1) and each document has length one. Only that
     bounded vocabulary reaches the driver; document vectors are never shuffled.
     """
-    head = (
-        term_statistics(df, text)
-        .orderBy((F.col("term") == DOCUMENT_MARK).desc(), F.desc("total"), "term")
-        .limit(max_features + 1)
-        .collect()
-    )
     spark = df.sparkSession
-    if len(head) < 2:
+    words = corpus_words(df, text)
+    listed = vocabulary(words, max_features).collect()
+    if not listed:
         return spark.createDataFrame([], "term string, total bigint, score double")
-    documents, terms = head[0]["total"], head[1:]
-    weights = Vectors.dense([math.log((1 + documents) / (1 + t["documents"])) + 1 for t in terms])
-    counted = CountVectorizerModel.from_vocabulary([t["term"] for t in terms], inputCol="words", outputCol="tf")
+    terms = spark.createDataFrame(listed, "term string, total bigint")
+    found = {r["term"]: r["documents"] for r in document_frequencies(words, terms).collect()}
+    documents = found[DOCUMENT_MARK]
+    names = [t["term"] for t in listed]
+    weights = Vectors.dense([math.log((1 + documents) / (1 + found[t])) + 1 for t in names])
+    counted = CountVectorizerModel.from_vocabulary(names, inputCol="words", outputCol="tf")
     weighted = ElementwiseProduct(scalingVec=weights, inputCol="tf", outputCol="weighted")
     unit = Normalizer(p=2.0, inputCol="weighted", outputCol="unit")
-    words = df.filter(F.trim(text) != "").select(word_tokens(F.col(text)).alias("words"))
-    vectors = unit.transform(weighted.transform(counted.transform(words)))
-    sums = vectors.agg(Summarizer.sum(F.col("unit")).alias("sums"))
-    names = F.split(F.lit("\n".join(t["term"] for t in terms)), "\n")
-    totals = F.from_json(F.lit(str([t["total"] for t in terms])), "array<bigint>")
+    sums = unit.transform(weighted.transform(counted.transform(words))).agg(Summarizer.sum(F.col("unit")).alias("sums"))
+    totals = F.from_json(F.lit(json.dumps([t["total"] for t in listed])), "array<bigint>")
+    labels = F.split(F.lit("\n".join(names)), "\n")
     return sums.select(
-        F.inline(F.arrays_zip(names.alias("term"), totals.alias("total"), vector_to_array("sums").alias("score")))
+        F.inline(F.arrays_zip(labels.alias("term"), totals.alias("total"), vector_to_array("sums").alias("score")))
     ).withColumn("score", F.col("score") / documents)
 
 

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GROUP_LIMIT = 1_000_000
+GROUP_LIMIT = 50_000
 
 
 def _number(name: str) -> Column:
@@ -31,24 +33,53 @@ def _ranks(n: int, p: float, interpolate: bool) -> tuple[int, int, float]:
     return rank, rank, 0.0
 
 
-def _narrow(df: DataFrame, name: str, rank: int, n: int, low: float, high: float, limit: int, error: float):
-    """Bracket (low, high, rows below low) around a rank with at most ``limit`` rows or one value."""
-    below, inside = 0, n
-    value = _number(name)
+Bracket = tuple[str, float, float, int]
+
+
+def _counted(df: DataFrame, ranges: list[tuple[str, float, float]]) -> list[tuple[int, int]]:
+    """Rows below and rows inside each (column, low, high), in one pass."""
+    counts = df.agg(*[
+        count.alias(f"{tag}{i}")
+        for i, (c, low, high) in enumerate(ranges)
+        for tag, count in (("less", F.count_if(_number(c) < low)), ("within", F.count_if(_number(c).between(low, high))))
+    ]).first()
+    return [(counts[f"less{i}"], counts[f"within{i}"]) for i in range(len(ranges))]
+
+
+def _around(share: float, error: float) -> list[float]:
+    return [max(share - 2 * error, 0.0), min(share + 2 * error, 1.0)]
+
+
+def _first_brackets(df: DataFrame, ranks: list[tuple[str, int]], sizes: dict, limit: int, error: float) -> dict:
+    """Bracket (column, low, high, rows below) and rows inside, per (column, rank); two jobs for all."""
+    result = {(c, r): ((c, sizes[c][1], sizes[c][2], 0), sizes[c][0]) for c, r in ranks}
+    large = [(c, r) for c, r in ranks if sizes[c][0] > limit]
+    if not large:
+        return result
+    columns = sorted({c for c, _ in large})
+    shares = sorted({b for c, r in large for b in _around(r / sizes[c][0], error)})
+    numbers = df.select(*[_number(c).alias(c) for c in columns])
+    found = dict(zip(columns, numbers.approxQuantile(columns, shares, error)))
+    ranges = [
+        (c, *[found[c][shares.index(b)] for b in _around(r / sizes[c][0], error)]) for c, r in large
+    ]
+    for (c, rank), (_, low, high), (less, within) in zip(large, ranges, _counted(df, ranges)):
+        if less <= rank < less + within:
+            result[(c, rank)] = ((c, low, high, less), within)
+    return result
+
+
+def _narrow(df: DataFrame, bracket: Bracket, inside: int, rank: int, limit: int, error: float) -> Bracket:
+    """The bracket with at most ``limit`` rows or a single value left."""
+    name, low, high, below = bracket
     while inside > limit and low < high:
-        bracket = df.select(value.alias("v")).filter(F.col("v").between(low, high))
-        share = (rank - below) / inside
-        bounds = [max(share - 2 * error, 0.0), min(share + 2 * error, 1.0)]
-        new_low, new_high = bracket.approxQuantile("v", bounds, error)
-        counts = bracket.agg(
-            F.count_if(F.col("v") < new_low).alias("less"),
-            F.count_if(F.col("v").between(new_low, new_high)).alias("within"),
-        ).first()
-        covered = below + counts["less"] <= rank < below + counts["less"] + counts["within"]
-        if not covered or counts["within"] == inside:
-            return low, high, below
-        low, high, below, inside = new_low, new_high, below + counts["less"], counts["within"]
-    return low, high, below
+        rows = df.select(_number(name).alias(name)).filter(F.col(name).between(low, high))
+        new_low, new_high = rows.approxQuantile(name, _around((rank - below) / inside, error), error)
+        [(less, within)] = _counted(rows, [(name, new_low, new_high)])
+        if not below + less <= rank < below + less + within or within == inside:
+            break
+        low, high, below, inside = new_low, new_high, below + less, within
+    return name, low, high, below
 
 
 def exact_quantiles(
@@ -64,33 +95,32 @@ def exact_quantiles(
     ``interpolate`` picks the continuous definition, otherwise the smallest value
     whose cumulative share reaches the probability. Nulls and NaN do not count.
     """
-    sizes = df.agg(
+    row = df.agg(
         *[f(_number(c)).alias(f"{tag}_{i}") for i, c in enumerate(columns) for tag, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
     ).first()
-    wanted: dict[tuple[int, int], tuple[int, int]] = {}
-    brackets: list[tuple[str, float, float, int]] = []
-    for i, name in enumerate(columns):
-        n = sizes[f"n_{i}"]
-        if not n:
-            continue
-        for rank in sorted({r for p in probabilities for r in _ranks(n, p, interpolate)[:2]}):
-            bracket = (name, *_narrow(df, name, rank, n, sizes[f"lo_{i}"], sizes[f"hi_{i}"], group_limit, error))
-            if bracket not in brackets:
-                brackets.append(bracket)
-            place = brackets.index(bracket)
-            wanted[(i, rank)] = (place, rank - bracket[3])
+    sizes = {c: (row[f"n_{i}"], row[f"lo_{i}"], row[f"hi_{i}"]) for i, c in enumerate(columns)}
+    ranks = sorted({
+        (c, r) for c in columns if sizes[c][0] for p in probabilities for r in _ranks(sizes[c][0], p, interpolate)[:2]
+    })
+    brackets: list[Bracket] = []
+    wanted: dict[tuple[str, int], tuple[int, int]] = {}
+    for (name, rank), (bracket, inside) in _first_brackets(df, ranks, sizes, group_limit, error).items():
+        bracket = _narrow(df, bracket, inside, rank, group_limit, error)
+        if bracket not in brackets:
+            brackets.append(bracket)
+        wanted[(name, rank)] = (brackets.index(bracket), rank - bracket[3])
     found = _values_at(df, brackets, sorted(set(wanted.values())))
 
     result: dict[str, list[float | None]] = {}
-    for i, name in enumerate(columns):
-        n = sizes[f"n_{i}"]
+    for name in columns:
+        n = sizes[name][0]
         result[name] = []
         for p in probabilities:
             if not n:
                 result[name].append(None)
                 continue
             low, high, share = _ranks(n, p, interpolate)
-            a, b = found[wanted[(i, low)]], found[wanted[(i, high)]]
+            a, b = found[wanted[(name, low)]], found[wanted[(name, high)]]
             result[name].append(a + (b - a) * share)
     return result
 
@@ -103,7 +133,8 @@ def _values_at(df: DataFrame, brackets: list, targets: list[tuple[int, int]]) ->
         F.when(_number(c).between(lo, hi), F.struct(F.lit(b).alias("b"), _number(c).alias("v")))
         for b, (c, lo, hi, _) in enumerate(brackets)
     ]
-    values = df.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+    inside = reduce(or_, [_number(c).between(lo, hi) for c, lo, hi, _ in brackets])
+    values = df.filter(inside).select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
     order = Window.partitionBy("b").orderBy("v")
     counted = values.groupBy("b", "v").agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(order))
     hit = F.lit(False)

@@ -1,9 +1,9 @@
 """Lexicon sentiment (rule-based, Hutto & Gilbert 2014) inside each row.
 
-The words of a document are folded from left to right with the three preceding
-words as state, so scoring needs no explode, no window and no shuffle. The
-lexicon is a constant lookup when it is small; a larger one is joined once to
-the distinct words of the documents and travels as a per-document map.
+A document's lexicon words are found in its array of words and scored with the
+three words before them, so scoring needs no explode, no window and no shuffle.
+The lexicon is a constant lookup when it is small; a larger one is joined once
+to the distinct words of the documents and travels as a per-document map.
 """
 
 from __future__ import annotations
@@ -39,29 +39,40 @@ def _adjusted(valence: Column, before: Column, known: Callable, booster: Callabl
 
 
 def token_sentiment(
-    tokens: Column, lexicon: Callable[[Column], Column], boosters: Mapping[str, float], negations: Sequence[str]
+    tokens: Column,
+    lexicon: Callable[[Column], Column],
+    listed: Callable[[Column], Column],
+    boosters: Mapping[str, float],
+    negations: Sequence[str],
 ) -> Column:
-    """Compound score in [-1, 1] of an array of words; no words score 0."""
+    """Compound score in [-1, 1] of an array of words; no words score 0.
+
+    ``listed`` tests for the lexicon and runs on every word; valences and the words
+    before are looked at only where it holds.
+    """
     booster = constant_lookup(boosters, "double")
 
     def negated(word: Column) -> Column:
         return word.isin(list(negations))
 
-    def fold(state: Column, word: Column) -> Column:
-        damping = [F.lit(d) for d in DISTANCE_DAMPING]
-        before = F.array(*[F.struct(state[f"p{i + 1}"].alias("w"), d.alias("damping")) for i, d in enumerate(damping)])
-        valence = F.when(booster(word).isNull(), lexicon(word))
-        nearest, second = state["p1"], state["p2"]
-        least = (nearest == "least") & lexicon(nearest).isNull() & ~second.isin("at", "very")
-        scored = _adjusted(valence, before, lexicon, booster, negated) * F.when(least, NEGATION_FACTOR).otherwise(1.0)
-        return F.struct(
-            F.when(valence.isNull(), state["total"]).otherwise(state["total"] + scored).alias("total"),
-            word.alias("p1"), nearest.alias("p2"), second.alias("p3"),
+    def total(words: Column) -> Column:
+        def before(place: Column, distance: int) -> Column:
+            return F.coalesce(F.get(words, place - distance), F.lit(""))
+
+        def add(sum_: Column, place: Column) -> Column:
+            nearby = F.array(*[
+                F.struct(before(place, i + 1).alias("w"), F.lit(d).alias("damping")) for i, d in enumerate(DISTANCE_DAMPING)
+            ])
+            value = _adjusted(lexicon(F.get(words, place)), nearby, lexicon, booster, negated)
+            least = (before(place, 1) == "least") & lexicon(F.lit("least")).isNull() & ~before(place, 2).isin("at", "very")
+            return sum_ + value * F.when(least, NEGATION_FACTOR).otherwise(1.0)
+
+        scored = F.array_compact(
+            F.transform(words, lambda word, i: F.when(listed(word) & ~word.isin(list(boosters)), i))
         )
+        return F.aggregate(scored, F.lit(0.0), add)
 
-    start = F.struct(F.lit(0.0).alias("total"), *[F.lit("").alias(p) for p in ("p1", "p2", "p3")])
-    total = F.aggregate(tokens, start, fold, lambda state: state["total"])
-    return let(total, lambda t: half_up(t / F.sqrt(t * t + NORMALISATION_ALPHA), 4))
+    return let(let(tokens, total), lambda t: half_up(t / F.sqrt(t * t + NORMALISATION_ALPHA), 4))
 
 
 def _lexicon_maps(df: DataFrame, tokens: Column, lexicon: DataFrame, key: str) -> DataFrame:
@@ -89,13 +100,21 @@ def add_sentiment(
     entries = bounded_rows(lexicon.select("token", F.col("valence").cast("double")), inline_limit)
     tokens = tokens_of(F.col(text))
     if entries is not None:
-        table = bucket_table({r[0]: r[1] for r in entries}, "double")
-        score = let(table, lambda known: token_sentiment(tokens, partial(look_up, known), boosters, negations))
+        valences = {r[0]: r[1] for r in entries}
+        names = list(valences)
+
+        def inline(table: Column) -> Column:
+            return token_sentiment(tokens, partial(look_up, table), lambda w: w.isin(names), boosters, negations)
+
+        score = let(bucket_table(valences, "double"), inline)
         scored = df.withColumn("compound_score", score)
     else:
         if key is None:
             raise ValueError(f"a lexicon of more than {inline_limit} entries needs the row key")
         joined = df.join(_lexicon_maps(df, tokens, lexicon, key), key, "left")
-        score = token_sentiment(tokens, lambda w: F.element_at("_lexicon", w), boosters, negations)
+        def mapped(word: Column) -> Column:
+            return F.element_at("_lexicon", word)
+
+        score = token_sentiment(tokens, mapped, lambda w: mapped(w).isNotNull(), boosters, negations)
         scored = joined.withColumn("compound_score", score).drop("_lexicon").select(*df.columns, "compound_score")
     return scored.withColumn("sentiment_label", sentiment_label(F.col("compound_score")))

@@ -43,3 +43,14 @@ def written_once(df: DataFrame) -> DataFrame:
     path = f"{folder}/trendlake/{uuid.uuid4()}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, limit_bytes: int = 1 << 30) -> DataFrame:
+    """Rows dealt out to all cores when a small file holds them in too few row groups.
+
+    Text work is bound by the processor, and one row group is one task. Tables above
+    the limit are split by their row groups already and are never moved.
+    """
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(spark.sparkContext.defaultParallelism) if size < limit_bytes else df
