@@ -127,13 +127,16 @@ def exact_quantiles(
 
 def _values_at(df: DataFrame, brackets: list, targets: list[tuple[int, int]]) -> dict[tuple[int, int], float]:
     """Value at each (bracket, rank inside the bracket); one job for all of them."""
+    known = {(b, rank): brackets[b][1] for b, rank in targets if brackets[b][1] == brackets[b][2]}
+    targets = [t for t in targets if t not in known]
     if not targets:
-        return {}
+        return known
+    open_ = {b: brackets[b][:3] for b, _ in targets}
     entries = [
         F.when(_number(c).between(lo, hi), F.struct(F.lit(b).alias("b"), _number(c).alias("v")))
-        for b, (c, lo, hi, _) in enumerate(brackets)
+        for b, (c, lo, hi) in open_.items()
     ]
-    inside = reduce(or_, [_number(c).between(lo, hi) for c, lo, hi, _ in brackets])
+    inside = reduce(or_, [_number(c).between(lo, hi) for c, lo, hi in open_.values()])
     values = df.filter(inside).select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
     order = Window.partitionBy("b").orderBy("v")
     counted = values.groupBy("b", "v").agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(order))
@@ -141,7 +144,7 @@ def _values_at(df: DataFrame, brackets: list, targets: list[tuple[int, int]]) ->
     for b, rank in targets:
         hit = hit | ((F.col("b") == b) & (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank))
     rows = counted.filter(hit).collect()
-    return {
+    return known | {
         (b, rank): next(r["v"] for r in rows if r["b"] == b and r["upto"] - r["n"] <= rank < r["upto"])
         for b, rank in targets
     }
