@@ -33,11 +33,13 @@ def written_once(df: DataFrame) -> DataFrame:
 
     For a table that several aggregations of one job read: it is computed once, read
     by column, and survives lost executors. The folder is the session's
-    ``spark.checkpoint.dir``; only a session without one gets a temporary folder.
+    ``spark.checkpoint.dir``; only a local session without one gets a temporary folder.
     """
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(OWN_FOLDER, None)
     if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="trendlake-")
         spark.conf.set(OWN_FOLDER, folder)
     path = f"{folder}/trendlake/{uuid.uuid4()}"
