@@ -541,8 +541,8 @@ ORACLE: dict[str, str] = {
     "latest_run": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)",
     "feed_cap": "SELECT event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS k FROM events) WHERE k <= 20",
     "ingestion_inventory": "WITH d AS (SELECT event_type AS source, ts::DATE AS dt, count(*) AS n FROM events GROUP BY 1, 2) SELECT source, count(*) AS distinct_dates, sum(n)::BIGINT AS files, arg_max(n, dt) AS latest_files, max(dt)::VARCHAR AS latest_date FROM d GROUP BY 1",
-    "ingestion_frequency": "WITH d AS (SELECT event_type AS source, count(DISTINCT ts::DATE) AS days, count(*) AS n, string_agg(DISTINCT ts::DATE::VARCHAR, ', ' ORDER BY ts::DATE::VARCHAR) AS names FROM events GROUP BY 1) "
-    "SELECT 'ingestion_distinct_dates' AS kpi_name, 'timeliness' AS category, source, NULL::VARCHAR AS field, days::DOUBLE AS value, 'dates' AS unit, 'Bronze ' || source || ' spans ' || days || ' daily partition(s): ' || names AS finding FROM d "
+    "ingestion_frequency": "WITH d AS (SELECT event_type AS source, count(DISTINCT ts::DATE) AS days, count(*) AS n, string_agg(DISTINCT '''' || ts::DATE || '''', ', ' ORDER BY '''' || ts::DATE || '''') AS names FROM events GROUP BY 1) "
+    "SELECT 'ingestion_distinct_dates' AS kpi_name, 'timeliness' AS category, source, NULL::VARCHAR AS field, days::DOUBLE AS value, 'dates' AS unit, 'Bronze ' || source || ' spans ' || days || ' daily partition(s): [' || names || ']' AS finding FROM d "
     "UNION ALL SELECT 'ingestion_file_count', 'timeliness', source, NULL, n::DOUBLE, 'files', n || ' Bronze JSON files across all partitions for ''' || source || '''' FROM d",
     "retention_plan": f"SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS name, CASE WHEN o_orderdate::DATE < DATE '{q.TODAY}' - 30 THEN 'deleted' ELSE 'kept' END AS status FROM orders",
     "batch_set_equality": f"WITH n AS (SELECT year(o_orderdate) AS day, o_custkey AS batch, o_orderpriority AS id FROM orders WHERE o_orderstatus = 'O'), s AS (SELECT year(o_orderdate) AS day, o_custkey AS batch, o_orderpriority AS id FROM orders WHERE o_orderstatus = 'F'), "

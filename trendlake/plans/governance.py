@@ -66,7 +66,8 @@ def silver_file_facts(files: DataFrame, run_ts: datetime) -> DataFrame:
 def ingestion_facts(files: DataFrame, run_ts: datetime) -> DataFrame:
     """Distinct ingestion dates and files per landed source."""
     dates = F.format_string(
-        "Bronze %s spans %d daily partition(s): %s", "source", "distinct_dates", F.array_join("dates", ", ")
+        "Bronze %s spans %d daily partition(s): [%s]", "source", "distinct_dates",
+        F.array_join(F.transform("dates", lambda d: F.concat(F.lit("'"), d, F.lit("'"))), ", "),
     )
     counted = F.format_string("%d Bronze JSON files across all partitions for '%s'", "files", "source")
     rows = [
