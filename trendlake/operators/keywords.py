@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Sequence
 from datetime import datetime
@@ -21,6 +20,7 @@ from trendlake.functions.vectors import cosine
 from trendlake.operators.longform import long_rows, story_row
 
 DOCUMENT_MARK = ""
+SCORES_SCHEMA = "term string, total bigint, score double"
 
 
 def join_texts(df: DataFrame, columns: Sequence[str], name: str = "text") -> DataFrame:
@@ -57,13 +57,14 @@ def tfidf_scores(df: DataFrame, text: str, max_features: int = MAX_FEATURES) ->
 
     The ``max_features`` most frequent terms are kept before weighting, weights are
     count x (ln((1 + N) / (1 + df)) + 1) and each document has length one. Only that
-    bounded vocabulary reaches the driver; document vectors are never shuffled.
+    bounded vocabulary and its scores reach the driver, so later steps do not read the
+    corpus again; document vectors are never shuffled.
     """
     spark = df.sparkSession
     words = corpus_words(df, text)
     listed = vocabulary(words, max_features).collect()
     if not listed:
-        return spark.createDataFrame([], "term string, total bigint, score double")
+        return spark.createDataFrame([], SCORES_SCHEMA)
     terms = spark.createDataFrame(listed, "term string, total bigint")
     found = {r["term"]: r["documents"] for r in document_frequencies(words, terms).collect()}
     documents = found[DOCUMENT_MARK]
@@ -73,11 +74,9 @@ def tfidf_scores(df: DataFrame, text: str, max_features: int = MAX_FEATURES) ->
     weighted = ElementwiseProduct(scalingVec=weights, inputCol="tf", outputCol="weighted")
     unit = Normalizer(p=2.0, inputCol="weighted", outputCol="unit")
     sums = unit.transform(weighted.transform(counted.transform(words))).agg(Summarizer.sum(F.col("unit")).alias("sums"))
-    totals = F.from_json(F.lit(json.dumps([t["total"] for t in listed])), "array<bigint>")
-    labels = F.split(F.lit("\n".join(names)), "\n")
-    return sums.select(
-        F.inline(F.arrays_zip(labels.alias("term"), totals.alias("total"), vector_to_array("sums").alias("score")))
-    ).withColumn("score", F.col("score") / documents)
+    means = sums.select(vector_to_array("sums").alias("sums")).first()["sums"]
+    rows = [(t["term"], t["total"], total / documents) for t, total in zip(listed, means)]
+    return spark.createDataFrame(rows, SCORES_SCHEMA)
 
 
 def anchor_vector(vectors: DataFrame, seeds: Column, vector: str = "vec") -> DataFrame:
