@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendlake.llm import bpe
+from trendlake.llm import bpe, exact, mixing, quality, secrets, sequences, urls
+from trendlake.llm.oracle import ORACLE as ORACLE
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -18,8 +19,39 @@ def op1_bpe(spark: SparkSession, directory: str) -> DataFrame:
     return bpe.digests(docs, bpe.build_lexicon(docs))
 
 
+def op4_urls(spark: SparkSession, directory: str) -> DataFrame:
+    return urls.judge_urls(table(spark, directory, "pages"))
+
+
+def op5_exact(spark: SparkSession, directory: str) -> DataFrame:
+    marked = exact.mark(table(spark, directory, "documents"), carry=["doc_id"])
+    return marked.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op6_quality(spark: SparkSession, directory: str) -> DataFrame:
+    judged = quality.judge(table(spark, directory, "documents"), carry=["doc_id"])
+    return judged.select("row.doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
+def op7_mixing(spark: SparkSession, directory: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, directory, "documents"), carry=["doc_id"])
+    return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_secrets(spark: SparkSession, directory: str) -> DataFrame:
+    return secrets.scan(table(spark, directory, "documents"))
+
+
+def op10_sequences(spark: SparkSession, directory: str) -> DataFrame:
+    return sequences.round_trip(table(spark, directory, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op4_urls": op4_urls,
+    "op5_exact": op5_exact,
+    "op6_quality": op6_quality,
+    "op7_mixing": op7_mixing,
+    "op8_secrets": op8_secrets,
+    "op10_sequences": op10_sequences,
 }
-
-ORACLE: dict[str, str] = {}
