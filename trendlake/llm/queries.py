@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendlake.llm import bpe, exact, mixing, quality, secrets, sequences, urls
+from trendlake.llm import bpe, exact, jaccard, mixing, quality, secrets, sequences, urls
 from trendlake.llm.oracle import ORACLE as ORACLE
 
 
@@ -19,6 +19,10 @@ def op1_bpe(spark: SparkSession, directory: str) -> DataFrame:
     return bpe.digests(docs, bpe.build_lexicon(docs))
 
 
+def op2_jaccard(spark: SparkSession, directory: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, directory, "documents"), width=3, percent=90)
+
+
 def op4_urls(spark: SparkSession, directory: str) -> DataFrame:
     return urls.judge_urls(table(spark, directory, "pages"))
 
@@ -48,6 +52,7 @@ def op10_sequences(spark: SparkSession, directory: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_jaccard": op2_jaccard,
     "op4_urls": op4_urls,
     "op5_exact": op5_exact,
     "op6_quality": op6_quality,
