@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendlake.llm import bpe, exact, jaccard, mixing, quality, secrets, sequences, urls
+from trendlake.llm import bpe, classifier, exact, jaccard, mixing, quality, secrets, sequences, urls
 from trendlake.llm.oracle import ORACLE as ORACLE
 
 
@@ -46,6 +46,11 @@ def op8_secrets(spark: SparkSession, directory: str) -> DataFrame:
     return secrets.scan(table(spark, directory, "documents"))
 
 
+def op9_classifier(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents")
+    return classifier.score(docs, classifier.fit(docs, table(spark, directory, "labels")))
+
+
 def op10_sequences(spark: SparkSession, directory: str) -> DataFrame:
     return sequences.round_trip(table(spark, directory, "documents"))
 
@@ -58,5 +63,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_mixing": op7_mixing,
     "op8_secrets": op8_secrets,
+    "op9_classifier": op9_classifier,
     "op10_sequences": op10_sequences,
 }
