@@ -191,14 +191,29 @@ def word_counts(docs: DataFrame, text: str, path: str) -> DataFrame:
 
 
 def build_lexicon(docs: DataFrame, text: str = "text", path: str | None = None, size: int = LEXICON_WORDS) -> str:
-    """Compile the ``size`` most frequent words and give the file to all executors; its name."""
+    """Compile the most frequent words, ``size`` at most, and give the file to all executors; its name.
+
+    Counts are put into classes by their logarithm; the highest classes that hold no
+    more than ``size`` words together are taken whole, so no sort passes the driver.
+    """
     spark = docs.sparkSession
     path = path or public_tokenizers.path(WORD_BPE)
     bpe = vocabulary(path)
-    frequent = word_counts(docs, text, path).orderBy(F.desc("n"), "word").limit(size).select("word").collect()
+    scratch = Scratch(spark, "bpe")
+    counted = word_counts(docs, text, path).withColumn("class", F.floor(F.log2("n") * 8).cast("int"))
+    counted = scratch.write(counted, "words")
+    lowest, held = None, 0
+    for row in sorted(counted.groupBy("class").count().collect(), reverse=True):  # at most 512 rows
+        held += row["count"]
+        if held > size:
+            break
+        lowest = row["class"]
+    frequent = counted.filter(F.col("class") >= lowest).select("word").collect() if lowest is not None else []
+    scratch.drop("words")
     content = compile_lexicon({row.word: bpe.merge(row.word) for row in frequent})
     name = f"lexicon-{hashlib.sha256(content).hexdigest()[:32]}"
-    spark.sparkContext.addFile(Scratch(spark, "bpe").write_file(name, content))
+    scratch = Scratch(spark, "bpe", run="lexicons")  # a session may register a file name for one path only
+    spark.sparkContext.addFile(scratch.write_file(name, content))
     return name
 
 

@@ -21,9 +21,9 @@ class Scratch:
     result still reads stays until its owner clears the shared folder.
     """
 
-    def __init__(self, spark: SparkSession, operator: str):
+    def __init__(self, spark: SparkSession, operator: str, run: str | None = None):
         self.spark = spark
-        self.root = f"{shared_folder(spark)}/llm/{operator}-{uuid.uuid4().hex}"
+        self.root = f"{shared_folder(spark)}/llm/{operator}-{run or uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
