@@ -214,3 +214,11 @@ def similar_groups(
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
+
+
+def without_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` but for those whose group has a lesser key; a key stays when any of its rows may stay."""
+    groups = similar_groups(docs, key, text, **options).filter(F.col(key).isNotNull())
+    stays = groups.groupBy(key).agg(F.max(F.col("component_id").eqNullSafe(F.col(key))).alias("stays"))
+    dropped = Scratch(docs.sparkSession, "jaccard").write(stays.filter("not stays").select(key), "dropped")
+    return docs.join(dropped, key, "left_anti").select(*docs.columns)

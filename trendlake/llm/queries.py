@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendlake.llm import bpe, classifier, exact, jaccard, mixing, quality, secrets, sequences, urls
+from trendlake.llm import bpe, classifier, exact, jaccard, mixing, pseudonyms, quality, secrets, sequences, urls
 from trendlake.llm.oracle import ORACLE as ORACLE
 
 
@@ -23,6 +23,10 @@ def op2_jaccard(spark: SparkSession, directory: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, directory, "documents"), width=3, percent=90)
 
 
+def op3_pseudonyms(spark: SparkSession, directory: str) -> DataFrame:
+    return pseudonyms.replace_personal(table(spark, directory, "documents"), secret="a key that a job takes from its own secret store")
+
+
 def op4_urls(spark: SparkSession, directory: str) -> DataFrame:
     return urls.judge_urls(table(spark, directory, "pages"))
 
@@ -58,6 +62,7 @@ def op10_sequences(spark: SparkSession, directory: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_jaccard": op2_jaccard,
+    "op3_pseudonyms": op3_pseudonyms,
     "op4_urls": op4_urls,
     "op5_exact": op5_exact,
     "op6_quality": op6_quality,
