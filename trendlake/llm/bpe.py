@@ -75,8 +75,9 @@ class WordBpe:
 
     def words_of(self, text: str) -> list[str]:
         """Words of a text without special tokens, normalised, in their own characters."""
-        if not self.unusual.search(text):
-            return self.words.findall(text.lower())
+        low = text.lower()
+        if not self.unusual.search(low):
+            return self.words.findall(low)
         normal = self.library.normalizer.normalize_str(text)
         return [self._letters(word) for word, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 
