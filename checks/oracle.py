@@ -120,9 +120,9 @@ mean_ AS (SELECT {_r('avg(compound_score)', 4)} AS m FROM scored)
 
 DISTRIBUTION_ROWS = """
 SELECT 'sentiment_distribution' AS aggregation, 'sentiment' AS category, 'sentiment_label' AS dimension_name,
-       l AS dimension_value, 'count' AS metric, n::DOUBLE AS value FROM labels_
-UNION ALL SELECT 'sentiment_distribution', 'sentiment', 'sentiment_label', l, 'percentage', pct FROM labels_
-UNION ALL SELECT 'sentiment_distribution', 'sentiment', 'overall', 'all', 'avg_compound_score', m FROM mean_
+       l AS dimension_value, 'count' AS metric, n::DOUBLE AS value, pct || '% of articles' AS label FROM labels_
+UNION ALL SELECT 'sentiment_distribution', 'sentiment', 'sentiment_label', l, 'percentage', pct, n || ' articles' FROM labels_
+UNION ALL SELECT 'sentiment_distribution', 'sentiment', 'overall', 'all', 'avg_compound_score', m, 'mean score' FROM mean_
 """
 
 WEEKS = "weeks AS (SELECT date_trunc('week', ts) AS week, avg(compound_score) AS mean, count(*) AS n FROM dated GROUP BY 1)"
@@ -163,13 +163,13 @@ _FLAGS = ["vegetarian", "vegan", "glutenFree", "dairyFree", "veryHealthy"]
 _NAMES = {"vegetarian": "Vegetarian", "vegan": "Vegan", "glutenFree": "Gluten-free", "dairyFree": "Dairy-free", "veryHealthy": "Very healthy"}
 
 FLAGS = "flags AS (" + " UNION ALL ".join(
-    f"SELECT '{f}' AS flag, count(*) FILTER ({f}) AS n, {_pct(f'count(*) FILTER ({f})', 'count(*)')} AS pct FROM recipes" for f in _FLAGS
+    f"SELECT '{f}' AS flag, '{_NAMES[f]}' AS name, count(*) FILTER ({f}) AS n, {_pct(f'count(*) FILTER ({f})', 'count(*)')} AS pct FROM recipes" for f in _FLAGS
 ) + ")"
 
 FLAG_ROWS = """
 SELECT 'dietary_breakdown' AS aggregation, 'recommendation' AS category, 'dietary_flag' AS dimension_name,
-       flag AS dimension_value, 'count' AS metric, n::DOUBLE AS value FROM flags
-UNION ALL SELECT 'dietary_breakdown', 'recommendation', 'dietary_flag', flag, 'percentage', pct FROM flags
+       flag AS dimension_value, 'count' AS metric, n::DOUBLE AS value, name || ': ' || pct || '% of recipes' AS label FROM flags
+UNION ALL SELECT 'dietary_breakdown', 'recommendation', 'dietary_flag', flag, 'percentage', pct, name FROM flags
 """
 
 _CMP = "'source_comparison' AS aggregation, 'cross_source' AS category, 'source' AS dimension_name"
@@ -280,7 +280,7 @@ def _null_rates(table: str, columns: dict[str, bool], source: str) -> str:
         parts.append(
             f"SELECT 'null_rate' AS kpi_name, 'completeness' AS category, '{source}' AS source, '{c}' AS field, "
             f"{_pct(f'count(*) FILTER ({missing})', 'count(*)')} AS value, '%' AS unit, "
-            f"count(*) FILTER ({missing}) || '/' || count(*) || ' records have null or empty values' AS finding FROM {table}"
+            f"count(*) FILTER ({missing}) || ' of ' || count(*) || ' rows lack a value' AS finding FROM {table}"
         )
     return " UNION ALL ".join(parts)
 
@@ -290,7 +290,7 @@ def _duplicates(table: str, key: str, source: str) -> str:
     return (
         f"SELECT 'duplicate_rate' AS kpi_name, 'uniqueness' AS category, '{source}' AS source, '{key}' AS field, "
         f"{_pct(d, 'count(*)')} AS value, '%' AS unit, "
-        f"({d})::BIGINT || ' duplicate records out of ' || count(*) || ' (keyed on {key})' AS finding FROM {table}"
+        f"({d})::BIGINT || ' of ' || count(*) || ' rows repeat a value of {key}' AS finding FROM {table}"
     )
 
 
@@ -298,7 +298,16 @@ def _records(table: str, source: str) -> str:
     return (
         f"SELECT 'record_count' AS kpi_name, 'volume' AS category, '{source}' AS source, NULL::VARCHAR AS field, "
         f"count(*)::DOUBLE AS value, 'records' AS unit, "
-        f"count(*) || ' records across all {source} Silver files' AS finding FROM {table}"
+        f"count(*) || ' rows from {source}' AS finding FROM {table}"
+    )
+
+
+def _fence_note(c: str, out: str) -> str:
+    q1, q3 = "any_value(q1)", "any_value(q3)"
+    shown = f"{q1} - 1.5 * ({q3} - {q1}), {q3} + 1.5 * ({q3} - {q1}), {q1}, {q3}"
+    return (
+        f"CASE WHEN {q3} = {q1} THEN printf('quartiles of %d values coincide, so no fence', count({c})) "
+        f"ELSE printf('%d of %d rows lie beyond %.2f to %.2f (quartiles %.2f and %.2f)', count(*) FILTER ({out}), count(*), {shown}) END"
     )
 
 
@@ -310,16 +319,16 @@ def _outliers(table: str, columns, source: str, quantile: str = "quantile_disc")
         value = f"CASE WHEN any_value(q3) = any_value(q1) THEN 0 ELSE {_pct(f'count(*) FILTER ({out})', 'count(*)')} END"
         parts.append(
             f"SELECT 'outlier_rate' AS kpi_name, 'validity' AS category, '{source}' AS source, '{c}' AS field, "
-            f"({value})::DOUBLE AS value, '%' AS unit FROM {table}, {fence} HAVING count({c}) >= 4"
+            f"({value})::DOUBLE AS value, '%' AS unit, {_fence_note(c, out)} AS finding FROM {table}, {fence} HAVING count({c}) >= 4"
         )
     return " UNION ALL ".join(parts)
 
 
 def _compliance(source: str, present: int, expected: int, missing, extra) -> str:
     def shown(names) -> str:
-        return "[" + ", ".join(f"''{n}''" for n in sorted(names)) + "]"
+        return ", ".join(sorted(names))
 
-    note = f"{present}/{expected} expected columns present" + (f"; missing: {shown(missing)}" if missing else "")
+    note = f"{present} of {expected} columns found" + (f", not {shown(missing)}" if missing else "")
     sql = (
         f"SELECT 'schema_compliance_rate' AS kpi_name, 'validity' AS category, '{source}' AS source, NULL::VARCHAR AS field, "
         f"{_r(f'{present}::DOUBLE / {expected} * 100', 2)} AS value, '%' AS unit, '{note}' AS finding"
@@ -327,7 +336,7 @@ def _compliance(source: str, present: int, expected: int, missing, extra) -> str
     if extra:
         sql += (
             f" UNION ALL SELECT 'unexpected_columns', 'validity', '{source}', NULL, {len(extra)}::DOUBLE, 'columns', "
-            f"'Columns present but not in expected schema: {shown(extra)}'"
+            f"'columns nobody asked for: {shown(extra)}'"
         )
     return sql
 
@@ -341,22 +350,22 @@ _WEB_TYPES = {
     "article_id": False, "article_title": True, "article_summary": True, "categories": True, "source": True, "author": True,
     "quality": False, "toxic": False,
 }
-_K = "kpi_name, category, source, field, value, unit"
+_K = "kpi_name, category, source, field, value, unit, finding"
 GOVERNANCE = ARTICLES + "," + RECIPES + f""",
 web AS (SELECT r.*, l.quality, l.toxic FROM raw r LEFT JOIN labels l ON l.doc_id = r.article_id),
 facts AS (
   SELECT {_K} FROM ({_null_rates('web', _WEB_TYPES, 'webscraping')})
   UNION ALL SELECT {_K} FROM ({_records('web', 'webscraping')})
   UNION ALL SELECT {_K} FROM ({_duplicates('web', 'article_summary', 'webscraping')})
-  UNION ALL SELECT {_K} FROM ({_compliance('webscraping', 4, 5, [], ['a'] * 4)})
+  UNION ALL SELECT {_K} FROM ({_compliance('webscraping', 4, 5, ['published_date'], ['categories', 'author', 'quality', 'toxic'])})
   UNION ALL SELECT {_K} FROM ({_null_rates('recipes', _RECIPE_TYPES, 'api')})
   UNION ALL SELECT {_K} FROM ({_records('recipes', 'api')})
   UNION ALL SELECT {_K} FROM ({_duplicates('recipes', 'title', 'api')})
-  UNION ALL SELECT {_K} FROM ({_compliance('api', 2, 2, [], ['a'] * 13)})
+  UNION ALL SELECT {_K} FROM ({_compliance('api', 2, 2, [], [c for c in _RECIPE_TYPES if c not in ('id', 'title')])})
   UNION ALL SELECT {_K} FROM ({_outliers('recipes', ['spoonacularScore', 'healthScore', 'readyInMinutes'], 'api')}))
 """
 
-S = "aggregation, category, dimension_name, dimension_value, metric, value"
+S = "aggregation, category, dimension_name, dimension_value, metric, value, label"
 STORY = (
     SCORED + "," + RECIPES + "," + DISTRIBUTION + "," + WEEKS + "," + CATEGORIES + "," + FLAGS + "," + _tfidf() + ","
     + _top_terms(20, f"term IN {_list(q.VOCABULARY)}") + ", best15 AS (SELECT * FROM best WHERE rank <= 15), "
@@ -429,14 +438,14 @@ def _text_stats(table: str, c: str, source: str) -> str:
     stats = {"mean": f"avg(length({c}))", "median": f"quantile_disc(length({c}), 0.5)", "min": f"min(length({c}))", "max": f"max(length({c}))"}
     rows = [
         f"SELECT 'text_length_{k}' AS kpi_name, 'accuracy' AS category, '{source}' AS source, '{c}' AS field, {_r(v, 3)} AS value, "
-        f"'chars' AS unit, '{k.capitalize()} character count in {c}' AS finding FROM {table} WHERE {c} <> ''"
+        f"'chars' AS unit, '{k} number of characters of {c}' AS finding FROM {table} WHERE {c} <> ''"
         for k, v in stats.items()
     ]
     foreign = rf"sum(length({c}) - length(regexp_replace({c}, '[^\x00-\x7F]', '', 'g')))"
     rows.append(
         f"SELECT 'non_ascii_ratio', 'accuracy', '{source}', '{c}', {_r(_pct(foreign, f'sum(length({c}))', 3), 3)}, '%', "
-        f"{foreign}::BIGINT || '/' || sum(length({c}))::BIGINT || ' non-ASCII chars; corpus is expected to be monolingual "
-        f"English — any value >1% warrants review' FROM {table} WHERE {c} <> ''"
+        f"{foreign}::BIGINT || ' of ' || sum(length({c}))::BIGINT || ' characters are not ASCII; English text should stay below 1%' "
+        f"FROM {table} WHERE {c} <> ''"
     )
     return " UNION ALL ".join(rows)
 
@@ -460,6 +469,8 @@ def _batches(source: str, keys: str) -> str:
     return f"SELECT day, batch, list_sort(list(DISTINCT id)) AS ids FROM {source} GROUP BY day, batch"
 
 
+_NAN_PRICES = "(SELECT CASE WHEN l_linenumber < 6 THEN l_extendedprice END AS price, l_quantity FROM lineitem)"
+
 ORACLE: dict[str, str] = {
     # cleaning
     "clean_text": f"SELECT doc_id, array_to_string({_tokens('text')}, ' ') AS clean FROM documents",
@@ -485,7 +496,7 @@ ORACLE: dict[str, str] = {
     "record_count": _records("lineitem", "api"),
     "duplicate_rate_key": _duplicates("lineitem", "l_partkey", "api"),
     "duplicate_rate_text": _duplicates("documents", "text", "webscraping"),
-    "full_row_duplicates": f"SELECT sum(n)::BIGINT AS total, sum(n - 1)::BIGINT AS duplicates, {_pct('sum(n - 1)', 'sum(n)')} AS rate FROM (SELECT count(*) AS n FROM documents GROUP BY text, lang, n_chars)",
+    "full_row_duplicates": f"SELECT sum(n)::BIGINT AS total, sum(n - 1)::BIGINT AS duplicates, {_pct('sum(n - 1)', 'sum(n)')} AS rate FROM (SELECT count(*) AS n FROM (SELECT * FROM documents UNION ALL SELECT * FROM documents WHERE lang <> 'en') GROUP BY doc_id, text, lang, source, n_chars)",
     "dedupe_keep_first": "SELECT doc_id, lang, source, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS k FROM documents) WHERE k = 1",
     "curated_articles": f"WITH {ARTICLES} SELECT article_id, article_title, categories, source, author FROM articles",
     "outlier_rate_disc": _outliers("lineitem", _OUT4, "api"),
@@ -493,7 +504,10 @@ ORACLE: dict[str, str] = {
     "outlier_rate_balance": _report("customer", ["c_acctbal"]),
     "text_length_stats": _text_stats("documents", "text", "webscraping"),
     "text_length_describe": _length_describe("pages", ["url", "html"]),
-    "compression_ratio": f"WITH {ARTICLES} SELECT 'nlp_compression_ratio' AS kpi_name, 'accuracy' AS category, 'webscraping' AS source, 'article_summary_clean' AS field, {_r('avg(length(clean)::DOUBLE / length(article_summary))', 4)} AS value, 'ratio' AS unit FROM articles WHERE article_summary <> '' AND clean <> ''",
+    "compression_ratio": f"WITH {ARTICLES} SELECT 'nlp_compression_ratio' AS kpi_name, 'accuracy' AS category, 'webscraping' AS source, 'article_summary_clean' AS field, {_r('avg(length(clean)::DOUBLE / length(article_summary))', 4)} AS value, 'ratio' AS unit, printf('cleaning keeps %.2f%% of a text on average', avg(length(clean)::DOUBLE / length(article_summary)) * 100) AS finding FROM articles WHERE article_summary <> '' AND clean <> ''",
+    "describe_with_nan": _describe(_NAN_PRICES, ["price", "l_quantity"]),
+    "outlier_report_with_nan": _report(_NAN_PRICES, ["price"]),
+    "keyword_search_mixed_case": f"WITH {RECIPES}, {SEARCH_WORDS}, {_search('recipes', '''lower(title || ' ' || cuisines)''', 'buzz', 'spoonacularScore', 5)}",
     "describe_numeric": _describe("lineitem", ["l_quantity", "l_extendedprice", "l_discount"]),
     "exact_medians": " UNION ALL ".join(
         f"SELECT {p}::DOUBLE AS p, round(quantile_cont(o_totalprice, {p}), 4) AS cont, quantile_disc(o_totalprice, {p}) AS disc FROM orders" for p in (0.1, 0.5, 0.9)
@@ -501,7 +515,7 @@ ORACLE: dict[str, str] = {
     "schema_compliance": _compliance("webscraping", 4, 6, ["title", "author"], ["n_chars"]),
     "target_coverage": "WITH targets(name) AS (VALUES " + ", ".join(f"('{n}')" for n in q.TARGETS) + "), "
     f"hit AS (SELECT t.name, EXISTS (SELECT 1 FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_name = t.name) AS f FROM targets t) "
-    f"SELECT 'ingredient_coverage' AS kpi_name, 'volume' AS category, 'api' AS source, NULL::VARCHAR AS field, {_pct('count(*) FILTER (f)', 'count(*)')} AS value, '%' AS unit, count(*) FILTER (f) || '/' || count(*) || ' target ingredients have Bronze data' AS finding FROM hit",
+    f"SELECT 'ingredient_coverage' AS kpi_name, 'volume' AS category, 'api' AS source, NULL::VARCHAR AS field, {_pct('count(*) FILTER (f)', 'count(*)')} AS value, '%' AS unit, 'data landed for ' || count(*) FILTER (f) || ' of ' || count(*) || ' targets' AS finding FROM hit",
     # sentiment and trends
     "sentiment_score": f"WITH {SCORED} SELECT article_id, compound_score, sentiment_label FROM scored",
     "sentiment_distribution": f"WITH {SCORED}, {DISTRIBUTION} {DISTRIBUTION_ROWS}",
@@ -541,9 +555,9 @@ ORACLE: dict[str, str] = {
     "latest_run": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)",
     "feed_cap": "SELECT event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS k FROM events) WHERE k <= 20",
     "ingestion_inventory": "WITH d AS (SELECT event_type AS source, ts::DATE AS dt, count(*) AS n FROM events GROUP BY 1, 2) SELECT source, count(*) AS distinct_dates, sum(n)::BIGINT AS files, arg_max(n, dt) AS latest_files, max(dt)::VARCHAR AS latest_date FROM d GROUP BY 1",
-    "ingestion_frequency": "WITH d AS (SELECT event_type AS source, count(DISTINCT ts::DATE) AS days, count(*) AS n, string_agg(DISTINCT '''' || ts::DATE || '''', ', ' ORDER BY '''' || ts::DATE || '''') AS names FROM events GROUP BY 1) "
-    "SELECT 'ingestion_distinct_dates' AS kpi_name, 'timeliness' AS category, source, NULL::VARCHAR AS field, days::DOUBLE AS value, 'dates' AS unit, 'Bronze ' || source || ' spans ' || days || ' daily partition(s): [' || names || ']' AS finding FROM d "
-    "UNION ALL SELECT 'ingestion_file_count', 'timeliness', source, NULL, n::DOUBLE, 'files', n || ' Bronze JSON files across all partitions for ''' || source || '''' FROM d",
+    "ingestion_frequency": "WITH d AS (SELECT event_type AS source, count(DISTINCT ts::DATE) AS days, count(*) AS n, string_agg(DISTINCT ts::DATE::VARCHAR, ', ' ORDER BY ts::DATE::VARCHAR) AS names FROM events GROUP BY 1) "
+    "SELECT 'ingestion_distinct_dates' AS kpi_name, 'timeliness' AS category, source, NULL::VARCHAR AS field, days::DOUBLE AS value, 'dates' AS unit, source || ' landed on ' || days || ' days: ' || names AS finding FROM d "
+    "UNION ALL SELECT 'ingestion_file_count', 'timeliness', source, NULL, n::DOUBLE, 'files', n || ' landed files of ' || source FROM d",
     "retention_plan": f"SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS name, CASE WHEN o_orderdate::DATE < DATE '{q.TODAY}' - 30 THEN 'deleted' ELSE 'kept' END AS status FROM orders",
     "batch_set_equality": f"WITH n AS (SELECT year(o_orderdate) AS day, o_custkey AS batch, o_orderpriority AS id FROM orders WHERE o_orderstatus = 'O'), s AS (SELECT year(o_orderdate) AS day, o_custkey AS batch, o_orderpriority AS id FROM orders WHERE o_orderstatus = 'F'), "
     f"a AS ({_batches('n', 'id')}), b AS ({_batches('s', 'id')}) SELECT day, batch FROM a WHERE EXISTS (SELECT 1 FROM b WHERE b.day = a.day AND b.ids = a.ids)",
@@ -558,7 +572,7 @@ ORACLE: dict[str, str] = {
     "null_rates_severity": f"WITH {GOVERNANCE} SELECT source, field, value, CASE WHEN value > 50 THEN 'high' WHEN value > 20 THEN 'medium' ELSE 'low' END AS severity FROM facts WHERE kpi_name = 'null_rate' AND value > 0",
     "volume_by_source_day": f"WITH {GOVERNANCE} SELECT source, '{q.RUN_TS.date()}' AS date, sum(value) AS value FROM facts WHERE kpi_name = 'record_count' GROUP BY 1",
     "outliers_over_threshold": f"WITH {GOVERNANCE} SELECT source, field, value, value > 1 AS over_threshold FROM facts WHERE kpi_name = 'outlier_rate'",
-    "kpi_table": f"WITH {GOVERNANCE} SELECT kpi_name, category, source, field, {_r('value', 2)} AS value, unit FROM facts",
+    "kpi_table": f"WITH {GOVERNANCE} SELECT kpi_name, category, source, field, {_r('value', 2)} AS value, unit, finding FROM facts",
     "kpi_names_per_category": f"WITH {GOVERNANCE} SELECT category, count(DISTINCT kpi_name) AS kpi_names FROM facts GROUP BY 1",
     "distinct_names": f"WITH {GOVERNANCE} SELECT string_agg(DISTINCT kpi_name, ',' ORDER BY kpi_name) AS kpi_name, string_agg(DISTINCT category, ',' ORDER BY category) AS category FROM facts",
     "storytelling_rows": f"WITH {STORY} SELECT *, (SELECT count(*) FROM facts) AS row_count FROM facts",
@@ -573,7 +587,7 @@ ORACLE: dict[str, str] = {
     "top_entities": f"WITH {_mentions('text', 'documents')} SELECT entity_type, rank, name, mentions FROM placed WHERE rank <= 2",
     "source_metric_pivot": f"WITH {SCORED}, {RECIPES} SELECT 'web_articles' AS source, {_r('avg(compound_score)', 4)} AS avg_sentiment, NULL::DOUBLE AS avg_spoonacular_score, NULL::DOUBLE AS avg_health_score, count(*)::DOUBLE AS record_count FROM scored UNION ALL SELECT 'api_recipes', NULL, {_r('avg(spoonacularScore)', 4)}, {_r('avg(healthScore)', 4)}, count(*)::DOUBLE FROM recipes",
     "trending_recipes": f"WITH {RECIPES}, {SEARCH_WORDS}, {_alignment('recipes')} SELECT id::VARCHAR AS recipe_id, title, hits::DOUBLE AS trend_score, spoonacularScore AS score, CASE WHEN hits > 0 THEN shown END AS matched FROM aligned ORDER BY hits DESC, spoonacularScore DESC, id::VARCHAR LIMIT 25",
-    "narrative_summary": f"WITH {SCORED}, {RECIPES}, {DISTRIBUTION}, {FLAGS}, {_tfidf()}, {_top_terms(20)} SELECT (SELECT term FROM best WHERE rank = 1) AS top_keyword, (SELECT floor(pct)::BIGINT FROM labels_ WHERE l = 'positive') AS pct_positive, (SELECT count(*) FROM recipes) AS recipe_count, (SELECT flag FROM flags ORDER BY n DESC, flag LIMIT 1) AS top_diet",
+    "narrative_summary": f"WITH {SCORED}, {RECIPES}, {DISTRIBUTION}, {FLAGS}, {_tfidf()}, {_top_terms(20)} SELECT *, 'Talk of the week: ' || top_keyword || '; ' || pct_positive || '% of the coverage is positive. Recipes to go with it: ' || recipe_count || '. Leading diet: ' || top_diet_label || '.' AS narrative FROM (SELECT (SELECT term FROM best WHERE rank = 1) AS top_keyword, (SELECT floor(pct)::BIGINT FROM labels_ WHERE l = 'positive') AS pct_positive, (SELECT count(*) FROM recipes) AS recipe_count, (SELECT flag FROM flags ORDER BY n DESC, flag LIMIT 1) AS top_diet, (SELECT name || ': ' || pct || '% of recipes' FROM flags ORDER BY n DESC, flag LIMIT 1) AS top_diet_label)",
 }
 
 _ANCHOR = f"""

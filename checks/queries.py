@@ -158,7 +158,9 @@ def duplicate_rate_text(t: Tables):
 
 @query
 def full_row_duplicates(t: Tables):
-    return dedupe.full_row_duplicates(t["documents"].select("text", "lang", "n_chars"))
+    """All columns, over the documents and a second copy of those in other languages than English."""
+    docs = t["documents"]
+    return dedupe.full_row_duplicates(docs.unionByName(docs.filter("lang <> 'en'")))
 
 
 @query
@@ -174,7 +176,7 @@ def curated_articles(t: Tables):
 @query
 def outlier_rate_disc(t: Tables):
     columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    return facts(profile.outlier_rates(t["lineitem"], columns, "api", q.RUN_TS, "discrete")).drop("finding")
+    return facts(profile.outlier_rates(t["lineitem"], columns, "api", q.RUN_TS, "discrete"))
 
 
 @query
@@ -201,7 +203,7 @@ def text_length_describe(t: Tables):
 @query
 def compression_ratio(t: Tables):
     rows = profile.compression_ratio(t.articles(), "article_summary", TEXT, "webscraping", q.RUN_TS)
-    return facts(rows).drop("finding")
+    return facts(rows)
 
 
 @query
@@ -209,6 +211,21 @@ def describe_numeric(t: Tables):
     return profile.describe_numeric(t["lineitem"], ["l_quantity", "l_extendedprice", "l_discount"])
 
 
+def _nan_prices(t: Tables) -> DataFrame:
+    price = F.when(F.col("l_linenumber") < 6, F.col("l_extendedprice")).otherwise(F.lit("NaN").cast("double"))
+    return t["lineitem"].select(price.alias("price"), "l_quantity")
+
+
+@query
+def describe_with_nan(t: Tables):
+    return profile.describe_numeric(_nan_prices(t), ["price", "l_quantity"])
+
+
+@query
+def outlier_report_with_nan(t: Tables):
+    return profile.outlier_report(_nan_prices(t), ["price"])
+
+
 @query
 def exact_medians(t: Tables):
     """Quartiles of every order price, discrete and interpolated."""
@@ -240,7 +257,7 @@ def sentiment_score(t: Tables):
 
 @query
 def sentiment_distribution(t: Tables):
-    return facts(trends.sentiment_distribution(t.scored(), q.RUN_TS)).drop("label")
+    return facts(trends.sentiment_distribution(t.scored(), q.RUN_TS))
 
 
 @query
@@ -267,7 +284,7 @@ def category_breakdown(t: Tables):
 
 @query
 def flag_breakdown(t: Tables):
-    return facts(trends.flag_breakdown(t.recipes(), q.RUN_TS)).drop("label")
+    return facts(trends.flag_breakdown(t.recipes(), q.RUN_TS))
 
 
 @query
@@ -399,6 +416,14 @@ def keyword_search_topn(t: Tables):
     return hits.select("query", "rank", "id", "title")
 
 
+@query
+def keyword_search_mixed_case(t: Tables):
+    """Each keyword in several spellings and an empty one: one query each, and none."""
+    spellings = [w for word in q.SEARCH_WORDS for w in (word, word.upper(), word.title())]
+    terms = t.spark.createDataFrame([(w,) for w in [*spellings, ""]], "term string")
+    return search.search_by_keywords(terms, t.recipes(), ["title", "cuisines"], 5).select("query", "rank", "id")
+
+
 @query
 def conversation_search(t: Tables):
     terms = keywords.top_terms(t.stored_articles(), TEXT, 10)
@@ -524,7 +549,7 @@ def run_summary(t: Tables):
 @query
 def governance_rows(t: Tables):
     rows = serving.fact_rows(t.governance()).withColumn("partition_date", F.col("partition_date").cast("string"))
-    return rows.select("kpi_name", "category", "source", "field", "value", "unit", "partition_date", "row_count")
+    return rows.select("kpi_name", "category", "source", "field", "value", "unit", "finding", "partition_date", "row_count")
 
 
 @query
@@ -549,7 +574,7 @@ def outliers_over_threshold(t: Tables):
 
 @query
 def kpi_table(t: Tables):
-    return serving.kpi_table(t.governance()).drop("finding")
+    return serving.kpi_table(t.governance())
 
 
 @query
@@ -567,7 +592,7 @@ def distinct_names(t: Tables):
 def storytelling_rows(t: Tables):
     """All storytelling facts of articles and recipes with their row count."""
     rows = serving.fact_rows(t.story())
-    return rows.select("aggregation", "category", "dimension_name", "dimension_value", "metric", "value", "row_count")
+    return rows.select("aggregation", "category", "dimension_name", "dimension_value", "metric", "value", "label", "row_count")
 
 
 def _sentiment_facts(t: Tables) -> DataFrame:
@@ -638,4 +663,4 @@ def narrative_summary(t: Tables):
         trends.source_comparison(scored, recipes, q.RUN_TS),
         trends.flag_breakdown(recipes, q.RUN_TS),
     ])
-    return serving.narrative_summary(written_once(rows)).drop("top_diet_label", "narrative")
+    return serving.narrative_summary(written_once(rows))

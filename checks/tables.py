@@ -11,11 +11,10 @@ from trendlake.plans.gold import gold_articles
 from trendlake.plans.governance import table_facts
 from trendlake.plans.silver import clean_articles
 from trendlake.plans.storytelling import storytelling_facts
-from trendlake.session import spread, written_once
+from trendlake.session import written_once
 from trendlake.sources.drift import union_all
 
 TEXT = "article_summary_clean"
-TEXT_TABLES = ("documents", "pages", "conversations")
 
 
 class Tables:
@@ -29,8 +28,7 @@ class Tables:
         return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
 
     def __getitem__(self, name: str) -> DataFrame:
-        table = self.scan(name)
-        return spread(table) if name in TEXT_TABLES else table
+        return self.scan(name)
 
     def raw_articles(self) -> DataFrame:
         """``documents`` as articles; the first line is the title, source and language are categories."""

@@ -52,14 +52,17 @@ def test_sentiment_on_documents_agrees_with_brute_force(spark, docs):
     assert all(abs(r.compound_score) < 1 for r in rows)
     for r in rows:
         assert r.compound_score == pytest.approx(python_score(r.clean.split(), LEXICON, BOOSTERS, NEGATIONS), abs=1.1e-4)
-    joined = sentiment.add_sentiment(
-        docs, "clean", lexicon, key="doc_id", boosters=BOOSTERS, negations=NEGATIONS, inline_limit=2
-    )
-    assert sorted(joined.select("doc_id", "compound_score", "sentiment_label").collect()) == sorted(
-        scored.select("doc_id", "compound_score", "sentiment_label").collect()
-    )
     with pytest.raises(ValueError):
-        sentiment.add_sentiment(docs, "clean", lexicon, inline_limit=2)
+        sentiment.add_sentiment(docs, "clean", lexicon, limit=2)
+
+
+def test_sentiment_is_the_same_at_any_lexicon_size(spark):
+    small = spark.createDataFrame([("great", 3.1), ("bad", -2.5), ("great", 1.0), (None, 4.0), ("good", None)], "token string, valence double")
+    filler = spark.range(100_000).select(F.concat(F.lit("zz"), F.col("id").cast("string")).alias("token"), F.lit(1.0).alias("valence"))
+    df = spark.createDataFrame([(None, "very great"), (1, "not bad great"), (1, "good"), (2, None)], "k int, clean string")
+    few, many = (sentiment.add_sentiment(df, "clean", lexicon).collect() for lexicon in (small, small.union(filler)))
+    assert few == many and few[0].compound_score == pytest.approx(python_score(["very", "great"], {"great": 3.1}, sentiment.default_boosters(), []), abs=1.1e-4)
+    assert few[2].compound_score == 0.0
 
 
 def test_sentiment_rules(spark):
@@ -180,8 +183,9 @@ def test_entities(spark):
     gazetteer = spark.createDataFrame(names, "name string, entity_type string")
     got = {(r.entity_type, r.name): r.mentions for r in entities.entity_counts(df, "title", gazetteer).collect()}
     assert got == {("restaurant", "Le Bernardin"): 3, ("neighborhood", "Midtown"): 2, ("neighborhood", "Midtown East"): 1}
-    joined = entities.entity_counts(df, "title", gazetteer, inline_limit=2)
-    assert {(r.entity_type, r.name): r.mentions for r in joined.collect()} == got
+    filler = spark.range(60_000).select(F.concat(F.lit("name "), F.col("id").cast("string")).alias("name"), F.lit("chef").alias("entity_type"))
+    large = entities.entity_counts(df, "title", gazetteer.union(filler))
+    assert {(r.entity_type, r.name): r.mentions for r in large.collect()} == got
     best = entities.named_entities(df, "title", gazetteer, TS, top_n=1).collect()
     assert {(r.dimension_value, r.label) for r in best} == {("restaurant", "Le Bernardin"), ("neighborhood", "Midtown")}
     assert entities.entity_counts(df, "title", gazetteer.limit(0)).count() == 0

@@ -1,9 +1,12 @@
 """Properties of the physical plans that matter at scale."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from trendlake.operators import dedupe, entities, search, sentiment
-from trendlake.session import spread, written_once
+from trendlake.operators.quantiles import exact_quantiles
+from trendlake.session import work_folder, written_once
 
 
 def plan(df):
@@ -60,7 +63,25 @@ def test_shared_table_lies_in_the_checkpoint_folder(spark):
     assert df.count() == 3 and all(folder in f for f in df.inputFiles())
 
 
-def test_spread_leaves_large_tables_alone(spark):
-    df = spark.range(10).coalesce(1)
-    assert spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(df, limit_bytes=1) is df
+def test_work_folder_is_deleted_at_the_end(spark):
+    with work_folder(spark) as folder:
+        assert written_once(spark.range(3), folder).count() == 3 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
+
+
+def test_quantiles_take_few_jobs(spark, sf_dir):
+    lines = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet")
+    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("quantiles", "")
+    exact_quantiles(lines, columns, [0.25, 0.75])
+    exact_jobs = len(tracker.getJobIdsForGroup("quantiles"))
+    spark.sparkContext.setJobGroup("other", "")
+    assert exact_jobs <= 9  # four passes; the last two stages of a pass are separate jobs under adaptive execution
+
+
+def test_dedupe_exchanges_no_text_as_key(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for df in (dedupe.keep_first(docs, ["text"], ["doc_id"]), dedupe.key_duplicates(docs, "text")):
+        keys = [line for line in plan(df).splitlines() if "hashpartitioning(" in line]
+        assert keys and all("hashpartitioning(text" not in line for line in keys)

@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -71,8 +72,25 @@ def test_daily_run_writes_every_table(lake, spark):
     assert dishes[1].ingredient_names == "oyster" and dishes[1].cuisines == "Asian"
 
 
+def test_a_day_can_be_run_again_and_after_later_ones(spark, tmp_path):
+    for day in (27, 28):
+        posts, dishes = (tmp_path / "bronze" / t / f"dt=2026-05-{day}" for t in ("articles", "recipes"))
+        posts.mkdir(parents=True)
+        dishes.mkdir(parents=True)
+        (posts / "one.json").write_text(json.dumps([article(day, "great ramen")]))
+        (dishes / "r.json").write_text(json.dumps({"results": [recipe(day, "Ramen bowl")]}))
+    catalogue = landed.read_recipes(spark, str(tmp_path / "bronze/recipes/dt=2026-05-28")).drop("_source_file")
+    inputs = daily.Inputs(spark.createDataFrame([("great", 3.1)], "token string, valence double"), STOP, ["ramen"], catalogue=catalogue)
+    first = daily.run_daily(spark, str(tmp_path), inputs, TS)
+    assert daily.run_daily(spark, str(tmp_path), inputs, TS) == first
+    stored = spark.read.parquet(f"{tmp_path}/silver/articles").select("article_id", F.col("dt").cast("string").alias("dt"))
+    assert [tuple(r) for r in stored.collect()] == [("a27", "2026-05-27")]
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    assert not [d for d in os.listdir(folder) if d.startswith("job-")]
+
+
 def test_governance_serving(lake, spark):
-    facts = spark.read.parquet(f"{lake[1]}/governance").drop("dt")
+    facts = spark.read.parquet(f"{lake[1]}/governance")
     values = {(r.kpi_name, r.source, r.field): r.value for r in facts.collect()}
     assert values[("record_count", "api", None)] == 4 and values[("duplicate_rate", "api", "id")] == 25.0
     assert values[("duplicate_rate", "webscraping", "article_id")] == 0.0
@@ -95,7 +113,7 @@ def test_governance_serving(lake, spark):
 
 
 def test_storytelling_serving(lake, spark):
-    facts = spark.read.parquet(f"{lake[1]}/storytelling").drop("dt")
+    facts = spark.read.parquet(f"{lake[1]}/storytelling")
     names = {r.aggregation for r in facts.collect()}
     assert names == {
         "sentiment_distribution", "sentiment_trend", "top_keywords", "top_bigrams", "keyword_sentiment", "source_comparison",
@@ -110,7 +128,7 @@ def test_storytelling_serving(lake, spark):
     assert [(r.name, r.mentions) for r in serving.entities(facts).collect()] == [("Ramen", 3)]
     row = serving.narrative_summary(facts).first()
     assert (row.top_keyword, row.pct_positive, row.recipe_count, row.top_diet) == ("ramen", 66, 3, "vegetarian")
-    assert row.narrative.startswith('This week, "ramen" is') and "100.0% of recipes recipes are trending" in row.narrative
+    assert row.narrative.startswith("Talk of the week: ramen; 66%") and row.narrative.endswith("100.0% of recipes.")
     assert serving.positive_share(facts).first().pct_positive == 66
     assert serving.dominant_label(facts).first().label == "positive"
     pivot = {r.source: r for r in serving.source_metrics(facts).collect()}
@@ -144,6 +162,11 @@ def test_streamed_ingest_drops_repeated_ids(spark, tmp_path):
         stream.start_ingest(rows, STOP, table, state).awaitTermination(120)
     got = {r.article_id: r.article_summary_clean for r in spark.read.parquet(table).collect()}
     assert got == {"a1": "great ramen", "a2": "bad pizza", "a3": "new text"}
+    (source / "odd.json").write_text(json.dumps([article(9, "when?", date_extracted="yesterday")]))
+    stream.start_ingest(rows, STOP, table, state).awaitTermination(120)
+    stream.start_rejects(rows, str(tmp_path / "rejects"), str(tmp_path / "state2")).awaitTermination(120)
+    assert [r.article_id for r in spark.read.parquet(str(tmp_path / "rejects")).collect()] == ["a9"]
+    assert spark.read.parquet(table).count() == 3
 
 
 def test_weekly_windows_start_on_monday(spark):

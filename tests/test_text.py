@@ -22,6 +22,11 @@ def test_unescape_agrees_with_the_standard_library(spark):
     assert evaluate(spark, samples, text.unescape_html) == [html.unescape(s) for s in samples]
 
 
+def test_a_quoted_bracket_does_not_end_a_tag(spark):
+    samples = ['<a title="x>y">hello</a>', "<a t='>' b>x</a> <p it's>y", '<a t="open>z', "<b " + "a='>' " * 9_000 + ">end"]
+    assert evaluate(spark, samples, text.strip_html) == ["hello", "x y", "z", "end"]
+
+
 def test_strip_html_joins_text_nodes(spark):
     samples = [
         "<p>One <b>two</b>&nbsp;</p><!-- gone --><script>var t='</p>';</script> three",

@@ -42,7 +42,7 @@ def test_distribution(scored):
     got = facts(trends.sentiment_distribution(scored, TS))
     assert got[("positive", "count")] == (2.0, "50.0% of articles")
     assert got[("negative", "percentage")] == (25.0, "1 articles")
-    assert got[("all", "avg_compound_score")] == (0.1, "VADER compound")
+    assert got[("all", "avg_compound_score")] == (0.1, "mean score")
     assert sum(v for (_, m), (v, _) in got.items() if m == "count") == 4
     assert trends.sentiment_distribution(scored.limit(0), TS).count() == 0
 

@@ -2,7 +2,7 @@
 
 A small table becomes one literal, split into hash buckets so that a lookup
 costs a few comparisons whatever the table's size. The work stays in the JVM,
-no join and no shuffle. Tables beyond the bound must be joined instead.
+no join and no shuffle. Callers bound the table.
 """
 
 from __future__ import annotations
@@ -12,18 +12,9 @@ import zlib
 from collections.abc import Callable, Mapping
 from functools import lru_cache, partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-INLINE_LIMIT = 50_000
-
-
-def bounded_rows(df: DataFrame, limit: int = INLINE_LIMIT) -> list | None:
-    """The rows of a small side table, or None when it has more than ``limit``."""
-    rows = df.limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
-
-
 @lru_cache(maxsize=32)
 def _buckets(items: tuple[tuple[str, object], ...]) -> str:
     size = max(1, len(items) // 4)

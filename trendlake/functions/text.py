@@ -82,11 +82,15 @@ def unescape_html(text: Column) -> Column:
     return F.when(text.rlike("&[#a-zA-Z]"), decoded).otherwise(text)
 
 
+# A tag ends at the first > outside quotes; without a closing quote, at the first > of all.
+_TAG = r"""(?s)</?[a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|</?[a-zA-Z][^>]*+>|<[!?][^>]*+>"""
+
+
 def strip_html(text: Column) -> Column:
     """Visible text of an HTML fragment: text nodes trimmed and joined by a space."""
     visible = F.regexp_replace(unescape_html(text), r"(?is)<(script|style|template)\b.*?</\1\s*>", _NODE_BREAK)
     visible = F.regexp_replace(visible, r"(?s)<!--.*?-->", _NODE_BREAK)
-    visible = F.regexp_replace(visible, r"(?s)</?[a-zA-Z][^>]*>|<[!?][^>]*>", _NODE_BREAK)
+    visible = F.regexp_replace(visible, _TAG, _NODE_BREAK)
     nodes = F.transform(
         F.split(visible, _NODE_BREAK),
         lambda node: F.regexp_replace(unescape_html(node), r"(?U)^\s+|\s+$", ""),

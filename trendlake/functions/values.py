@@ -12,9 +12,20 @@ from trendlake.constants import NEGATIVE_UP_TO, POSITIVE_FROM
 
 
 def half_up(value: Column, digits: int) -> Column:
-    """Round half up on the double itself (same formula in any SQL engine)."""
+    """Round half up on the double itself (same formula in any SQL engine).
+
+    NaN and infinities stay; so does a number too large to have a fraction.
+    """
     scale = float(10**digits)
-    return F.floor(value.cast("double") * scale + 0.5) / F.lit(scale)
+    number = value.cast("double")
+    rounded = F.floor(number * scale + 0.5) / F.lit(scale)
+    return F.when(F.abs(number) * scale < 2.0**52, rounded).otherwise(number)
+
+
+def without_nan(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """``df`` with NaN as null in the floating-point columns among ``columns``."""
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))} & set(columns)
+    return df.withColumns({c: F.when(~F.isnan(F.col(c)), F.col(c)) for c in df.columns if c in floating})
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
@@ -40,7 +51,8 @@ def severity(value: Column, high: float = 80.0, medium: float = 20.0) -> Column:
 
 def to_int(value: Column) -> Column:
     """Whole number or null; text that is no number becomes null."""
-    number = value.try_cast("double")
+    plain = value.cast("string").rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$")
+    number = F.when(plain, value.try_cast("double"))
     return F.when(number == F.floor(number), number.try_cast("int"))
 
 

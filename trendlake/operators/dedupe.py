@@ -13,39 +13,43 @@ from trendlake.functions.values import columns_of, percent
 from trendlake.operators.longform import kpi_row, long_rows
 
 
+def _compact(field: T.StructField) -> Column:
+    """Long text shrinks to a digest, so whole documents are neither compared nor shuffled as keys."""
+    column = F.col(field.name)
+    if isinstance(field.dataType, T.StringType):
+        return F.when(F.length(column) > 64, F.concat(F.lit("#"), F.sha2(column, 256))).otherwise(column)
+    return column
+
+
+def _keys(df: DataFrame, names: Sequence[str]) -> list[Column]:
+    return [_compact(df.schema[name]).alias(f"_key{i}") for i, name in enumerate(names)]
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """One row per key, the smallest by ``order``; a null key is a key like any other.
 
     An aggregate, not a window: copies of a hot key are reduced before the shuffle.
     """
     row = F.struct(*[F.col(c) for c in df.columns])
-    return df.groupBy(*keys).agg(F.min_by(row, F.struct(*order)).alias("_row")).select("_row.*")
+    return df.groupBy(*_keys(df, keys)).agg(F.min_by(row, F.struct(*order)).alias("_row")).select("_row.*")
 
 
 def key_duplicates(df: DataFrame, key: str) -> DataFrame:
     """One row: ``total`` rows and ``duplicates`` beyond the first of each key."""
-    per_key = df.groupBy(key).agg(F.count("*").alias("_n"))
+    per_key = df.groupBy(*_keys(df, [key])).agg(F.count("*").alias("_n"))
     return per_key.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates")
     )
 
 
 def duplicate_rate(df: DataFrame, key: str, source: str, run_ts: datetime) -> DataFrame:
-    finding = F.format_string("%d duplicate records out of %d (keyed on %s)", "duplicates", "total", F.lit(key))
+    finding = F.format_string("%d of %d rows repeat a value of %s", "duplicates", "total", F.lit(key))
     rate = F.coalesce(percent(F.col("duplicates"), F.col("total")), F.lit(0.0))
     return long_rows(
         key_duplicates(df, key), [kpi_row("duplicate_rate", "uniqueness", source, key, rate, "%", finding)], run_ts
     )
 
 
-def _compact(field: T.StructField) -> Column:
-    """Long text shrinks to a digest, so whole documents are not shuffled."""
-    column = F.col(field.name)
-    if isinstance(field.dataType, T.StringType):
-        return F.when(F.length(column) > 64, F.concat(F.lit("#"), F.sha2(column, 256))).otherwise(column)
-    return column
-
-
 def full_row_duplicates(df: DataFrame) -> DataFrame:
     """One row: rows, full-row copies beyond the first over the scalar columns, and their rate."""
     scalar = set(columns_of(df, "scalar"))

@@ -8,7 +8,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendlake.functions.lookup import INLINE_LIMIT, bounded_rows
 from trendlake.functions.text import normalise
 from trendlake.operators.longform import long_rows, story_row
 
@@ -21,14 +20,12 @@ def entity_text(title: str, summary: str, max_chars: int | None = None):
     return F.concat(F.coalesce(F.col(title), F.lit("")), F.lit(". "), body)
 
 
-def entity_counts(
-    df: DataFrame, text: str, gazetteer: DataFrame, min_chars: int = 3, inline_limit: int = INLINE_LIMIT
-) -> DataFrame:
+def entity_counts(df: DataFrame, text: str, gazetteer: DataFrame, min_chars: int = 3) -> DataFrame:
     """``entity_type``, ``name``, ``mentions`` of whole-word phrase matches, ignoring case.
 
-    A gazetteer within the bound is broadcast, and only places whose word opens one
-    of its names become phrases. Beyond the bound phrases are counted before the
-    join, so a frequent phrase is one row when it meets the gazetteer.
+    Only places whose word opens a name become phrases, and phrases are counted before
+    they meet the gazetteer, so a frequent phrase is one row by then. Spark chooses how
+    to join by the gazetteer's size.
     """
     names = gazetteer.filter(F.length(F.trim("name")) >= min_chars).select(
         F.trim("name").alias("name"), "entity_type", normalise(F.col("name")).alias("phrase")
@@ -37,7 +34,7 @@ def entity_counts(
     lengths = [r["words"] for r in parts.select("words").distinct().orderBy("words").collect()]
     if not lengths:
         return df.sparkSession.createDataFrame([], "entity_type string, name string, mentions bigint")
-    openers = bounded_rows(parts.select("first"), inline_limit)
+    openers = parts.select(F.col("first").alias("w0")).distinct()
 
     words = df.select(F.split(normalise(F.col(text)), " ").alias("w"))
     shifted = [F.slice("w", i + 1, F.greatest(F.size("w"), F.lit(1))).alias(f"w{i}") for i in range(max(lengths))]
@@ -46,11 +43,8 @@ def entity_counts(
         F.when(F.col(f"w{n - 1}").isNotNull(), F.concat_ws(" ", *[f"w{i}" for i in range(n)])) for n in lengths
     ]
     found = F.explode(F.array_compact(F.array(*phrases))).alias("phrase")
-    if openers is not None:
-        opening = places.filter(F.col("w0").isin(sorted({r["first"] for r in openers})))
-        matched = opening.select(found).join(F.broadcast(names), "phrase").withColumn("n", F.lit(1))
-    else:
-        matched = places.select(found).groupBy("phrase").agg(F.count("*").alias("n")).join(names, "phrase")
+    phrases_found = places.join(openers, "w0", "left_semi").select(found).groupBy("phrase").agg(F.count("*").alias("n"))
+    matched = phrases_found.join(names, "phrase")
     return matched.groupBy("entity_type", "name").agg(F.sum("n").alias("mentions"))
 
 

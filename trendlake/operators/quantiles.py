@@ -1,21 +1,24 @@
 """Exact quantiles without gathering a column in one task.
 
-Rank brackets come from Spark's tree-aggregated approximate quantiles; only the
-values inside a bracket are counted and ordered. A bracket that still holds too
-many rows is narrowed again, so the ordered group stays bounded on any size.
+The wanted ranks of all columns are closed in together. In each round, one pass takes
+approximate percentiles on both sides of every open rank from the values still in
+question, and one counts how the values lie to them; a rank falls onto one of them or
+between two. Both ends are then left out, so every round leaves fewer different values.
+What is left of all ranks is ordered in one last pass, once it is at most ``limit``
+different values for each.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GROUP_LIMIT = 50_000
+LIMIT = 50_000
+ERROR = 0.001
 
 
 def _number(name: str) -> Column:
@@ -33,53 +36,84 @@ def _ranks(n: int, p: float, interpolate: bool) -> tuple[int, int, float]:
     return rank, rank, 0.0
 
 
-Bracket = tuple[str, float, float, int]
-
-
-def _counted(df: DataFrame, ranges: list[tuple[str, float, float]]) -> list[tuple[int, int]]:
-    """Rows below and rows inside each (column, low, high), in one pass."""
-    counts = df.agg(*[
-        count.alias(f"{tag}{i}")
-        for i, (c, low, high) in enumerate(ranges)
-        for tag, count in (("less", F.count_if(_number(c) < low)), ("within", F.count_if(_number(c).between(low, high))))
+@dataclass
+class Span:
+    """An open interval of one column that has the value of some ranks; ``below`` values lie before it."""
+
+    column: str
+    low: float | None
+    high: float | None
+    below: int
+    inside: int
+    distinct: int
+    ranks: tuple[int, ...]
+
+    def holds(self) -> Column:
+        value = _number(self.column)
+        after = value.isNotNull() if self.low is None else value > self.low
+        return after if self.high is None else after & (value < self.high)
+
+
+def _unpivoted(df: DataFrame, spans: Sequence[Span]) -> DataFrame:
+    """(span, v): the values of every span."""
+    entries = [F.when(s.holds(), F.struct(F.lit(i).alias("span"), _number(s.column).alias("v"))) for i, s in enumerate(spans)]
+    return df.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+
+
+def _narrowed(df: DataFrame, spans: Sequence[Span], error: float, known: dict) -> list[Span]:
+    """The parts of ``spans`` in which their ranks lie; ranks that fall onto a cut are added to ``known``."""
+    cuts: dict[int, list[float]] = {}
+    for i, s in enumerate(spans):
+        shares = sorted({min(max((r - s.below + d) / s.inside + e, 0.0), 1.0) for r in s.ranks for d, e in ((0, -2 * error), (1, 2 * error))})
+        cuts[i] = shares
+    values = _unpivoted(df, spans)
+    accuracy = math.ceil(1 / error)
+    picked = {
+        i: F.percentile_approx(F.when(F.col("span") == i, F.col("v")), shares, accuracy).alias(f"c{i}") for i, shares in cuts.items()
+    }
+    found = values.agg(*picked.values()).first()
+    ends = {i: sorted(set(found[f"c{i}"])) for i in cuts}
+    counts = values.agg(*[
+        column.alias(f"{tag}{i}_{k}")
+        for i, values_ in ends.items()
+        for k, cut in enumerate([*values_, None])
+        for tag, column in _counts(i, values_[k - 1] if k else None, cut)
     ]).first()
-    return [(counts[f"less{i}"], counts[f"within{i}"]) for i in range(len(ranges))]
-
-
-def _around(share: float, error: float) -> list[float]:
-    return [max(share - 2 * error, 0.0), min(share + 2 * error, 1.0)]
-
-
-def _first_brackets(df: DataFrame, ranks: list[tuple[str, int]], sizes: dict, limit: int, error: float) -> dict:
-    """Bracket (column, low, high, rows below) and rows inside, per (column, rank); two jobs for all."""
-    result = {(c, r): ((c, sizes[c][1], sizes[c][2], 0), sizes[c][0]) for c, r in ranks}
-    large = [(c, r) for c, r in ranks if sizes[c][0] > limit]
-    if not large:
-        return result
-    columns = sorted({c for c, _ in large})
-    shares = sorted({b for c, r in large for b in _around(r / sizes[c][0], error)})
-    numbers = df.select(*[_number(c).alias(c) for c in columns])
-    found = dict(zip(columns, numbers.approxQuantile(columns, shares, error)))
-    ranges = [
-        (c, *[found[c][shares.index(b)] for b in _around(r / sizes[c][0], error)]) for c, r in large
-    ]
-    for (c, rank), (_, low, high), (less, within) in zip(large, ranges, _counted(df, ranges)):
-        if less <= rank < less + within:
-            result[(c, rank)] = ((c, low, high, less), within)
-    return result
-
-
-def _narrow(df: DataFrame, bracket: Bracket, inside: int, rank: int, limit: int, error: float) -> Bracket:
-    """The bracket with at most ``limit`` rows or a single value left."""
-    name, low, high, below = bracket
-    while inside > limit and low < high:
-        rows = df.select(_number(name).alias(name)).filter(F.col(name).between(low, high))
-        new_low, new_high = rows.approxQuantile(name, _around((rank - below) / inside, error), error)
-        [(less, within)] = _counted(rows, [(name, new_low, new_high)])
-        if not below + less <= rank < below + less + within or within == inside:
-            break
-        low, high, below, inside = new_low, new_high, below + less, within
-    return name, low, high, below
+    parts = []
+    for i, s in enumerate(spans):
+        below, low = s.below, s.low
+        for k, cut in enumerate([*ends[i], None]):
+            inside, same = counts[f"within{i}_{k}"], counts[f"same{i}_{k}"]
+            ranks = tuple(r for r in s.ranks if below <= r < below + inside)
+            if ranks:
+                high = s.high if cut is None else cut
+                parts.append(Span(s.column, low, high, below, inside, counts[f"kinds{i}_{k}"], ranks))
+            below += inside
+            known.update({(s.column, r): cut for r in s.ranks if below <= r < below + same})
+            below, low = below + same, cut
+    return parts
+
+
+def _counts(span: int, low: float | None, cut: float | None) -> list[tuple[str, Column]]:
+    own, v = F.col("span") == span, F.col("v")
+    between = own if low is None else own & (v > low)
+    between = between if cut is None else between & (v < cut)
+    same = F.lit(0) if cut is None else F.count_if(own & (v == cut))
+    return [("within", F.count_if(between)), ("same", same), ("kinds", F.approx_count_distinct(F.when(between, v)))]
+
+
+def _ordered(df: DataFrame, spans: Sequence[Span], known: dict) -> None:
+    """Order the few values of all spans and look their ranks up."""
+    order = Window.partitionBy("span").orderBy("v")
+    counted = _unpivoted(df, spans).groupBy("span", "v").agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(order))
+    hit = F.lit(False)
+    for i, s in enumerate(spans):
+        for r in s.ranks:
+            at = r - s.below
+            hit = hit | ((F.col("span") == i) & (F.col("upto") > at) & (F.col("upto") - F.col("n") <= at))
+    for row in counted.filter(hit).collect():
+        s = spans[row["span"]]
+        known.update({(s.column, r): row["v"] for r in s.ranks if row["upto"] - row["n"] <= r - s.below < row["upto"]})
 
 
 def exact_quantiles(
@@ -87,64 +121,42 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     interpolate: bool = True,
-    group_limit: int = GROUP_LIMIT,
-    error: float = 0.001,
+    limit: int = LIMIT,
+    error: float = ERROR,
 ) -> dict[str, list[float | None]]:
     """Exact quantiles per column; a handful of scalars, so they return as Python floats.
 
     ``interpolate`` picks the continuous definition, otherwise the smallest value
     whose cumulative share reaches the probability. Nulls and NaN do not count.
     """
-    row = df.agg(
-        *[f(_number(c)).alias(f"{tag}_{i}") for i, c in enumerate(columns) for tag, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
-    ).first()
-    sizes = {c: (row[f"n_{i}"], row[f"lo_{i}"], row[f"hi_{i}"]) for i, c in enumerate(columns)}
-    ranks = sorted({
-        (c, r) for c in columns if sizes[c][0] for p in probabilities for r in _ranks(sizes[c][0], p, interpolate)[:2]
-    })
-    brackets: list[Bracket] = []
-    wanted: dict[tuple[str, int], tuple[int, int]] = {}
-    for (name, rank), (bracket, inside) in _first_brackets(df, ranks, sizes, group_limit, error).items():
-        bracket = _narrow(df, bracket, inside, rank, group_limit, error)
-        if bracket not in brackets:
-            brackets.append(bracket)
-        wanted[(name, rank)] = (brackets.index(bracket), rank - bracket[3])
-    found = _values_at(df, brackets, sorted(set(wanted.values())))
+    sizes = df.agg(*[
+        f(_number(c)).alias(f"{tag}{i}") for i, c in enumerate(columns) for tag, f in (("n", F.count), ("kinds", F.approx_count_distinct))
+    ]).first()
+    known: dict[tuple[str, int], float] = {}
+    spans = []
+    for i, c in enumerate(columns):
+        n = sizes[f"n{i}"]
+        ranks = {r for p in probabilities for r in _ranks(n, p, interpolate)[:2]} if n else set()
+        if ranks:
+            spans.append(Span(c, None, None, 0, n, sizes[f"kinds{i}"], tuple(sorted(ranks))))
+    ready = []
+    while spans:
+        ready += [s for s in spans if s.distinct <= limit]
+        spans = [s for s in spans if s.distinct > limit]
+        if spans:
+            spans = _narrowed(df, spans, error, known)
+    if ready:
+        _ordered(df, ready, known)
 
     result: dict[str, list[float | None]] = {}
-    for name in columns:
-        n = sizes[name][0]
+    for i, name in enumerate(columns):
+        n = sizes[f"n{i}"]
         result[name] = []
         for p in probabilities:
             if not n:
                 result[name].append(None)
                 continue
             low, high, share = _ranks(n, p, interpolate)
-            a, b = found[wanted[(name, low)]], found[wanted[(name, high)]]
+            a, b = known[(name, low)], known[(name, high)]
             result[name].append(a + (b - a) * share)
     return result
-
-
-def _values_at(df: DataFrame, brackets: list, targets: list[tuple[int, int]]) -> dict[tuple[int, int], float]:
-    """Value at each (bracket, rank inside the bracket); one job for all of them."""
-    known = {(b, rank): brackets[b][1] for b, rank in targets if brackets[b][1] == brackets[b][2]}
-    targets = [t for t in targets if t not in known]
-    if not targets:
-        return known
-    open_ = {b: brackets[b][:3] for b, _ in targets}
-    entries = [
-        F.when(_number(c).between(lo, hi), F.struct(F.lit(b).alias("b"), _number(c).alias("v")))
-        for b, (c, lo, hi) in open_.items()
-    ]
-    inside = reduce(or_, [_number(c).between(lo, hi) for c, lo, hi in open_.values()])
-    values = df.filter(inside).select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
-    order = Window.partitionBy("b").orderBy("v")
-    counted = values.groupBy("b", "v").agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(order))
-    hit = F.lit(False)
-    for b, rank in targets:
-        hit = hit | ((F.col("b") == b) & (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank))
-    rows = counted.filter(hit).collect()
-    return known | {
-        (b, rank): next(r["v"] for r in rows if r["b"] == b and r["upto"] - r["n"] <= rank < r["upto"])
-        for b, rank in targets
-    }

@@ -19,17 +19,21 @@ def _best_per_query(hits: DataFrame, number: int) -> DataFrame:
 
 
 def _details(best: DataFrame, recipes: DataFrame) -> DataFrame:
-    """Full rows of the hits; the hits are few (queries x number), the recipes are not moved."""
-    return recipes.join(F.broadcast(best.select("query", "rank", "id")), "id").select("query", "rank", *recipes.columns)
+    """Full rows of the hits; where the hits (queries x number) are few, Spark does not move the recipes."""
+    return recipes.join(best.select("query", "rank", "id"), "id").select("query", "rank", *recipes.columns)
 
 
 def search_by_keywords(
     keywords: DataFrame, recipes: DataFrame, columns: Sequence[str], number: int = 5, score: str = "spoonacularScore"
 ) -> DataFrame:
-    """The ``number`` best recipes whose text contains each keyword (``term``); keywords without hits give no row."""
+    """The ``number`` best recipes whose text contains each keyword (``term``); keywords without hits give no row.
+
+    Keywords are compared in lower case; equal ones are one query, empty ones none.
+    """
     text = F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
     narrow = recipes.select("id", F.col(score).alias("score"), text.alias("_text"))
-    listed = narrow.withColumn("_terms", keywords.agg(F.collect_list(F.lower("term"))).scalar())
+    terms = keywords.select(F.lower("term").alias("term")).filter("term <> ''").agg(F.collect_set("term"))
+    listed = narrow.withColumn("_terms", terms.scalar())
     hits = listed.select(
         F.explode(F.filter("_terms", lambda t: F.contains(F.col("_text"), t))).alias("query"), "id", "score"
     )

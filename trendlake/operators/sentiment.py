@@ -2,8 +2,7 @@
 
 A document's lexicon words are found in its array of words and scored with the
 three words before them, so scoring needs no explode, no window and no shuffle.
-The lexicon is a constant lookup when it is small; a larger one is joined once
-to the distinct words of the documents and travels as a per-document map.
+The lexicon is a constant lookup.
 """
 
 from __future__ import annotations
@@ -17,11 +16,14 @@ from pyspark.sql import functions as F
 from trendlake.constants import (
     BOOSTER_STEP, DAMPENERS, DISTANCE_DAMPING, INTENSIFIERS, NEGATION_FACTOR, NEGATIONS, NORMALISATION_ALPHA,
 )
-from trendlake.functions.lookup import INLINE_LIMIT, bounded_rows, bucket_table, constant_lookup, let, look_up
+from trendlake.functions.lookup import bucket_table, constant_lookup, let, look_up
 from trendlake.functions.text import tokens_of
 from trendlake.functions.values import half_up, sentiment_label
 
 
+LEXICON_LIMIT = 1_000_000
+
+
 def default_boosters() -> dict[str, float]:
     return {**dict.fromkeys(INTENSIFIERS, BOOSTER_STEP), **dict.fromkeys(DAMPENERS, -BOOSTER_STEP)}
 
@@ -75,46 +77,34 @@ def token_sentiment(
     return let(let(tokens, total), lambda t: half_up(t / F.sqrt(t * t + NORMALISATION_ALPHA), 4))
 
 
-def _lexicon_maps(df: DataFrame, tokens: Column, lexicon: DataFrame, key: str) -> DataFrame:
-    """Per document, the lexicon entries that occur in it."""
-    words = df.select(key, F.explode(F.array_distinct(tokens)).alias("token"))
-    entry = F.struct("token", "valence")
-    return words.join(lexicon, "token").groupBy(key).agg(F.map_from_entries(F.collect_list(entry)).alias("_lexicon"))
+def _entries(lexicon: DataFrame, limit: int) -> dict[str, float]:
+    """Valence of each token; of a repeated token the greatest counts, null tokens and valences do not."""
+    known = lexicon.select("token", F.col("valence").cast("double").alias("valence")).dropna()
+    rows = known.groupBy("token").agg(F.max("valence").alias("valence")).limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"a lexicon may have {limit} tokens")
+    return {r["token"]: r["valence"] for r in rows}
 
 
 def add_sentiment(
     df: DataFrame,
     text: str,
     lexicon: DataFrame,
-    key: str | None = None,
     boosters: Mapping[str, float] | None = None,
     negations: Sequence[str] = tuple(NEGATIONS),
-    inline_limit: int = INLINE_LIMIT,
+    limit: int = LEXICON_LIMIT,
 ) -> DataFrame:
     """``df`` plus ``compound_score`` and ``sentiment_label`` of a cleaned text column.
 
-    ``lexicon`` has ``token`` and ``valence``. ``key`` (unique per row) is needed
-    only for a lexicon of more than ``inline_limit`` entries.
+    ``lexicon`` has ``token`` and ``valence``. Whatever its size it becomes a constant;
+    beyond ``limit`` tokens, which no lexicon of a language has, it is refused.
     """
     boosters = default_boosters() if boosters is None else boosters
-    entries = bounded_rows(lexicon.select("token", F.col("valence").cast("double")), inline_limit)
-    tokens = tokens_of(F.col(text))
-    if entries is not None:
-        valences = {r[0]: r[1] for r in entries}
-        names = list(valences)
-
-        def inline(table: Column) -> Column:
-            return token_sentiment(tokens, partial(look_up, table), lambda w: w.isin(names), boosters, negations)
-
-        score = let(bucket_table(valences, "double"), inline)
-        scored = df.withColumn("compound_score", score)
-    else:
-        if key is None:
-            raise ValueError(f"a lexicon of more than {inline_limit} entries needs the row key")
-        joined = df.join(_lexicon_maps(df, tokens, lexicon, key), key, "left")
-        def mapped(word: Column) -> Column:
-            return F.element_at("_lexicon", word)
-
-        score = token_sentiment(tokens, mapped, lambda w: mapped(w).isNotNull(), boosters, negations)
-        scored = joined.withColumn("compound_score", score).drop("_lexicon").select(*df.columns, "compound_score")
-    return scored.withColumn("sentiment_label", sentiment_label(F.col("compound_score")))
+    valences = _entries(lexicon, limit)
+
+    def scored(table: Column) -> Column:
+        lookup = partial(look_up, table)
+        return token_sentiment(tokens_of(F.col(text)), lookup, lambda w: lookup(w).isNotNull(), boosters, negations)
+
+    with_score = df.withColumn("compound_score", let(bucket_table(valences, "double"), scored))
+    return with_score.withColumn("sentiment_label", sentiment_label(F.col("compound_score")))

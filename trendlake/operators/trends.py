@@ -38,7 +38,7 @@ def sentiment_distribution(scored: DataFrame, run_ts: datetime) -> DataFrame:
         story_row(*name, "sentiment_label", F.col("sentiment_label"), "percentage", F.col("percentage"),
                   F.format_string("%d articles", "n")),
         F.when(F.col("first"), story_row(*name, "overall", "all", "avg_compound_score",
-                                         half_up(F.coalesce("mean", F.lit(0.0)), 4), "VADER compound")),
+                                         half_up(F.coalesce("mean", F.lit(0.0)), 4), "mean score")),
     ]
     return long_rows(counts, rows, run_ts)
 

@@ -22,6 +22,7 @@ from trendlake.plans.gold import gold_articles, gold_recipes
 from trendlake.plans.governance import governance_facts
 from trendlake.plans.silver import silver_articles, silver_recipes
 from trendlake.plans.storytelling import TEXT, storytelling_facts
+from trendlake.session import work_folder
 from trendlake.sources import landed, partitions, sinks
 from trendlake.sources.drift import read_reconciled
 
@@ -41,10 +42,9 @@ class Inputs:
     catalogue: DataFrame | None = None
 
 
-def _table(spark: SparkSession, path: str) -> DataFrame:
-    """Newest partition of a Parquet table whose files may have drifted."""
-    newest = partitions.latest_partition_path(spark, path, required=True)
-    files = partitions.file_listing(spark, newest, "*.parquet").select("path")
+def _table(spark: SparkSession, path: str, day: date) -> DataFrame:
+    """The day's partition of a Parquet table whose files may have drifted."""
+    files = partitions.file_listing(spark, partitions.partition_path(spark, path, day), "*.parquet").select("path")
     return read_reconciled(spark, [r.path for r in files.collect()])
 
 
@@ -56,32 +56,45 @@ def land_keyword_hits(keywords: DataFrame, catalogue: DataFrame, path: str, day:
     files = payload.select(
         "results", F.size("results").alias("totalResults"), slug(F.col("query")).alias("query")
     ).withColumn("dt", F.lit(day).cast("date"))
-    files.write.partitionBy("dt", "query").mode("append").option("maxRecordsPerFile", 1).json(path)
+    writer = files.write.partitionBy("dt", "query").mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("maxRecordsPerFile", 1).json(path)
 
 
 def run_daily(
     spark: SparkSession, base: str, inputs: Inputs, run_ts: datetime, target: str | None = None,
     retention_days: int = RETENTION_DAYS,
 ) -> dict[str, int]:
-    """Run every step for the day of ``run_ts``; returns rows written per table."""
+    """Run every step for the day of ``run_ts``; returns rows written per table.
+
+    A run reads what had landed up to its day and the partitions it has written itself,
+    so a day can be run again, also after later ones. Intermediate tables are deleted at
+    the end.
+    """
+    with work_folder(spark) as folder:
+        return _run(spark, base, inputs, run_ts, target, retention_days, folder)
+
+
+def _run(
+    spark: SparkSession, base: str, inputs: Inputs, run_ts: datetime, target: str | None, retention_days: int, folder: str
+) -> dict[str, int]:
     day = run_ts.date()
     bronze, silver, gold = f"{base}/bronze", f"{base}/silver", f"{base}/gold"
     written: dict[str, int] = {}
 
-    articles = landed.read_articles(spark, partitions.latest_partition_path(spark, f"{bronze}/articles"))
+    articles = landed.read_articles(spark, partitions.partition_path(spark, f"{bronze}/articles", day))
     written["silver_articles"] = sinks.write_dated(
         silver_articles(articles, inputs.stop_words), f"{silver}/articles", day
     )
     if inputs.catalogue is not None:
-        cleaned = _table(spark, f"{silver}/articles")
+        cleaned = _table(spark, f"{silver}/articles", day)
         columns = ["article_summary_clean", "article_title_clean"]
         keywords = trending_keywords(cleaned, columns, 10, inputs.vocabulary, inputs.vectors, inputs.seeds)
         land_keyword_hits(keywords, inputs.catalogue, f"{bronze}/recipes", day)
 
-    recipes = landed.read_recipes(spark, partitions.latest_partition_path(spark, f"{bronze}/recipes"))
+    recipes = landed.read_recipes(spark, partitions.partition_path(spark, f"{bronze}/recipes", day))
     written["silver_recipes"] = sinks.write_dated(silver_recipes(recipes), f"{silver}/recipes", day)
 
-    cleaned_articles, cleaned_recipes = _table(spark, f"{silver}/articles"), _table(spark, f"{silver}/recipes")
+    cleaned_articles, cleaned_recipes = (_table(spark, f"{silver}/{t}", day) for t in ("articles", "recipes"))
     written["gold_recipes"] = sinks.write_dated(gold_recipes(cleaned_recipes), f"{gold}/gold_recipes", day)
     written["gold_articles"] = sinks.write_dated(gold_articles(cleaned_articles), f"{gold}/gold_articles", day)
 
@@ -96,11 +109,11 @@ def run_daily(
     )
     written["governance"] = sinks.write_dated(governance, f"{gold}/governance", day, small=True)
 
-    curated = _table(spark, f"{gold}/gold_articles")
-    scored = add_sentiment(curated, TEXT, inputs.lexicon, key="article_id")
+    curated = _table(spark, f"{gold}/gold_articles", day)
+    scored = add_sentiment(curated, TEXT, inputs.lexicon)
     story = storytelling_facts(
-        scored, _table(spark, f"{gold}/gold_recipes"), run_ts,
-        inputs.vocabulary, inputs.vectors, inputs.seeds, inputs.gazetteer,
+        scored, _table(spark, f"{gold}/gold_recipes", day), run_ts,
+        inputs.vocabulary, inputs.vectors, inputs.seeds, inputs.gazetteer, folder,
     )
     written["storytelling"] = sinks.write_dated(story, f"{gold}/storytelling", day)
 

@@ -58,7 +58,7 @@ def article_facts(df: DataFrame, run_ts: datetime, source: str = "webscraping")
 
 def silver_file_facts(files: DataFrame, run_ts: datetime) -> DataFrame:
     """Files in the newest partition of each source."""
-    finding = F.format_string("%d Parquet files in silver/%s/%s/", "latest_files", "source", F.col("latest_date").cast("string"))
+    finding = F.format_string("%d files of %s on %s", "latest_files", "source", F.col("latest_date").cast("string"))
     row = kpi_row("source_file_count", "volume", F.col("source"), None, F.col("latest_files"), "files", finding)
     return long_rows(inventory(files), [row], run_ts)
 
@@ -66,10 +66,9 @@ def silver_file_facts(files: DataFrame, run_ts: datetime) -> DataFrame:
 def ingestion_facts(files: DataFrame, run_ts: datetime) -> DataFrame:
     """Distinct ingestion dates and files per landed source."""
     dates = F.format_string(
-        "Bronze %s spans %d daily partition(s): [%s]", "source", "distinct_dates",
-        F.array_join(F.transform("dates", lambda d: F.concat(F.lit("'"), d, F.lit("'"))), ", "),
+        "%s landed on %d days: %s", "source", "distinct_dates", F.array_join("dates", ", "),
     )
-    counted = F.format_string("%d Bronze JSON files across all partitions for '%s'", "files", "source")
+    counted = F.format_string("%d landed files of %s", "files", "source")
     rows = [
         kpi_row("ingestion_distinct_dates", "timeliness", F.col("source"), None, F.col("distinct_dates"), "dates", dates),
         kpi_row("ingestion_file_count", "timeliness", F.col("source"), None, F.col("files"), "files", counted),

@@ -14,7 +14,9 @@ ENTITY_TYPES = ["restaurant", "neighborhood", "chef"]
 
 
 def current(facts: DataFrame) -> DataFrame:
-    """Rows of the newest run."""
+    """Rows of the newest run. Of a dated table only the newest partition is read for it."""
+    if "dt" in facts.columns:
+        facts = newest(facts, "dt").drop("dt")
     return newest(facts, "computed_at")
 
 
@@ -186,8 +188,7 @@ def narrative_summary(facts: DataFrame) -> DataFrame:
         best(diets, "label", "dimension_value").alias("top_diet_label"),
     )
     sentence = F.format_string(
-        'This week, "%s" is the most discussed food topic in NYC media, with %d%% positive coverage. '
-        "%d matching recipes are available in the database. %s recipes are trending.",
+        "Talk of the week: %s; %d%% of the coverage is positive. Recipes to go with it: %d. Leading diet: %s.",
         F.coalesce("top_keyword", F.lit("—")), "pct_positive", "recipe_count", F.coalesce("top_diet_label", F.lit("—")),
     )
     return one.withColumn("narrative", sentence)

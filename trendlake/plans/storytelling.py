@@ -25,14 +25,15 @@ def storytelling_facts(
     vectors: DataFrame | None = None,
     seeds: Sequence[str] = (),
     gazetteer: DataFrame | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """All aggregations over scored articles and recipes.
 
-    ``scored`` comes from ``add_sentiment``. Its needed columns are written once, as
-    every aggregation reads them.
+    ``scored`` comes from ``add_sentiment``. Its needed columns are written once (to
+    ``folder``, or the shared one), as every aggregation reads them.
     """
     needed = [TEXT, "article_title", "categories", "published_date", "compound_score", "sentiment_label"]
-    scored = written_once(select_present(scored, needed))
+    scored = written_once(select_present(scored, needed), folder)
     scores = tfidf_scores(scored, TEXT)
     if vocabulary is not None:
         scores = scores.join(topic_terms(scores, vocabulary, vectors, seeds), "term", "left_semi")

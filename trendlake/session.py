@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-OWN_FOLDER = "trendlake.checkpoint.dir"
-
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -28,31 +27,30 @@ def build_session(app: str = "trendlake", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def written_once(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read back.
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; where it is unset, a folder in the warehouse, which is shared as well."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+
+
+def written_once(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """``df`` written to ``folder`` (the shared one) and read back.
 
     For a table that several aggregations of one job read: it is computed once, read
-    by column, and survives lost executors. The folder is the session's
-    ``spark.checkpoint.dir``; only a local session without one gets a temporary folder.
+    by column, and survives lost executors.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(OWN_FOLDER, None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="trendlake-")
-        spark.conf.set(OWN_FOLDER, folder)
-    path = f"{folder}/trendlake/{uuid.uuid4()}"
+    path = f"{folder or shared_folder(spark)}/trendlake/{uuid.uuid4()}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, limit_bytes: int = 1 << 30) -> DataFrame:
-    """Rows dealt out to all cores when a small file holds them in too few row groups.
-
-    Text work is bound by the processor, and one row group is one task. Tables above
-    the limit are split by their row groups already and are never moved.
-    """
-    spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(spark.sparkContext.defaultParallelism) if size < limit_bytes else df
+@contextmanager
+def work_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own in the shared one for a job's intermediate tables, deleted at the job's end."""
+    folder = f"{shared_folder(spark)}/job-{uuid.uuid4()}"
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -17,7 +17,7 @@ POSITION = "_position"
 def read_recipes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per recipe of the ``results`` arrays; files with empty results give no rows."""
     files = spark.read.schema(schemas.RECIPE_FILE).option("multiLine", True).option("recursiveFileLookup", True).json(path)
-    return files.select("results", F.col("_metadata.file_name").alias(SOURCE_FILE)).selectExpr(
+    return files.select("results", F.col("_metadata.file_path").alias(SOURCE_FILE)).selectExpr(
         "inline(results)", SOURCE_FILE
     )
 
@@ -25,7 +25,7 @@ def read_recipes(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_articles(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per article of the JSON arrays, with its file and its position there."""
     files = spark.read.schema(schemas.ARTICLE_FILE).option("multiLine", True).option("recursiveFileLookup", True).json(path)
-    return files.withColumns({SOURCE_FILE: F.col("_metadata.file_name"), POSITION: F.monotonically_increasing_id()})
+    return files.withColumns({SOURCE_FILE: F.col("_metadata.file_path"), POSITION: F.monotonically_increasing_id()})
 
 
 def _feed(spark: SparkSession, path: str | list[str], tag: str, schema: str) -> DataFrame:

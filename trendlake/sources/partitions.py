@@ -55,6 +55,12 @@ def latest_partition_path(spark: SparkSession, base: str, required: bool = False
     return found[-1][1]
 
 
+def partition_path(spark: SparkSession, base: str, day: date) -> str:
+    """Newest date directory up to ``day``; later ones belong to later runs. Without any the base itself."""
+    found = [path for name, path in _directories(spark, base) if name <= day.isoformat()]
+    return found[-1] if found else base
+
+
 def latest_partition_date(spark: SparkSession, base: str) -> str | None:
     found = _directories(spark, base)
     return found[-1][0] if found else None

@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from trendlake.sources.partitions import latest_partition_date, latest_partition_path
 
 
-def write_dated(df: DataFrame, path: str, day: date, small: bool = False) -> int:
+def write_dated(df: DataFrame, path: str, day: date, small: bool = False, resize: bool = True) -> int:
     """Replace the day's partition of a Parquet table; the row count comes from the same job.
 
     ``small`` writes one file and is meant for aggregates of bounded size only;
-    otherwise Spark sizes the files itself.
+    otherwise Spark sizes the files itself, unless ``resize`` is off for rows that come
+    in files of good size already.
     """
     counted = Observation()
-    sized = df.coalesce(1) if small else df.hint("rebalance")
+    sized = df.coalesce(1) if small else df.hint("rebalance") if resize else df
     rows = sized.observe(counted, F.count(F.lit(1)).alias("rows"))
     writer = rows.withColumn("dt", F.lit(day).cast("date")).write.partitionBy("dt")
     writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
@@ -41,6 +42,6 @@ def publish_latest(spark: SparkSession, base: str, target: str, tables: list[str
         if day is None:
             continue
         part = spark.read.parquet(latest_partition_path(spark, f"{base}/{table}", required=True))
-        rows = write_dated(part, f"{target}/{table}", date.fromisoformat(day))
+        rows = write_dated(part, f"{target}/{table}", date.fromisoformat(day), resize=False)
         published.append((table, day, rows))
     return spark.createDataFrame(published, "table string, dt string, rows bigint")

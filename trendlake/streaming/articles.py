@@ -14,17 +14,22 @@ from trendlake.sources import schemas
 
 
 def stream_articles(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
-    """Articles of the files that land below ``path``, with publication and extraction time."""
+    """Articles of the files that land below ``path``, with publication and extraction time (null if unreadable)."""
     reader = spark.readStream.schema(schemas.ARTICLE_FILE).option("multiLine", True).option("recursiveFileLookup", True)
     return reader.option("maxFilesPerTrigger", files_per_trigger).json(path).withColumns({
         "published_at": parse_published(F.col("published_date")),
         "extracted_at": F.try_to_timestamp("date_extracted", F.lit("yyyyMMdd_HHmmss")),
-    }).filter(F.col("extracted_at").isNotNull())
+    })
 
 
 def deduplicated(articles: DataFrame, delay: str = "30 days") -> DataFrame:
-    """First row per article id; an id is forgotten once extraction has moved on by the delay."""
-    return articles.withWatermark("extracted_at", delay).dropDuplicatesWithinWatermark(["article_id"])
+    """First row per article id among rows with an extraction time.
+
+    An id is forgotten once extraction has moved on by ``delay``: a copy that lands later
+    comes through again, so the state stays bounded. The curated table removes it.
+    """
+    timed = articles.filter(F.col("extracted_at").isNotNull())
+    return timed.withWatermark("extracted_at", delay).dropDuplicatesWithinWatermark(["article_id"])
 
 
 def start_ingest(articles: DataFrame, stop_words: Sequence[str], table: str, checkpoint: str) -> StreamingQuery:
@@ -34,6 +39,12 @@ def start_ingest(articles: DataFrame, stop_words: Sequence[str], table: str, che
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).format("parquet").start(table)
 
 
+def start_rejects(articles: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    """Append the rows without a readable extraction time, which the ingest cannot place, and stop."""
+    writer = articles.filter(F.col("extracted_at").isNull()).writeStream.outputMode("append")
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).format("parquet").start(table)
+
+
 def weekly_windows(scored: DataFrame, time: str = "published_at", delay: str = "7 days") -> DataFrame:
     """Mean score and count per Monday week; the offset moves epoch weeks (Thursday) to Monday."""
     weeks = scored.withWatermark(time, delay).groupBy(F.window(time, "7 days", "7 days", "4 days"))
