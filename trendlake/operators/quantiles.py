@@ -13,6 +13,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,16 +50,18 @@ class Span:
     distinct: int
     ranks: tuple[int, ...]
 
-    def holds(self) -> Column:
-        value = _number(self.column)
-        after = value.isNotNull() if self.low is None else value > self.low
-        return after if self.high is None else after & (value < self.high)
+    def holds(self, low: float | None = None, high: float | None = None) -> Column:
+        """Whether a row's value lies in the span, or in a part of it."""
+        value, low, high = _number(self.column), self.low if low is None else low, self.high if high is None else high
+        after = value.isNotNull() if low is None else value > low
+        return after if high is None else after & (value < high)
 
 
 def _unpivoted(df: DataFrame, spans: Sequence[Span]) -> DataFrame:
-    """(span, v): the values of every span."""
+    """(span, v): the values of every span, one row for each."""
     entries = [F.when(s.holds(), F.struct(F.lit(i).alias("span"), _number(s.column).alias("v"))) for i, s in enumerate(spans)]
-    return df.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+    inside = reduce(or_, [s.holds() for s in spans])
+    return df.filter(inside).select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
 
 
 def _narrowed(df: DataFrame, spans: Sequence[Span], error: float, known: dict) -> list[Span]:
@@ -66,18 +70,16 @@ def _narrowed(df: DataFrame, spans: Sequence[Span], error: float, known: dict) -
     for i, s in enumerate(spans):
         shares = sorted({min(max((r - s.below + d) / s.inside + e, 0.0), 1.0) for r in s.ranks for d, e in ((0, -2 * error), (1, 2 * error))})
         cuts[i] = shares
-    values = _unpivoted(df, spans)
     accuracy = math.ceil(1 / error)
-    picked = {
-        i: F.percentile_approx(F.when(F.col("span") == i, F.col("v")), shares, accuracy).alias(f"c{i}") for i, shares in cuts.items()
-    }
-    found = values.agg(*picked.values()).first()
+    found = df.agg(*[
+        F.percentile_approx(F.when(spans[i].holds(), _number(spans[i].column)), shares, accuracy).alias(f"c{i}") for i, shares in cuts.items()
+    ]).first()
     ends = {i: sorted(set(found[f"c{i}"])) for i in cuts}
-    counts = values.agg(*[
+    counts = df.agg(*[
         column.alias(f"{tag}{i}_{k}")
         for i, values_ in ends.items()
         for k, cut in enumerate([*values_, None])
-        for tag, column in _counts(i, values_[k - 1] if k else None, cut)
+        for tag, column in _counts(spans[i], values_[k - 1] if k else None, cut)
     ]).first()
     parts = []
     for i, s in enumerate(spans):
@@ -94,12 +96,10 @@ def _narrowed(df: DataFrame, spans: Sequence[Span], error: float, known: dict) -
     return parts
 
 
-def _counts(span: int, low: float | None, cut: float | None) -> list[tuple[str, Column]]:
-    own, v = F.col("span") == span, F.col("v")
-    between = own if low is None else own & (v > low)
-    between = between if cut is None else between & (v < cut)
-    same = F.lit(0) if cut is None else F.count_if(own & (v == cut))
-    return [("within", F.count_if(between)), ("same", same), ("kinds", F.approx_count_distinct(F.when(between, v)))]
+def _counts(span: Span, low: float | None, cut: float | None) -> list[tuple[str, Column]]:
+    between, value = span.holds(low, cut), _number(span.column)
+    same = F.lit(0) if cut is None else F.count_if(value == cut)
+    return [("within", F.count_if(between)), ("same", same), ("kinds", F.approx_count_distinct(F.when(between, value)))]
 
 
 def _ordered(df: DataFrame, spans: Sequence[Span], known: dict) -> None:
