@@ -566,6 +566,14 @@ ORACLE: dict[str, str] = {
     "SELECT day, count(*) AS n, count(DISTINCT batch) AS batches FROM n ANTI JOIN r USING (day, batch) GROUP BY 1",
     "union_by_name": "SELECT lang, role, count(*) AS n, sum(id)::BIGINT AS ids FROM (SELECT doc_id AS id, lang FROM documents UNION ALL BY NAME SELECT conv_id AS id, role FROM conversations) GROUP BY 1, 2",
     "run_summary": " UNION ALL ".join(f"SELECT '{n}' AS \"table\", count(*) AS rows, 1 AS files FROM {n}" for n in ("documents", "pages", "conversations", "lineitem", "orders")),
+    # landing
+    "recipe_payload_rows": f"WITH {RECIPES} SELECT id, title, cuisines, spoonacularScore, healthScore, readyInMinutes, vegetarian, replace(ingredient_names, ', ', '|') AS ingredients, readyInMinutes || 'd' AS cookingMinutes, NULL::VARCHAR AS license, dishTypes || '-' || readyInMinutes AS _source_file FROM recipes",
+    "silver_recipes": f"WITH {RECIPES} SELECT id, title, cuisines, dishTypes, diets, readyInMinutes AS preparationMinutes, NULL::INTEGER AS cookingMinutes, ingredient_names, title || ' Serve.' AS instructions_text, title || ' for & all' AS summary, NULL::VARCHAR AS license FROM recipes",
+    "gold_recipes": f"WITH {RECIPES} SELECT id, title, cuisines, vegetarian, ingredient_names, array_to_string(list_filter([CASE WHEN vegetarian THEN 'vegetarian' END, CASE WHEN vegan THEN 'vegan' END, CASE WHEN glutenFree THEN 'gluten_free' END, CASE WHEN dairyFree THEN 'dairy_free' END], lambda x: x IS NOT NULL), '|') AS tags FROM recipes",
+    "article_payload_rows": r"SELECT doc_id::VARCHAR AS article_id, regexp_extract(text, '^[^.\n]*') AS article_title, text AS article_summary, source || '|' || lang AS categories, lang AS author, f AS _source_file FROM documents, (SELECT unnest(['a.json', 'b.json']) AS f)",
+    "silver_articles": f"WITH {ARTICLES} SELECT article_id::VARCHAR AS article_id, article_title, title_clean AS article_title_clean, clean AS article_summary_clean, author FROM articles",
+    "rss_rows": "SELECT p_partkey::VARCHAR AS article_id, CASE WHEN p_size > 3 THEN p_name ELSE 'Untitled' END AS article_title, 'http://x/?a&b=' || p_partkey AS article_url, '' AS author, 'Tue, 26 May 2026 10:11:12 GMT' AS published_date, CASE WHEN p_size > 40 THEN 'Long ' ELSE 'Short ' END || p_name AS article_summary, 'feed' AS source, 'New York City' AS location_focus, p_brand || '|' || p_type AS categories FROM part",
+    "atom_rows": "SELECT p_partkey::VARCHAR AS article_id, p_name AS article_title, 'http://x/' || p_partkey AS article_url, p_brand AS author, CASE WHEN p_size > 25 THEN '2026-05-26T10:11:12-04:00' ELSE '2026-05-27' END AS published_date, p_name AS article_summary, 'feed' AS source, 'New York City' AS location_focus, p_type AS categories FROM part",
     # serving
     "governance_rows": f"WITH {GOVERNANCE} SELECT *, '{q.RUN_TS.date()}' AS partition_date, (SELECT count(*) FROM facts) AS row_count FROM facts",
     "kpi_summary": f"WITH {GOVERNANCE} SELECT (sum(value) FILTER (kpi_name = 'record_count'))::BIGINT AS total_records, max(value) FILTER (kpi_name = 'null_rate') AS max_null_rate, max(value) FILTER (kpi_name = 'duplicate_rate') AS duplicate_rate, min(value) FILTER (kpi_name = 'schema_compliance_rate') AS schema_compliance_rate FROM facts",

@@ -10,10 +10,10 @@ from checks.tables import TEXT, Tables
 from trendlake.functions import nested, text, values
 from trendlake.operators import dedupe, entities, keywords, profile, search, trends
 from trendlake.operators.quantiles import exact_quantiles
-from trendlake.plans import serving
+from trendlake.plans import gold, serving, silver
 from trendlake.plans.governance import ingestion_facts
 from trendlake.session import written_once
-from trendlake.sources import batches, drift, landed, partitions
+from trendlake.sources import batches, drift, landed, partitions, schemas
 from trendlake.streaming.articles import weekly_windows
 
 REGISTRY: dict = {}
@@ -544,6 +544,118 @@ def run_summary(t: Tables):
     return drift.union_all(counted).groupBy("table").agg(F.count("*").alias("rows"), F.count_distinct("file").alias("files"))
 
 
+# --- landing ------------------------------------------------------------------
+# Payloads are made of the tables' rows and read by the schemas and rules of the landed files.
+
+def _recipe_payloads(t: Tables) -> DataFrame:
+    """One ``results`` payload for each brand and size, with list columns as lists."""
+    lists = {c: F.split(c, ", ") for c in ("cuisines", "dishTypes", "diets")}
+    parts = F.transform(F.split("ingredient_names", ", "), lambda n: F.struct(n.alias("name")))
+    steps = F.array(F.struct(F.array(F.struct(F.col("title").alias("step")), F.struct(F.lit("Serve.").alias("step"))).alias("steps")))
+    recipes = t.recipes().withColumns(lists).withColumns({
+        "extendedIngredients": parts, "analyzedInstructions": steps,
+        "summary": F.concat(F.lit("<b>"), "title", F.lit("</b> for &amp; all")), "preparationMinutes": F.col("readyInMinutes").cast("string"),
+        "cookingMinutes": F.concat(F.col("readyInMinutes").cast("string"), F.lit("d")),
+    }).drop("ingredient_names")
+    one = recipes.select("dishTypes", "readyInMinutes", F.struct(*recipes.columns).alias("recipe"))
+    files = one.groupBy("dishTypes", "readyInMinutes").agg(F.to_json(F.struct(F.collect_list("recipe").alias("results"))).alias("body"))
+    name = F.concat_ws("-", F.get("dishTypes", 0), "readyInMinutes").alias(landed.SOURCE_FILE)
+    return files.select(F.from_json("body", schemas.RECIPE_FILE)["results"].alias("results"), name)
+
+
+@query
+def recipe_payload_rows(t: Tables):
+    rows = landed.recipe_rows(_recipe_payloads(t))
+    return rows.select(
+        "id", "title", F.array_join("cuisines", "|").alias("cuisines"), "spoonacularScore", "healthScore", "readyInMinutes", "vegetarian",
+        F.array_join(F.col("extendedIngredients.name"), "|").alias("ingredients"), "cookingMinutes", "license", landed.SOURCE_FILE,
+    )
+
+
+@query
+def silver_recipes(t: Tables):
+    rows = silver.silver_recipes(landed.recipe_rows(_recipe_payloads(t)))
+    return rows.select(
+        "id", "title", "cuisines", "dishTypes", "diets", "preparationMinutes", "cookingMinutes", "ingredient_names", "instructions_text",
+        "summary", "license",
+    )
+
+
+@query
+def gold_recipes(t: Tables):
+    """Every recipe lands twice; one stays."""
+    rows = silver.silver_recipes(landed.recipe_rows(_recipe_payloads(t)))
+    curated = gold.gold_recipes(rows.unionByName(rows))
+    return curated.select("id", "title", "cuisines", "vegetarian", "ingredient_names", F.array_join("dietary_tags", "|").alias("tags"))
+
+
+def _stamped(df: DataFrame) -> DataFrame:
+    return df.withColumns({landed.SOURCE_FILE: F.lit("feed"), landed.POSITION: F.col("doc_id")})
+
+
+def _article_payloads(t: Tables) -> DataFrame:
+    """Each document as a payload of one article, in two files."""
+    body = F.to_json(F.struct(
+        F.col("source"), F.regexp_extract("text", r"^[^.\n]*", 0).alias("article_title"), F.col("doc_id").cast("string").alias("article_id"),
+        F.col("lang").alias("author"), F.col("text").alias("article_summary"), F.array("source", "lang").alias("categories"),
+    ))
+    parsed = t["documents"].select("doc_id", F.from_json(body, schemas.ARTICLE_FILE).alias("a"))
+    rows = parsed.select("a.*", "doc_id", F.explode(F.array(F.lit("b.json"), F.lit("a.json"))).alias(landed.SOURCE_FILE))
+    return rows.withColumnRenamed("doc_id", landed.POSITION)
+
+
+@query
+def article_payload_rows(t: Tables):
+    rows = _article_payloads(t)
+    return rows.select("article_id", "article_title", "article_summary", F.array_join("categories", "|").alias("categories"), "author", landed.SOURCE_FILE)
+
+
+@query
+def silver_articles(t: Tables):
+    """Each article lands in two files; the first one stays and is cleaned."""
+    rows = silver.silver_articles(_article_payloads(t), q.STOP_WORDS)
+    return rows.select("article_id", "article_title", "article_title_clean", TEXT, "author")
+
+
+def _element(tag: str, value):
+    escaped = F.replace(F.replace(value, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    return F.concat(F.lit(f"<{tag}>"), escaped, F.lit(f"</{tag}>"))
+
+
+_ARTICLE = ["article_id", "article_title", "article_url", "author", "published_date", "article_summary", "source", "location_focus"]
+
+
+@query
+def rss_rows(t: Tables):
+    """Parts as feed items; small ones lack a title, large ones carry the long text."""
+    name, size = F.col("p_name"), F.col("p_size")
+    item = F.concat(
+        F.lit("<item>"), F.when(size > 3, _element("title", name)).otherwise(""), _element("link", F.concat(F.lit("http://x/?a&b="), F.col("p_partkey").cast("string"))),
+        _element("guid", F.col("p_partkey").cast("string")), _element("pubDate", F.lit("Tue, 26 May 2026 10:11:12 GMT")),
+        _element("description", F.concat(F.lit("<p>Short  "), name, F.lit("</p>"))),
+        F.when(size > 40, _element("content:encoded", F.concat(F.lit("<b>Long</b> "), name))).otherwise(""),
+        _element("category", F.col("p_brand")), _element("category", F.lit("")), _element("category", F.col("p_type")), F.lit("</item>"),
+    )
+    parsed = t["part"].select("p_partkey", F.from_xml(item, schemas.RSS_ITEM).alias("i")).select("i.*", F.col("p_partkey").alias("doc_id"))
+    rows = landed.rss_articles(_stamped(parsed), "feed", F.lit("20260527_080000"))
+    return rows.select(*_ARTICLE, F.array_join("categories", "|").alias("categories"))
+
+
+@query
+def atom_rows(t: Tables):
+    """Parts as feed entries; the alternate link counts, the update time stands in for a missing publication."""
+    name, key = F.col("p_name"), F.col("p_partkey").cast("string")
+    entry = F.concat(
+        F.lit("<entry>"), _element("title", name), _element("id", key), F.lit("<author>"), _element("name", F.col("p_brand")), F.lit("</author>"),
+        F.when(F.col("p_size") > 25, _element("published", F.lit("2026-05-26T10:11:12-04:00"))).otherwise(""), _element("updated", F.lit("2026-05-27")),
+        F.lit('<link rel="self" href="http://s/"/><link rel="alternate" href="http://x/'), key, F.lit('"/>'), _element("summary", F.concat(F.lit("<i>"), name, F.lit("</i>"))),
+        F.lit('<category term="'), F.col("p_type"), F.lit('"/></entry>'),
+    )
+    parsed = t["part"].select("p_partkey", F.from_xml(entry, schemas.ATOM_ENTRY).alias("e")).select("e.*", F.col("p_partkey").alias("doc_id"))
+    rows = landed.atom_articles(_stamped(parsed), "feed", F.lit("20260527_080000"))
+    return rows.select(*_ARTICLE, F.array_join("categories", "|").alias("categories"))
+
+
 # --- serving ------------------------------------------------------------------
 
 @query

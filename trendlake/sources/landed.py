@@ -17,9 +17,12 @@ POSITION = "_position"
 def read_recipes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per recipe of the ``results`` arrays; files with empty results give no rows."""
     files = spark.read.schema(schemas.RECIPE_FILE).option("multiLine", True).option("recursiveFileLookup", True).json(path)
-    return files.select("results", F.col("_metadata.file_path").alias(SOURCE_FILE)).selectExpr(
-        "inline(results)", SOURCE_FILE
-    )
+    return recipe_rows(files.select("results", F.col("_metadata.file_path").alias(SOURCE_FILE)))
+
+
+def recipe_rows(payloads: DataFrame) -> DataFrame:
+    """One row per recipe of parsed payloads (``results`` and the source file)."""
+    return payloads.selectExpr("inline(results)", SOURCE_FILE)
 
 
 def read_articles(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -49,7 +52,11 @@ def _first_filled(*values: Column) -> Column:
 
 def read_rss(spark: SparkSession, path: str | list[str], source: str, extracted: Column) -> DataFrame:
     """RSS items as article rows."""
-    items = _feed(spark, path, "item", schemas.RSS_ITEM)
+    return rss_articles(_feed(spark, path, "item", schemas.RSS_ITEM), source, extracted)
+
+
+def rss_articles(items: DataFrame, source: str, extracted: Column) -> DataFrame:
+    """Article rows of parsed items, with their file and position."""
     categories = F.coalesce(F.col("category"), F.array().cast("array<string>"))
     return items.select(*_article(
         source, extracted,
@@ -65,7 +72,11 @@ def read_rss(spark: SparkSession, path: str | list[str], source: str, extracted:
 
 def read_atom(spark: SparkSession, path: str | list[str], source: str, extracted: Column) -> DataFrame:
     """Atom entries as article rows; the first link without a relation or with ``alternate`` counts."""
-    entries = _feed(spark, path, "entry", schemas.ATOM_ENTRY)
+    return atom_articles(_feed(spark, path, "entry", schemas.ATOM_ENTRY), source, extracted)
+
+
+def atom_articles(entries: DataFrame, source: str, extracted: Column) -> DataFrame:
+    """Article rows of parsed entries, with their file and position."""
     own = F.filter("link", lambda l: F.coalesce(l["_rel"], F.lit("")).isin("", "alternate"))
     terms = F.transform(F.coalesce(F.col("category"), F.array().cast("array<struct<_term: string>>")), lambda c: c["_term"])
     return entries.select(*_article(
