@@ -66,7 +66,7 @@ def rss_articles(items: DataFrame, source: str, extracted: Column) -> DataFrame:
         author=default_text(F.col("`dc:creator`")),
         published_date=default_text(F.col("pubDate")),
         article_summary=strip_tags_simple(_first_filled(F.col("`content:encoded`"), F.col("description"))),
-        categories=F.transform(F.filter(categories, lambda c: c.isNotNull() & (c != "")), F.trim),
+        categories=F.transform(F.filter(categories, lambda c: c.isNotNull() & (c != "")), lambda c: F.trim(c)),
     ))
 
 
@@ -87,7 +87,7 @@ def atom_articles(entries: DataFrame, source: str, extracted: Column) -> DataFra
         author=default_text(F.col("author.name")),
         published_date=_first_filled(F.col("published"), F.col("updated")),
         article_summary=strip_tags_simple(_first_filled(F.col("content"), F.col("summary"))),
-        categories=F.transform(F.filter(terms, lambda t: t.isNotNull() & (t != "")), F.trim),
+        categories=F.transform(F.filter(terms, lambda t: t.isNotNull() & (t != "")), lambda t: F.trim(t)),
     ))
 
 
