@@ -35,21 +35,18 @@ def corpus_words(df: DataFrame, text: str) -> DataFrame:
 
 
 def vocabulary(words: DataFrame, max_features: int) -> DataFrame:
-    """The most frequent terms with their ``total``; equal totals in term order."""
-    counted = words.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("total"))
-    return counted.orderBy(F.desc("total"), "term").limit(max_features)
+    """The most frequent terms with their ``total`` and ``documents``; equal totals in term order.
 
-
-def document_frequencies(words: DataFrame, terms: DataFrame) -> DataFrame:
-    """``documents`` per listed term; the row with the empty term counts all documents.
-
-    Only (document, listed term) pairs survive the join with the bounded list, and
-    they are counted before the shuffle.
+    The first row has the empty term and counts all documents. A term's first place in
+    a document's sorted words counts the document, so one grouping gives both numbers.
     """
-    mark = F.array(F.lit(DOCUMENT_MARK))
-    seen = words.select(F.explode(F.concat(mark, F.array_distinct("words"))).alias("term"))
-    listed = terms.select("term").union(terms.sparkSession.range(1).select(F.lit(DOCUMENT_MARK).alias("term")))
-    return seen.join(F.broadcast(listed), "term", "left_semi").groupBy("term").agg(F.count("*").alias("documents"))
+    ordered = words.select(F.array_sort("words").alias("w"))
+    places = F.transform("w", lambda term, i: F.struct(term.alias("term"), ((i == 0) | (F.get("w", i - 1) != term)).alias("first")))
+    mark = F.array(F.struct(F.lit(DOCUMENT_MARK).alias("term"), F.lit(True).alias("first")))
+    counted = ordered.select(F.inline(F.concat(mark, places))).groupBy("term").agg(
+        F.count("*").alias("total"), F.count_if("first").alias("documents")
+    )
+    return counted.orderBy(F.col("term") != DOCUMENT_MARK, F.desc("total"), "term").limit(max_features + 1)
 
 
 def tfidf_scores(df: DataFrame, text: str, max_features: int = MAX_FEATURES) -> DataFrame:
@@ -62,14 +59,12 @@ def tfidf_scores(df: DataFrame, text: str, max_features: int = MAX_FEATURES) ->
     """
     spark = df.sparkSession
     words = corpus_words(df, text)
-    listed = vocabulary(words, max_features).collect()
+    mark, *listed = vocabulary(words, max_features).collect() or [None]
     if not listed:
         return spark.createDataFrame([], SCORES_SCHEMA)
-    terms = spark.createDataFrame(listed, "term string, total bigint")
-    found = {r["term"]: r["documents"] for r in document_frequencies(words, terms).collect()}
-    documents = found[DOCUMENT_MARK]
+    documents = mark["documents"]
     names = [t["term"] for t in listed]
-    weights = Vectors.dense([math.log((1 + documents) / (1 + found[t])) + 1 for t in names])
+    weights = Vectors.dense([math.log((1 + documents) / (1 + t["documents"])) + 1 for t in listed])
     counted = CountVectorizerModel.from_vocabulary(names, inputCol="words", outputCol="tf")
     weighted = ElementwiseProduct(scalingVec=weights, inputCol="tf", outputCol="weighted")
     unit = Normalizer(p=2.0, inputCol="weighted", outputCol="unit")
