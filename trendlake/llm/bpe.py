@@ -19,7 +19,7 @@ import hashlib
 import json
 import re
 import unicodedata
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -36,8 +36,8 @@ from trendlake.llm.tables import Scratch
 
 WORD_BPE = "word_bpe_49k.json"
 LEXICON_WORDS = 65_536
-KEPT_WORDS = 300_000  # merged words that a worker remembers
-SLICE = 16 << 20
+KEPT_WORDS = 100_000  # merged words that a worker remembers
+SLICE = 6 << 20
 PLAIN_BELOW = 0x250  # code points that are stable under NFC and whose classes do not differ between Unicode versions
 
 
@@ -58,7 +58,7 @@ class WordBpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
-        self.library = Tokenizer.from_file(path)
+        self.path = path
         self.suffix = model["model"]["end_of_word_suffix"] or ""
         self.ids = dict(model["model"]["vocab"])
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
@@ -73,6 +73,11 @@ class WordBpe:
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.kept: dict[str, tuple[int, ...]] = {}
 
+    @cached_property
+    def library(self) -> Tokenizer:
+        """Needed for unusual characters only."""
+        return Tokenizer.from_file(self.path)
+
     def words_of(self, text: str) -> list[str]:
         """Words of a text without special tokens, normalised, in their own characters."""
         low = text.lower()

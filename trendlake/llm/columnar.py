@@ -12,15 +12,21 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 WORD_SPACE = frozenset(b"\x20\x09\x0a\x0b\x0c\x0d")
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def column_of(batch: pa.RecordBatch, column: str | tuple[str, str]) -> pa.Array:
+    """A column, or the field of a struct column that (column, field) names."""
+    return batch.column(column) if isinstance(column, str) else pc.struct_field(batch.column(column[0]), [column[1]])
+
+
+def slices(batch: pa.RecordBatch, column: str | tuple[str, str], limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Pieces of a batch whose ``column`` holds about ``limit`` bytes each (one row at least)."""
-    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    lengths = pc.fill_null(pc.binary_length(column_of(batch, column)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(lengths, dtype=np.int64)
     start = 0
     while start < batch.num_rows:
@@ -28,6 +34,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    pa.default_memory_pool().release_unused()  # a worker lives on, and its memory counts for the executor
 
 
 def map_batches(
@@ -45,9 +52,21 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
-def text_column(batch: pa.RecordBatch, column: str) -> pa.Array:
+def text_column(batch: pa.RecordBatch, column: str | tuple[str, str]) -> pa.Array:
     """The text of a batch, null read as empty, without an offset into shared buffers."""
-    return pa.concat_arrays([pc.fill_null(batch.column(column), "")])
+    return pa.concat_arrays([pc.fill_null(column_of(batch, column), "")])
+
+
+def with_row(docs: DataFrame, text: str, carry: list[str] | None, *others: Column) -> tuple[DataFrame, str | tuple[str, str]]:
+    """``docs`` as a struct ``row`` of the carried columns (all) and ``others``, and where the text is.
+
+    A text that is carried is not passed a second time.
+    """
+    names = docs.columns if carry is None else carry
+    row = F.struct(*(F.col(c) for c in names)) if names else F.lit(0)
+    if text in names:
+        return docs.select(row.alias("row"), *others), ("row", text)
+    return docs.select(row.alias("row"), *others, F.col(text).alias("text")), "text"
 
 
 def utf8_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendlake.llm.columnar import WORD_SPACE, slices, text_column, total_by_row, utf8_bytes
+from trendlake.llm.columnar import WORD_SPACE, slices, text_column, total_by_row, utf8_bytes, with_row
 from trendlake.llm.tables import Scratch
 
 WEIGHTS = (5.0, 2.0, 1.0)  # fixed values
@@ -59,15 +59,13 @@ def sized(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     ``grp`` stands for the source, is never null and sorts as the sources do.
     """
     grp = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("~"))
-    rows = docs.select(
-        F.struct(*(F.col(c) for c in carry or docs.columns)).alias("row"), grp.alias("grp"),
-        F.xxhash64(F.lit(SEED), F.col(key), F.col(text)).alias("spot"), F.col(text).alias("text"),
-    )
+    spot = F.xxhash64(F.lit(SEED), F.col(key), F.col(text))
+    rows, place = with_row(docs, text, carry, grp.alias("grp"), spot.alias("spot"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, "text"):
-                size = word_counts(text_column(piece, "text"))
+            for piece in slices(batch, place):
+                size = word_counts(text_column(piece, place))
                 columns = [piece.column("row"), piece.column("grp"), piece.column("spot"), pa.array(size.astype(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, ["row", "grp", "spot", "size"])
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendlake.llm.columnar import WORD_SPACE, Words, slices, text_column, total_by_row, utf8_bytes, window_hashes
+from trendlake.llm.columnar import WORD_SPACE, Words, slices, text_column, total_by_row, utf8_bytes, window_hashes, with_row
 from trendlake.llm.tables import Scratch
 
 MIN_WORDS = 50
@@ -86,13 +86,12 @@ def text_counts(texts: pa.Array) -> dict[str, np.ndarray]:
 
 def counted(docs: DataFrame, text: str = "text", host: str = "source", carry: list[str] | None = None) -> DataFrame:
     """(row, host, the counts, base_failed) of every row; ``row`` has the columns in ``carry`` (all)."""
-    carried = F.lit(0) if carry == [] else F.struct(*(F.col(c) for c in carry or docs.columns))
-    rows = docs.select(carried.alias("row"), F.col(host).cast("string").alias("host"), F.col(text).alias("text"))
+    rows, place = with_row(docs, text, carry, F.col(host).cast("string").alias("host"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, "text"):
-                counts = text_counts(text_column(piece, "text"))
+            for piece in slices(batch, place):
+                counts = text_counts(text_column(piece, place))
                 failed = (counts["n_words"] < MIN_WORDS) | (100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * counts["n_words"])
                 columns = [piece.column("row"), piece.column("host"), *(pa.array(counts[c].astype(np.int64)) for c in COUNTS)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(failed)], ["row", "host", *COUNTS, "base_failed"])

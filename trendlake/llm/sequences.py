@@ -41,7 +41,7 @@ BYTE_BPE = "byte_bpe_50k.json"
 END_ID = 2
 LENGTH = 2048
 SEQUENCES_PER_BATCH = 128
-KEPT_PIECES = 400_000  # encoded pieces that a worker remembers
+KEPT_PIECES = 150_000  # encoded pieces that a worker remembers
 
 
 def store(uri: str) -> tuple[pafs.FileSystem, str]:
