@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from trendlake.llm.columnar import map_batches, text_column
 from trendlake.llm.tables import Scratch
 
-CAPACITY = 4_096
+CAPACITY = 1_024
 MAX_DEPTH = 16
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
