@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -41,7 +42,8 @@ BYTE_BPE = "byte_bpe_50k.json"
 END_ID = 2
 LENGTH = 2048
 SEQUENCES_PER_BATCH = 128
-KEPT_PIECES = 150_000  # encoded pieces that a worker remembers
+SLICE = 8 << 20  # larger pieces of a batch have fewer different words to encode
+KEPT_PIECES = 400_000  # encoded pieces that a worker remembers
 
 
 def store(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -63,15 +65,18 @@ class PieceEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.kept: dict[str, list[int]] = {}
+        self.kept: dict[str, bytes] = {}
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
 
-    def pieces(self, strings: list[str]) -> list[list[int]]:
+    def packed(self, ids: list[int]) -> bytes:
+        return array("H" if self.dtype.itemsize == 2 else "I", ids).tobytes()
+
+    def pieces(self, strings: list[str]) -> list[bytes]:
         if len(self.kept) > KEPT_PIECES:
             self.kept.clear()
         new = [s for s in strings if s not in self.kept]
         for piece, encoding in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.kept[piece] = encoding.ids
+            self.kept[piece] = self.packed(encoding.ids)
         return [self.kept[s] for s in strings]
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -94,10 +99,11 @@ class PieceEncoder:
         used[key[plain]] = True
         wanted = np.flatnonzero(used)
         found = self.pieces([distinct[k >> 1] if k & 1 else " " + distinct[k >> 1] for k in wanted.tolist()])
-        rest = [self.library.encode(t, add_special_tokens=False).ids for t in texts.filter(pa.array(whole)).to_pylist()]
+        rest = [self.packed(self.library.encode(t, add_special_tokens=False).ids) for t in texts.filter(pa.array(whole)).to_pylist()]
 
-        length = np.fromiter(map(len, [*found, *rest]), np.int64, len(found) + len(rest))
-        flat = np.fromiter((i for ids in [*found, *rest] for i in ids), self.dtype, int(length.sum()))
+        stored = [*found, *rest]
+        length = np.fromiter(map(len, stored), np.int64, len(stored)) // self.dtype.itemsize
+        flat = np.frombuffer(b"".join(stored), self.dtype)
         start = np.cumsum(length) - length
         place = np.zeros(2 * len(distinct), np.int64)
         place[wanted] = np.arange(len(wanted))
@@ -223,7 +229,7 @@ def write_sequences(
         base, writer = f"{folder}/part-{shard:06d}", None
         encode = encoder(path)
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", SLICE):
                 writer = writer or ShardWriter(base, encode.dtype, length, batch.schema.field("key").type)
                 writer.add(piece.column("key"), *with_end(*encode.texts(text_column(piece, "text")), end_id))
         if writer:
