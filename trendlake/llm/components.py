@@ -25,13 +25,15 @@ def connected(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     while state[0]:
         step += 1
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # Minima are written: a join of two plain scans is one whose large keys Spark can split.
+        low = scratch.write(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), f"{name}-low")
         hung = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        low = hung.groupBy("a").agg(F.min("b").alias("m"))
-        tied = hung.join(low, "a")
-        flat = tied.select("a", F.col("m").alias("b")).unionByName(tied.select(F.col("b").alias("a"), F.col("m").alias("b")))
+        hung = scratch.write(hung, f"{name}-hung")
+        least = scratch.write(hung.groupBy("a").agg(F.min("b").alias("m")), f"{name}-least")
+        tied = hung.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        flat = tied.unionByName(least.withColumnRenamed("m", "b"))
         edges = scratch.write(flat.filter("a <> b").distinct(), f"{name}-{step}")
-        scratch.drop(f"{name}-{step - 1}")
+        scratch.drop(f"{name}-{step - 1}", f"{name}-low", f"{name}-hung", f"{name}-least")
         before, state = state, _state(edges)
         if state == before:
             break
