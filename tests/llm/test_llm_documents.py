@@ -234,6 +234,18 @@ def test_secret_spans(spark):
     assert secrets.scan(docs.limit(0)).collect() == []
 
 
+def test_values_that_base_spans_cover_in_part_are_measured():
+    def spans(text):
+        base = secrets.base_spans(text)
+        return secrets.written_spans(base + secrets.guess_spans(text, base))
+
+    digits = "0123456789abcdef01234567"
+    assert spans("password: Summer$kQ9#xv!Lp27zR") == "assign:0:16,guess:10:30"
+    assert spans(f"pwd: k!{digits}$Q") == "guess:5:33,hex:7:31"
+    assert spans("token=abc/def+0xK9mQ2vL7.)") == "assign:0:25" and spans("token: " + digits) == "assign:0:31,hex:7:31"
+    assert spans(" ".join(["password: Summer$kQ9#xv!Lp27zR"] * 50)).count("guess") == 50
+
+
 def test_guess_costs():
     easy = ["password123", "P@ssw0rd2023", "qwertyuiop", "aaaaaaaaaaaa", "20240131", "31/12/1999", "abcabcabcabc", "zyxwvu", ""]
     assert all(guess_cost(v) < 8 for v in easy) and guess_cost("") == 0

@@ -47,14 +47,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def guess_spans(text: str, base: list[tuple[int, int, int]], min_cost: float = MIN_COST) -> list[tuple[int, int, int]]:
-    """Credential values outside the base spans that are hard to guess."""
+    """Credential values that are hard to guess and that base spans do not cover from start to end."""
+    joined: list[list[int]] = []  # what the base spans cover, in pieces that do not touch
+    for start, _, stop in base:
+        if joined and start <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], stop)
+        else:
+            joined.append([start, stop])
     out, at = [], 0
     for m in CONTEXT.finditer(text):
-        while at < len(base) and base[at][2] <= m.start(1):
+        while at < len(joined) and joined[at][1] <= m.start(1):
             at += 1
         value = m[1].rstrip(".)]}")
         end = m.start(1) + len(value)
-        covered = any(start < end and m.start(1) < stop for start, _, stop in base[at : at + 4])
+        covered = at < len(joined) and joined[at][0] <= m.start(1) and end <= joined[at][1]
         if len(value) >= 6 and not covered and guess_cost(value) >= min_cost:
             out.append((m.start(1), 3, end))
     return out
