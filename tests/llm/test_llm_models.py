@@ -32,6 +32,39 @@ def test_values_are_found_validated_and_reversible(spark):
     assert pseudonyms.replace_personal(docs.limit(0), KEY).collect() == []
 
 
+def test_numbers_beside_a_value_do_not_hide_or_change_it(spark):
+    card, dashed, amex, phone = "4111 1111 1111 1111", "4111-1111-1111-1111", "3782 822463 10005", "+44 20 7946 0958"
+    odd, home = "41111111 11111111", "416-555-4060"
+    long = next(f"6212 3456 7890 1235 {n}" for n in range(100, 999) if luhn(f"6212345678901235{n}"))
+    assert not luhn("6212345678901235")
+    values = {"c": card, "d": dashed, "a": amex, "p": phone, "o": odd, "l": long, "h": home, "x": long.replace(" ", "")}
+    texts = [
+        "{c} 12/27", "{c} 123", "{c} 123.", "27 {c}", "{c} {d} {a} 1234", "{c} 416 555 4060 {c}", "{a} 12/27", "{o} 12/27", "{l} 12/27", "{x}", "{d} 123",
+        "{p} 12:30", "{p} 12/27", "{p} 12.50", "{p}, {p} 2024-02-29", "{p} {c}", "{p} {h}", "{c} {h}", "{h} {c}", "{p} 10.0.0.1", "{p}.", "{c} 123-45-6789",
+        "{l}", "{c} 10.0.0.1", "{p} {c} {c} 12/27", "{p} {d} {a}",
+    ]
+    docs = spark.createDataFrame([(i, t.format(**values)) for i, t in enumerate([*texts, *(f"{{{k}}}" for k in values)])], "doc_id long, text string")
+    rows = pseudonyms.replace_personal(docs, KEY).sort("doc_id").collect()
+    own = dict(zip(values, (r.text for r in rows[len(texts) :]), strict=True))
+    assert all(own[k] != v for k, v in values.items()) and own["l"].replace(" ", "") == own["x"]
+    plain = {"2024-02-29": "n_date", "123-45-6789": "n_ssn", "10.0.0.1": "n_ip", "416 555 4060": "n_phone"}
+    for text, r in zip(texts, rows, strict=False):
+        for other, count in plain.items():
+            assert (other in text) == (r[count] > sum(text.count(f"{{{k}}}") for k in "ph" if count == "n_phone")), text
+        pattern = re.escape(text.format(**{k: f"<{k}>" for k in values}))
+        for other in plain:
+            pattern = pattern.replace(re.escape(other), r"[\d. -]+")
+        for k in values:
+            pattern = pattern.replace(f"<{k}>", re.escape(own[k]))
+        assert re.fullmatch(pattern, r.text), (text, r.text)
+    made = spark.createDataFrame([(r.doc_id, r.text) for r in rows], "doc_id long, text string")
+    assert pseudonyms.replace_personal(made, KEY, back=True).sort("doc_id").select("text").collect() == docs.sort("doc_id").select("text").collect()
+
+
+def luhn(digits):
+    return sum(int(d) if i % 2 == 0 else sum(map(int, str(2 * int(d)))) for i, d in enumerate(reversed(digits))) % 10 == 0
+
+
 def brute_feistel(kind, left, right, a, b):
     for turn in range(pseudonyms.ROUNDS):
         keyed = int(hashlib.sha256(f"{KEY}|{kind}|{turn}|{right}".encode()).hexdigest()[:14], 16)

@@ -38,9 +38,26 @@ MAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,8}
 DATE = r"(?<![\w/.-])(?:(?:18|19|20|21)\d\d-\d\d-\d\d|\d\d/\d\d/(?:18|19|20|21)\d\d|\d\d\.\d\d\.(?:18|19|20|21)\d\d)(?![\w/-])"
 IP = r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\w]|\.\d)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
-CARD = r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])"
-PHONE = r"(?<![\w+])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])|(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,4}(?!\w)"
+_AREA = r"(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])"
+_FOURS = r"\d{4}(?: \d{4}){3}"
+_GROUPED = rf"(?:{_FOURS}|\d{{4}}(?:-\d{{4}}){{3,4}}|\d{{4}} \d{{6}} \d{{4,5}}|\d{{4}}-\d{{6}}-\d{{4,5}}|\d{{13,19}})(?![\w-])"
+# What a number after a space may be instead of one more group of the value before it.
+_OTHER = rf"\d++[:/]\d|{DATE}|{IP}|{SSN}|(?:\+?1[ .-]?)?{_AREA}"
+# Usual groups first, with three digits more where only the check digit can tell a long card from a card and its code;
+# then any groups, up to a number that is something else.
+CARD = (
+    rf"(?<![\w-])(?:{_FOURS} (?!{_OTHER}|{_GROUPED})\d{{3}}(?![\w-]|[.,/:]\d)|{_GROUPED}"
+    rf"|(?!{_OTHER})\d(?:(?! (?:{_OTHER}|{_GROUPED}))[ -]?\d){{12,18}}(?![\w-]))"
+)
+# A phone ends before cards. Groups of four digits are cards as far as fours of them fill the rest of the run.
+_NEXT = rf"{_OTHER}|(?!{_FOURS}){_GROUPED}|{_FOURS}(?: {_FOURS})*+(?! \d{{4}}(?!\w)|[\w-])"
+_GROUP = r"\(?\d{2,4}\)?"
+PHONE = (
+    rf"(?<![\w+])(?:\+?1[ .-]?)?{_AREA}"
+    rf"|(?<![\w+])\+\d{{1,3}}(?:(?:[.-]| (?!{_NEXT}))?{_GROUP}){{2}}(?:(?:[.-]| (?!{_NEXT}|\d++[.,]\d))?{_GROUP}){{0,2}}(?!\w)"
+)
 ANY = rf"(?<!\w)(?:{MAIL}|(?=[\d(+])(?:{DATE}|{IP}|{SSN}|{CARD}|{PHONE}))"
+LONG_WALK = 1_024  # a card of 19 digits is permuted until its first 16 are a card as before; nine of ten, or one of ten, are
 WALK = 64  # a day that may only be shown day first is permuted until it is one again; two of five are not
 
 
@@ -102,11 +119,32 @@ def luhn_digit(digits: Column) -> Column:
     return ((F.lit(10) - F.aggregate(doubled, F.lit(0), lambda s, x: s + x) % 10) % 10).cast("string")
 
 
+def _checked(digits: Column) -> Column:
+    """Whether the last digit is the check digit of the others."""
+    return luhn_digit(F.substring(digits, F.lit(1), F.length(digits) - 1)) == F.right(digits, F.lit(1))
+
+
 def _card(secret: str, value: Column, back: bool) -> Column:
-    digits = _digits(value)
-    body = F.substring(digits, F.lit(1), F.length(digits) - 1)
-    new = let(permuted_digits(secret, "card", body, back), lambda d: F.concat(d, luhn_digit(d)))
-    return F.when(luhn_digit(body) == F.right(digits, F.lit(1)), _as_formatted(value, new))
+    """Four groups of four digits that are a card stay one, whatever three digits follow."""
+
+    def permuted(body: Column) -> Column:
+        def again(d: Column) -> Column:
+            return permuted_digits(secret, "card", d, back)
+
+        def starts_alike(d: Column) -> Column:
+            return _checked(F.substring(d, 1, 16)) == _checked(F.substring(body, 1, 16))
+
+        turns = F.when(F.length(body) == 18, F.sequence(F.lit(1), F.lit(LONG_WALK))).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(turns, again(body), lambda d, _: F.when(starts_alike(d), d).otherwise(again(d)))
+
+    def replaced(own: Column) -> Column:
+        digits = _digits(own)
+        new = let(permuted(F.substring(digits, F.lit(1), F.length(digits) - 1)), lambda d: F.concat(d, luhn_digit(d)))
+        tail = F.substring(value, F.length(own) + 1, F.length(value))
+        return F.when(_checked(digits), F.concat(_as_formatted(own, new), tail))
+
+    followed = value.rlike(rf"^{_FOURS} \d{{3}}$") & _checked(_digits(F.substring(value, 1, 19)))
+    return let(F.when(followed, F.substring(value, 1, 19)).otherwise(value), replaced)
 
 
 def _ssn(secret: str, value: Column, back: bool) -> Column:
