@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from trendlake.llm import exact, mixing, quality, secrets, urls
+from trendlake.llm import exact, guesses, mixing, quality, secrets, urls
 from trendlake.llm.guesses import guess_cost
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -251,3 +251,51 @@ def test_guess_costs():
     assert all(guess_cost(v) < 8 for v in easy) and guess_cost("") == 0
     assert all(guess_cost(v) > 10 for v in ["xK9#mQ2$vL", "b7db7aa4a5fcc78305", "T7vq-Zp2w-8Kd"])
     assert guess_cost("dragon") < guess_cost("Dragon") < guess_cost("dr4g0nx")
+
+
+def brute_guess_cost(value, words):
+    single = [np.log10(10 if c.isdigit() else 26 if c.isalpha() else 95) for c in value]
+    pairs = len({r[i : i + 2] for r in guesses.ROWS for i in range(len(r) - 1)})
+    best = [0.0]
+    for end in range(1, len(value) + 1):
+        ways = []
+        for at in range(end):
+            span, ways_in = value[at:end], [sum(single[at:end])]
+            if span in words:
+                ways_in.append(np.log10(words[span] + 1))
+            if len(span) == 4 and span.isdigit() and span[:2] in ("19", "20"):
+                ways_in.append(guesses.YEAR_COST)
+            if len(set(span)) == 1 and len(span) >= 3:
+                ways_in.append(single[at] + np.log10(len(span)))
+            ways_in += [
+                sum(single[at : at + u]) + np.log10(len(span) // u)
+                for u in range(2, len(span) // 2 + 1) if len(span) % u == 0 and span == span[:u] * (len(span) // u)
+            ]
+            for step in (1, -1):
+                if len(span) >= 3 and all(any(a + b in r for r in guesses.ROWS) for a, b in (p[::step] for p in zip(span, span[1:], strict=False))):
+                    ways_in.append(np.log10(2 * pairs) + np.log10(len(span)))
+            ways.append(best[at] + min(ways_in))
+        best.append(min(ways))
+    return best[-1]
+
+
+@pytest.mark.parametrize(("signs", "size"), [("ab", 24), ("a#", 30), ("abc", 18), ("qwe1", 14), ("1234", 14), ("20194", 10)])
+def test_guess_costs_are_the_least(signs, size):
+    rng, words = np.random.default_rng(size), {"bab": 3, "ewe": 40, "aab": 1, "qwea": 2, "b": 5}
+    for _ in range(60):
+        value = "".join(rng.choice(list(signs), rng.integers(1, size)))
+        value *= int(rng.integers(1, 4))
+        want = brute_guess_cost(value, words)
+        assert guess_cost(value, words) == pytest.approx(want), value
+        for limit in (3.5, 6.0, 10.0):
+            got = guess_cost(value, words, limit)
+            assert got == pytest.approx(want) if want < limit - 1e-9 else got >= limit - 1e-9, (value, limit)
+
+
+def test_guess_costs_know_no_longest_repeat():
+    assert guess_cost("#!" * 129) == pytest.approx(2 * np.log10(95) + np.log10(129))
+    assert guess_cost("9417620" * 50) == pytest.approx(7 + np.log10(50))
+    assert guess_cost("abcdragon") <= guess_cost("abc") + guess_cost("dragon") + 1e-9  # the walk may end before its last letter
+    text = "pwd: " + "#!" * 129
+    assert secrets.guess_spans(text, secrets.base_spans(text)) == []
+    assert guess_cost("ab1" * 30_000, limit=10.0) < 10 and guess_cost("xK9#mQ2$vL" * 9_000, limit=10.0) == 10

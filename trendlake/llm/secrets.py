@@ -61,7 +61,7 @@ def guess_spans(text: str, base: list[tuple[int, int, int]], min_cost: float = M
         value = m[1].rstrip(".)]}")
         end = m.start(1) + len(value)
         covered = at < len(joined) and joined[at][0] <= m.start(1) and end <= joined[at][1]
-        if len(value) >= 6 and not covered and guess_cost(value) >= min_cost:
+        if len(value) >= 6 and not covered and guess_cost(value, limit=min_cost) >= min_cost:
             out.append((m.start(1), 3, end))
     return out
 
