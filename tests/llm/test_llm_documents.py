@@ -299,3 +299,31 @@ def test_guess_costs_know_no_longest_repeat():
     text = "pwd: " + "#!" * 129
     assert secrets.guess_spans(text, secrets.base_spans(text)) == []
     assert guess_cost("ab1" * 30_000, limit=10.0) < 10 and guess_cost("xK9#mQ2$vL" * 9_000, limit=10.0) == 10
+
+
+@pytest.mark.parametrize("text", [
+    "Authorization: Bearer {}", "dbpassword: {}", "password => {}", "password:\t{}", "secret =\n{}", "dbPasswords = {}", "secretKey: {}", "TOKEN_OLD='{}'",
+    "x-api-key: {}", "credentials: {}", "pass: {}", "the passcode is {}", "password := {}", "my_pwd2: {}",
+])
+def test_credential_names_and_signs(text):
+    value, whole = "#kQ$71mmPzz", text.format("#kQ$71mmPzz")
+    start = whole.index(value)
+    assert f"guess:{start}:{start + len(value)}" in secrets.written_spans(secrets.guess_spans(whole, secrets.base_spans(whole)))
+    for other in ("secretary: {}", "compass: {}", "tokenizer = {}", "passes {}", "bearers: {}", "passwordless is {}"):
+        assert secrets.guess_spans(other.format(value), []) == []
+
+
+def test_context_reads_an_identifier_once():
+    for text in ("token" * 60_000, "token_" * 60_000, "-" * 300_000 + "pass", "bearer " * 40_000, "password" + " " * 300_000, "secret is " * 30_000):
+        assert len(secrets.CONTEXT.findall(text)) <= 40_000
+
+
+def test_common_words_of_the_documents_are_easy_to_guess(spark):
+    rows = [(i, f"The password is certificates, required! q{i}vx xK9#mq\u00e9rty$vL") for i in range(25)] + [(99, "pwd: kzwvqxjhy the rare"), (100, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words = secrets.common_words(docs)
+    assert {"required", "certificates", "the", "dragon"} <= set(words) and not {"rare", "kzwvqxjhy", "q\u00e9rty", "mq\u00e9rty"} & set(words)
+    assert words["the"] <= 4 and secrets.common_words(docs, size=2).keys() - guesses.RANKS.keys() == {"certificates"}
+    spans = {r.doc_id: r.spans for r in secrets.scan(docs, words=words).collect()}
+    assert spans[0] == "" and spans[99] == "guess:5:14"
+    assert "guess" in secrets.scan(docs).first().spans  # without them, letters by brute force

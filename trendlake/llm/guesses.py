@@ -34,6 +34,9 @@ def _character(c: str) -> float:
     return log10(10 if c.isdigit() else 26 if c.isalpha() and c.isascii() else 95)
 
 
+_MEASURED: list = [None, []]  # the words of the last call, and their lengths
+
+
 class _Stretch:
     """Spans that may start and end anywhere inside a stretch: ``n`` units cost ``once + log10(n)``.
 
@@ -73,7 +76,9 @@ def guess_cost(value: str, words: dict[str, int] | None = None, limit: float = f
     the length times the longest unit and word.
     """
     ranks = words if words is not None else RANKS
-    lengths = sorted({len(word) for word in ranks if word})
+    if _MEASURED[0] is not ranks:
+        _MEASURED[:] = ranks, sorted({len(word) for word in ranks if word})
+    lengths = _MEASURED[1]
     low = value.lower() if len(value.lower()) == len(value) else value
     plain = low.translate(DISGUISE)
     single = [_character(c) for c in value]

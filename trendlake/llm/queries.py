@@ -47,7 +47,8 @@ def op7_mixing(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op8_secrets(spark: SparkSession, directory: str) -> DataFrame:
-    return secrets.scan(table(spark, directory, "documents"))
+    docs = table(spark, directory, "documents")
+    return secrets.scan(docs, words=secrets.common_words(docs))
 
 
 def op9_classifier(spark: SparkSession, directory: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendlake.llm.columnar import slices, text_column
-from trendlake.llm.guesses import guess_cost
+from trendlake.llm.guesses import RANKS, guess_cost
 
 KINDS = ("assign", "access", "hex", "guess")
 MIN_COST = 10.0
@@ -30,12 +30,28 @@ MIN_COST = 10.0
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
+# A name anywhere in an identifier, where its last letter is (or with an s) and no small letter follows: dbPassword2, TOKEN_OLD,
+# secretKey, but not secretary. "pass" must stand alone. Each identifier is read once, from its first character.
+_NAME = r"(?:pass(?:word|wd|phrase|code)|pwd|secret|token|(?:api|access|private)[_-]?key|credential)s?(?:(?![a-z])|(?-i:(?<=[a-z])(?=[A-Z])))"
 CONTEXT = re.compile(
-    r"""(?ai:(?<![a-z0-9])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|private)[_-]?key|credentials?|bearer))"""
-    r"""["']?\x20*(?:[:=]|\x20is\x20)\x20*["']?([^\s"'<>,;]{6,})"""
+    r"(?ai:(?<![a-z0-9_-])"
+    rf"""(?:bearer\s++|(?:(?=[a-z0-9_-]*?(?:{_NAME}|(?<![a-z0-9])(?:pass|bearer)(?![a-z0-9])))[a-z0-9_-]++"""
+    r"""["']?\s*+(?:=>|:=|[:=]|(?<=\s)is(?=\s))\s*+)))["']?([^\s"'<>,;]{6,})"""
 )
 # A text without any of these has no span of any kind.
 POSSIBLE = r"(?i)pass|pwd|secret|token|api_?-?key|(access|private)[_-]?key|credential|bearer|(?-i:AKIA[A-Z0-9]{16}|[0-9a-f]{24})"
+# A word of a list: small letters between spaces and punctuation, in so many texts; the list ends at so many words.
+COMMON = r"(?<![^\s(\"'])\p{L}{3,24}(?=[.,;:!?)\"']*(?:\s|$))"
+COMMON_TEXTS, COMMON_WORDS = 20, 50_000
+
+
+def common_words(docs: DataFrame, text: str = "text", texts: int = COMMON_TEXTS, size: int = COMMON_WORDS) -> dict[str, int]:
+    """Ranks of the ``size`` words that are in most texts, and in ``texts`` at least; listed words keep a better rank."""
+    own = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(COMMON), F.lit(0)))
+    counted = docs.select(F.explode(own).alias("word")).groupBy("word").count().filter(F.col("count") >= texts)
+    rows = counted.orderBy(F.desc("count"), "word").limit(size).collect()  # at most ``size`` rows
+    ranks = {row["word"]: rank for rank, row in enumerate(rows, 1)}
+    return ranks | {word: min(rank, ranks.get(word, rank)) for word, rank in RANKS.items()}
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -46,7 +62,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def guess_spans(text: str, base: list[tuple[int, int, int]], min_cost: float = MIN_COST) -> list[tuple[int, int, int]]:
+def guess_spans(
+    text: str, base: list[tuple[int, int, int]], min_cost: float = MIN_COST, words: dict[str, int] | None = None
+) -> list[tuple[int, int, int]]:
     """Credential values that are hard to guess and that base spans do not cover from start to end."""
     joined: list[list[int]] = []  # what the base spans cover, in pieces that do not touch
     for start, _, stop in base:
@@ -61,7 +79,7 @@ def guess_spans(text: str, base: list[tuple[int, int, int]], min_cost: float = M
         value = m[1].rstrip(".)]}")
         end = m.start(1) + len(value)
         covered = at < len(joined) and joined[at][0] <= m.start(1) and end <= joined[at][1]
-        if len(value) >= 6 and not covered and guess_cost(value, limit=min_cost) >= min_cost:
+        if len(value) >= 6 and not covered and guess_cost(value, words, min_cost) >= min_cost:
             out.append((m.start(1), 3, end))
     return out
 
@@ -70,14 +88,17 @@ def written_spans(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in sorted(spans))
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", min_cost: float = MIN_COST) -> DataFrame:
-    """(key, n_assign, n_access, n_hex, base_sha256, spans) of every row."""
+def scan(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", min_cost: float = MIN_COST, words: dict[str, int] | None = None
+) -> DataFrame:
+    """(key, n_assign, n_access, n_hex, base_sha256, spans) of every row. ``words`` has ranks of easy words (else the fixed list)."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
     nothing = hashlib.sha256(b"").hexdigest()
 
     def row(value: str) -> tuple:
         base = base_spans(value)
         counts = [sum(span[1] == kind for span in base) for kind in range(3)]
-        everything = base + guess_spans(value, base, min_cost)
+        everything = base + guess_spans(value, base, min_cost, shared.value)
         return *counts, hashlib.sha256(written_spans(base).encode()).hexdigest(), written_spans(everything)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
