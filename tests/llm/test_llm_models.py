@@ -128,3 +128,8 @@ def test_ftrl_separates_and_is_sparse():
     made = classifier.scores(weights, pa.array(["alpha new gamma beta", "NEW!! SPAM!! x##", "", " "]))
     assert made[0] > 0.6 > 0.4 > made[1] and made[2] == made[3]
     assert (weights != 0).mean() < 0.01
+
+
+def test_shapes_read_whole_words():
+    assert classifier.shape("a1" * 150 + "!!!7") == "x0" * 150 + "!!0"
+    assert classifier.shape("x" * 100_000 + "9") == "x0"

@@ -42,7 +42,7 @@ _KINDS = {1: "X", 2: "x", 3: "0"}
 
 
 def shape(word: str) -> str:
-    return "".join(_KINDS.get(m.lastindex, m[0][:2]) for m in _RUNS.finditer(word[:200]))
+    return "".join(_KINDS.get(m.lastindex, m[0][:2]) for m in _RUNS.finditer(word))
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
