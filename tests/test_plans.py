@@ -173,3 +173,22 @@ def test_weekly_windows_start_on_monday(spark):
     df = spark.sql("select timestamp'2026-05-31 23:00:00' t, 0.5D compound_score union all select timestamp'2026-06-01 01:00:00', 0.1D")
     got = {str(r.week): r.avg_sentiment for r in stream.weekly_windows(df, "t").collect()}
     assert got == {"2026-05-25": 0.5, "2026-06-01": 0.1}
+
+
+def test_schema_compliance_sees_landed_fields(spark, tmp_path):
+    posts, dishes = tmp_path / "bronze/articles/dt=2026-05-27", tmp_path / "bronze/recipes/dt=2026-05-27"
+    posts.mkdir(parents=True)
+    dishes.mkdir(parents=True)
+    short = {k: v for k, v in article(1, "great ramen").items() if k != "author"}
+    (posts / "one.json").write_text("\n" + json.dumps([short, {**short, "article_id": "b", "mood": {"x": 1}}]))
+    (posts / "bad.json").write_text('[{"source": ')
+    (dishes / "r.json").write_text(json.dumps({"results": [recipe(1, "Ramen", newField=[{"title": 1}])]}))
+    assert landed.field_names(spark, str(posts)) == {*short, "mood"}
+    assert landed.field_names(spark, str(dishes), "results") == {*recipe(1, "Ramen"), "newField"}
+    inputs = daily.Inputs(lexicon=spark.createDataFrame([("great", 3.1)], "token string, valence double"), stop_words=STOP)
+    daily.run_daily(spark, str(tmp_path), inputs, TS)
+    facts = spark.read.parquet(f"{tmp_path}/gold/governance").filter("kpi_name in ('schema_compliance_rate', 'unexpected_columns')")
+    rows = {(r.kpi_name, r.source): r for r in facts.collect()}
+    assert rows["schema_compliance_rate", "webscraping"].value < 100 and "author" in rows["schema_compliance_rate", "webscraping"].finding
+    assert "mood" in rows["unexpected_columns", "webscraping"].finding
+    assert "newField" in rows["unexpected_columns", "api"].finding

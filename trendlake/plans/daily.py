@@ -92,6 +92,8 @@ def _run(
         land_keyword_hits(keywords, inputs.catalogue, f"{bronze}/recipes", day)
 
     recipes = landed.read_recipes(spark, partitions.partition_path(spark, f"{bronze}/recipes", day))
+    recipe_fields = landed.field_names(spark, partitions.partition_path(spark, f"{bronze}/recipes", day), "results")
+    article_fields = landed.field_names(spark, partitions.partition_path(spark, f"{bronze}/articles", day))
     written["silver_recipes"] = sinks.write_dated(silver_recipes(recipes), f"{silver}/recipes", day)
 
     cleaned_articles, cleaned_recipes = (_table(spark, f"{silver}/{t}", day) for t in ("articles", "recipes"))
@@ -106,6 +108,8 @@ def _run(
         partitions.source_listing(spark, {s: f"{silver}/{t}" for s, t in sources.items()}, "*.parquet"),
         partitions.source_listing(spark, {s: f"{bronze}/{t}" for s, t in sources.items()}, "*.json"),
         targets, found,
+        landed.columns_seen(cleaned_recipes.columns, recipes.columns, recipe_fields),
+        landed.columns_seen(cleaned_articles.columns, articles.columns, article_fields),
     )
     written["governance"] = sinks.write_dated(governance, f"{gold}/governance", day, small=True)
 

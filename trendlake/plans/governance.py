@@ -28,12 +28,13 @@ def table_facts(
     numeric_columns: Sequence[str] = (),
     compression: tuple[str, str] | None = None,
     outlier_method: str = "approximate",
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """All KPIs of one table: one wide pass, one pass over the texts, one over the numbers, one over the key."""
     measures = [p.null_measure(df, source), p.volume_measure(source)]
     if compression and set(compression) <= set(df.columns):
         measures.append(p.compression_measure(*compression, source))
-    parts = [p.profile(df, measures, run_ts), p.schema_compliance(df, expected, source, run_ts)]
+    parts = [p.profile(df, measures, run_ts), p.schema_compliance(df, expected, source, run_ts, columns)]
     if key in df.columns:
         parts.append(duplicate_rate(df, key, source, run_ts))
     if set(numeric_columns) & set(df.columns):
@@ -43,16 +44,18 @@ def table_facts(
     return union_all(parts)
 
 
-def recipe_facts(df: DataFrame, run_ts: datetime, source: str = "api") -> DataFrame:
+def recipe_facts(df: DataFrame, run_ts: datetime, source: str = "api", columns: Sequence[str] | None = None) -> DataFrame:
     return table_facts(
-        df, source, run_ts, "id", EXPECTED_RECIPE_COLUMNS, RECIPE_TEXT_COLUMNS, RECIPE_NUMERIC_COLUMNS
+        df, source, run_ts, "id", EXPECTED_RECIPE_COLUMNS, RECIPE_TEXT_COLUMNS, RECIPE_NUMERIC_COLUMNS, columns=columns
     )
 
 
-def article_facts(df: DataFrame, run_ts: datetime, source: str = "webscraping") -> DataFrame:
+def article_facts(
+    df: DataFrame, run_ts: datetime, source: str = "webscraping", columns: Sequence[str] | None = None
+) -> DataFrame:
     return table_facts(
         df, source, run_ts, "article_id", EXPECTED_ARTICLE_COLUMNS, ARTICLE_TEXT_COLUMNS,
-        compression=("article_summary", "article_summary_clean"),
+        compression=("article_summary", "article_summary_clean"), columns=columns,
     )
 
 
@@ -84,9 +87,11 @@ def governance_facts(
     bronze_files: DataFrame | None = None,
     targets: DataFrame | None = None,
     found_targets: DataFrame | None = None,
+    recipe_columns: Sequence[str] | None = None,
+    article_columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The whole table; file and target KPIs need the listings."""
-    parts = [recipe_facts(recipes, run_ts), article_facts(articles, run_ts)]
+    """The whole table; file and target KPIs need the listings, and schema KPIs of landed files the columns seen there."""
+    parts = [recipe_facts(recipes, run_ts, columns=recipe_columns), article_facts(articles, run_ts, columns=article_columns)]
     if silver_files is not None:
         parts.append(silver_file_facts(silver_files, run_ts))
     if targets is not None and found_targets is not None:

@@ -31,6 +31,20 @@ def read_articles(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return files.withColumns({SOURCE_FILE: F.col("_metadata.file_path"), POSITION: F.monotonically_increasing_id()})
 
 
+def field_names(spark: SparkSession, path: str | list[str], within: str | None = None) -> set[str]:
+    """Distinct field names of the objects in landed JSON files, or in the array ``within`` each; malformed files have none."""
+    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    body = F.trim(F.regexp_replace("value", r"^\s+", "")) if within is None else F.get_json_object("value", f"$.{within}")
+    listed = F.from_json(F.when(body.startswith("{"), F.concat(F.lit("["), body, F.lit("]"))).otherwise(body), "array<string>")
+    keys = files.select(F.explode(listed).alias("item")).select(F.explode(F.json_object_keys("item")).alias("name"))
+    return {row["name"] for row in keys.distinct().collect()}  # names, not rows
+
+
+def columns_seen(stored: list[str], declared: list[str], fields: set[str]) -> list[str] | None:
+    """``stored`` without declared columns that no payload has, and the payloads' undeclared fields; None if nothing landed."""
+    return [c for c in stored if c not in declared or c in fields] + sorted(fields - set(declared)) if fields else None
+
+
 def _feed(spark: SparkSession, path: str | list[str], tag: str, schema: str) -> DataFrame:
     rows = spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)
     return rows.withColumns({
