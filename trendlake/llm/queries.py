@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendlake.llm import bpe, classifier, exact, jaccard, mixing, pseudonyms, quality, secrets, sequences, urls
+from trendlake.llm import bpe, classifier, exact, jaccard, mixing, pseudonyms, quality, runs, secrets, sequences, urls
 from trendlake.llm.oracle import ORACLE as ORACLE
 
 
@@ -60,6 +60,10 @@ def op10_sequences(spark: SparkSession, directory: str) -> DataFrame:
     return sequences.round_trip(table(spark, directory, "documents"))
 
 
+def op11_runs(spark: SparkSession, directory: str) -> DataFrame:
+    return runs.digests(table(spark, directory, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_jaccard": op2_jaccard,
@@ -71,4 +75,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_classifier": op9_classifier,
     "op10_sequences": op10_sequences,
+    "op11_runs": op11_runs,
 }
