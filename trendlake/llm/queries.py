@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendlake.llm import bpe, classifier, exact, jaccard, mixing, pseudonyms, quality, runs, secrets, sequences, urls
+from trendlake.llm import bpe, classifier, exact, jaccard, mixing, pseudonyms, quality, repair, runs, secrets, sequences, urls
 from trendlake.llm.oracle import ORACLE as ORACLE
 
 
@@ -64,6 +64,10 @@ def op11_runs(spark: SparkSession, directory: str) -> DataFrame:
     return runs.digests(table(spark, directory, "documents"))
 
 
+def op12_repair(spark: SparkSession, directory: str) -> DataFrame:
+    return repair.digests(table(spark, directory, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_jaccard": op2_jaccard,
@@ -76,4 +80,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_classifier": op9_classifier,
     "op10_sequences": op10_sequences,
     "op11_runs": op11_runs,
+    "op12_repair": op12_repair,
 }
