@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendlake.llm import bpe, classifier, exact, jaccard, mixing, pseudonyms, quality, repair, runs, secrets, sequences, urls
+from trendlake.llm import bpe, classifier, exact, jaccard, mixing, neighbours, pseudonyms, quality, repair, runs, secrets, sequences, urls
 from trendlake.llm.oracle import ORACLE as ORACLE
 
 
@@ -68,6 +68,10 @@ def op12_repair(spark: SparkSession, directory: str) -> DataFrame:
     return repair.digests(table(spark, directory, "conversations"))
 
 
+def op13_neighbours(spark: SparkSession, directory: str) -> DataFrame:
+    return neighbours.similar_vectors(table(spark, directory, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_jaccard": op2_jaccard,
@@ -81,4 +85,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sequences": op10_sequences,
     "op11_runs": op11_runs,
     "op12_repair": op12_repair,
+    "op13_neighbours": op13_neighbours,
 }
