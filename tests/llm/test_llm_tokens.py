@@ -1,4 +1,6 @@
 import hashlib
+import random
+import time
 import zlib
 
 import numpy as np
@@ -33,6 +35,25 @@ def test_lexicon_gives_every_word_and_no_other(tmp_path, words):
     assert [next(got).tolist() if k else None for k in known] == [words.get(w) for w in asked]
 
 
+def test_merges_equal_the_library():
+    library = Tokenizer.from_file(public_tokenizers.path(bpe.WORD_BPE))
+    rng = random.Random(4)
+    letters = ["abcdefghijklmnopqrstuvwxyz", "aab", "éüßжλ", "etaoinshr"]
+    words = sorted({"".join(rng.choice(a) for _ in range(rng.choice([*range(1, 40), 63, 64, 65, 300]))) for a in letters for _ in range(600)})
+    counts, ids = bpe.vocabulary(public_tokenizers.path(bpe.WORD_BPE)).merges.words(pa.array(words))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [library.encode(w, add_special_tokens=False).ids for w in words]
+
+
+def test_half_a_million_letters_take_seconds():
+    library = Tokenizer.from_file(public_tokenizers.path(bpe.WORD_BPE))
+    rng = random.Random(6)
+    for word in ("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(500_000)), "ab" * 250_000):
+        started = time.monotonic()
+        counts, ids = bpe.vocabulary(public_tokenizers.path(bpe.WORD_BPE)).merges.words(pa.array([word]))
+        assert time.monotonic() - started < 10
+        assert ids.tolist() == library.encode(word, add_special_tokens=False).ids
+
+
 def test_lexicon_shares_suffixes(tmp_path):
     few, many = (len(compile_lexicon({f"{c}ization": [1] for c in s})) for s in ("a", "abcdefgh"))
     assert many - few < 8 * 8 * 4

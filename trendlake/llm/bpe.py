@@ -5,12 +5,14 @@ driver, and compiled with their ids into a minimal acyclic transducer
 (:mod:`trendlake.llm.lexicon`). Each executor fetches the file once and its workers map
 it. A text is cut into space-separated pieces, each distinct piece of a batch is
 normalised and cut into words, known words take their ids from the transducer, and the
-others go through the merges themselves, so that the result never depends on what the
-lexicon holds.
+others go through the merges themselves, all of a batch together
+(:mod:`trendlake.llm.merges`), so that the result never depends on what the lexicon holds.
 
 Defined results: null text is encoded as empty text (no ids); equal rows give equal
 results; special tokens written out in a text become their ids; columns of the input
-other than the key and the text are not read. Lengths are not limited.
+other than the key and the text are not read. Lengths are not limited: a word of any length
+costs about as much a letter as sorting its letters, and one of more than ``LEXICON_WORD``
+bytes never gets into a lexicon.
 """
 
 from __future__ import annotations
@@ -32,11 +34,12 @@ from tokenizers import Tokenizer
 
 from trendlake.llm.columnar import Words, map_batches, ragged, text_column
 from trendlake.llm.lexicon import Lexicon, compile_lexicon
+from trendlake.llm.merges import Merges
 from trendlake.llm.tables import Scratch
 
 WORD_BPE = "word_bpe_49k.json"
 LEXICON_WORDS = 65_536
-KEPT_WORDS = 100_000  # merged words that a worker remembers
+LEXICON_WORD = 256  # bytes of the longest word of a lexicon
 SLICE = 6 << 20
 PLAIN_BELOW = 0x250  # code points that are stable under NFC and whose classes do not differ between Unicode versions
 
@@ -64,14 +67,13 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
         self.tokens = {i: t for t, i in (self.ids | self.special).items()}
         pairs = (tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["model"]["merges"])
-        self.ranks = {pair: rank for rank, pair in enumerate(pairs)}
         self.symbols = byte_symbols()
+        self.merges = Merges(self.ids, list(pairs), self.symbols, self.suffix)
         letters, numbers = _class("L"), _class("N")
         space = "".join(re.escape(chr(c)) for c in range(PLAIN_BELOW) if c in (*range(9, 14), 32, 0x85, 0xA0))
         self.words = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{letters}]+|[{numbers}]|[^{space}{letters}{numbers}]+")
         self.unusual = re.compile(rf"[^\x00-{chr(PLAIN_BELOW - 1)}]")
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.kept: dict[str, tuple[int, ...]] = {}
 
     @cached_property
     def library(self) -> Tokenizer:
@@ -90,36 +92,6 @@ class WordBpe:
         back = {symbol: byte for byte, symbol in enumerate(self.symbols)}
         return bytes(back[c] for c in word).decode("utf-8")
 
-    def merge(self, word: str) -> tuple[int, ...]:
-        """Ids of one word: join the best-ranked neighbours until none can be joined."""
-        parts = [self.symbols[b] for b in word.encode("utf-8")]
-        parts[-1] += self.suffix
-        ranks, none = self.ranks, len(self.ranks)
-        while len(parts) > 1:
-            scores = [ranks.get(pair, none) for pair in zip(parts, parts[1:], strict=False)]
-            best = min(scores)
-            if best == none:
-                break
-            first, second = parts[at := scores.index(best)], parts[at + 1]
-            out, i = parts[:at], at
-            while i < len(parts):
-                if i + 1 < len(parts) and parts[i] == first and parts[i + 1] == second:
-                    out.append(first + second)
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return tuple(self.ids[p] for p in parts)
-
-    def merged(self, word: str) -> tuple[int, ...]:
-        found = self.kept.get(word)
-        if found is None:
-            if len(self.kept) >= KEPT_WORDS:
-                self.kept.clear()
-            found = self.kept[word] = self.merge(word)
-        return found
-
     def pieces(self, text: str) -> list[str | int]:
         """Words of a text and, as numbers, the special tokens written in it."""
         if "<|" not in text:
@@ -150,10 +122,8 @@ def encode_pieces(bpe: WordBpe, lexicon: Lexicon, pieces: list[str]) -> tuple[np
     is_word = np.fromiter((isinstance(part, str) for part in flat), bool, len(flat))
     coded = pa.array([part for part in flat if isinstance(part, str)], pa.string()).dictionary_encode()
     known, lengths, ids = lexicon.look_up(coded.dictionary)
-    new = [bpe.merged(word) for word in coded.dictionary.filter(pa.array(~known)).to_pylist()]
-    extra = np.fromiter((len(x) for x in new), np.int64, len(new))
-    store = np.concatenate([ids, np.fromiter((i for x in new for i in x), np.int32, int(extra.sum())),
-                            np.fromiter((p for p in flat if not isinstance(p, str)), np.int32, int((~is_word).sum()))])
+    extra, new = bpe.merges.words(coded.dictionary.filter(pa.array(~known)))
+    store = np.concatenate([ids, new, np.fromiter((p for p in flat if not isinstance(p, str)), np.int64, int((~is_word).sum()))])
     size = np.empty(len(known), np.int64)
     size[known], size[~known] = lengths, extra
     start = np.empty(len(known), np.int64)
@@ -214,9 +184,11 @@ def build_lexicon(docs: DataFrame, text: str = "text", path: str | None = None,
         if held > size:
             break
         lowest = row["class"]
-    frequent = counted.filter(F.col("class") >= lowest).select("word").collect() if lowest is not None else []
+    short = counted.filter((F.col("class") >= (0 if lowest is None else lowest)) & (F.octet_length("word") <= LEXICON_WORD))
+    frequent = [row.word for row in short.select("word").collect()] if lowest is not None else []
     scratch.drop("words")
-    content = compile_lexicon({row.word: bpe.merge(row.word) for row in frequent})
+    sizes, ids = bpe.merges.words(pa.array(frequent, pa.string()))
+    content = compile_lexicon(dict(zip(frequent, np.split(ids, np.cumsum(sizes)[:-1]), strict=True)) if frequent else {})
     name = f"lexicon-{hashlib.sha256(content).hexdigest()[:32]}"
     scratch = Scratch(spark, "bpe", run="lexicons")  # a session may register a file name for one path only
     spark.sparkContext.addFile(scratch.write_file(name, content))
