@@ -19,9 +19,10 @@ whole and may span sequences.
 
 from __future__ import annotations
 
+import json
 import os
+import unicodedata
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,7 +36,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from trendlake.llm.columnar import ragged, slices, text_column, total_by_row
+from trendlake.llm.bpe import byte_symbols
+from trendlake.llm.columnar import ragged, slices, text_column, total_by_row, utf8_bytes
+from trendlake.llm.merges import Merges
 from trendlake.llm.tables import Scratch
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -43,7 +46,7 @@ END_ID = 2
 LENGTH = 2048
 SEQUENCES_PER_BATCH = 128
 SLICE = 8 << 20  # larger pieces of a batch have fewer different words to encode
-KEPT_PIECES = 400_000  # encoded pieces that a worker remembers
+PLAIN_BELOW = 0x250  # code points whose classes do not differ between Unicode versions
 
 
 def store(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -54,10 +57,14 @@ def store(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 class PieceEncoder:
-    """The library's encoding of whole texts, made of its encodings of distinct pieces.
+    """The library's encoding of whole texts, made of the encodings of their distinct words.
 
     A word boundary of byte-level BPE lies before every space that follows a visible
-    character. Texts are cut there; a text with a space elsewhere is encoded whole.
+    character. Texts are cut there into pieces; distinct pieces of letters, digits and signs
+    below ``PLAIN_BELOW`` are cut into words by the classes of their characters, and the
+    distinct words of a batch are merged together (:mod:`trendlake.llm.merges`). Pieces with
+    an apostrophe, a special token or other characters are left to the library, and so is a
+    whole text with a space elsewhere. Nothing is remembered from one batch to the next.
     """
 
     def __init__(self, path: str):
@@ -65,19 +72,51 @@ class PieceEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.kept: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)
+        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["model"]["merges"]]
+        self.merges = Merges(model["model"]["vocab"], pairs, byte_symbols(), "")
+        self.special = [t["content"] for t in model["added_tokens"]]
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
 
-    def packed(self, ids: list[int]) -> bytes:
-        return array("H" if self.dtype.itemsize == 2 else "I", ids).tobytes()
-
-    def pieces(self, strings: list[str]) -> list[bytes]:
-        if len(self.kept) > KEPT_PIECES:
-            self.kept.clear()
-        new = [s for s in strings if s not in self.kept]
-        for piece, encoding in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.kept[piece] = self.packed(encoding.ids)
-        return [self.kept[s] for s in strings]
+    def _whole(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and ids of strings, by the library."""
+        made = [np.array(e.ids, self.dtype) for e in self.library.encode_batch_fast(strings, add_special_tokens=False)]
+        return np.fromiter(map(len, made), np.int64, len(made)), np.concatenate([np.zeros(0, self.dtype), *made])
+
+    def pieces(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and ids of pieces: a space or none, then characters without a space."""
+        classes, bounds = character_classes(strings)
+        odd = total_by_row(classes == ODD, bounds) > 0
+        for token in self.special:
+            odd |= pc.match_substring(strings, token).to_numpy(zero_copy_only=False)
+        plain = ~np.repeat(odd, np.diff(bounds))
+        start = np.ones(len(classes), bool)
+        start[1:] = (classes[1:] != classes[:-1]) & (classes[:-1] != SPACE)
+        start[bounds[:-1][np.diff(bounds) > 0]] = True
+        words = np.flatnonzero(start & plain)
+        # Characters of plain pieces have one byte below 128 and two above.
+        kept = strings.filter(pa.array(~odd))
+        data, _ = utf8_bytes(kept)
+        lead = (data & 0xC0) != 0x80
+        places = np.append(np.flatnonzero(lead), len(data))
+        order = np.cumsum(plain) - 1
+        cuts = np.append(places[order[words]], len(data)).astype(np.int32)
+        text = pa.StringArray.from_buffers(len(words), pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data)))
+        coded = text.dictionary_encode()
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        counts, ids = self.merges.words(coded.dictionary)
+        starts = np.cumsum(counts) - counts
+        sizes = counts[code] if len(code) else np.zeros(0, np.int64)
+        flat = ids.astype(self.dtype)[ragged(starts[code], sizes)] if len(code) else ids.astype(self.dtype)
+        owner = np.searchsorted(bounds, words, side="right") - 1
+        lengths = np.bincount(owner, weights=sizes, minlength=len(strings)).astype(np.int64)
+        odd_at = np.flatnonzero(odd)
+        odd_lengths, odd_ids = self._whole(strings.filter(pa.array(odd)).to_pylist())
+        first = np.cumsum(lengths) - lengths
+        first[odd_at] = len(flat) + np.cumsum(odd_lengths) - odd_lengths
+        lengths[odd_at] = odd_lengths
+        return lengths, np.concatenate([flat, odd_ids])[ragged(first, lengths)]
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Offsets of each text's ids, and the ids of all texts."""
@@ -86,8 +125,7 @@ class PieceEncoder:
         at -= at[0]
         coded = lists.flatten().dictionary_encode()
         code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        distinct = coded.dictionary.to_pylist()
-        open_end = np.fromiter((not p or p[-1].isspace() for p in distinct), bool, len(distinct))[code]
+        open_end = ends_open(coded.dictionary)[code]
         open_end[at[1:] - 1] = False
         whole = total_by_row(open_end, at) > 0
 
@@ -95,25 +133,55 @@ class PieceEncoder:
         first[at[:-1]] = 1
         key = code * 2 + first
         plain = np.repeat(~whole, np.diff(at))
-        used = np.zeros(2 * len(distinct), bool)
+        used = np.zeros(2 * len(coded.dictionary), bool)
         used[key[plain]] = True
         wanted = np.flatnonzero(used)
-        found = self.pieces([distinct[k >> 1] if k & 1 else " " + distinct[k >> 1] for k in wanted.tolist()])
-        rest = [self.packed(self.library.encode(t, add_special_tokens=False).ids) for t in texts.filter(pa.array(whole)).to_pylist()]
-
-        stored = [*found, *rest]
-        length = np.fromiter(map(len, stored), np.int64, len(stored)) // self.dtype.itemsize
-        flat = np.frombuffer(b"".join(stored), self.dtype)
+        spaces = pa.DictionaryArray.from_arrays(pa.array(wanted & 1), pa.array([" ", ""])).cast(pa.string())
+        length, flat = self.pieces(pc.binary_join_element_wise(spaces, coded.dictionary.take(pa.array(wanted >> 1)), ""))
+        whole_length, whole_ids = self._whole(texts.filter(pa.array(whole)).to_pylist())
+        length, flat = np.concatenate([length, whole_length]), np.concatenate([flat, whole_ids])
         start = np.cumsum(length) - length
-        place = np.zeros(2 * len(distinct), np.int64)
+        place = np.zeros(2 * len(coded.dictionary), np.int64)
         place[wanted] = np.arange(len(wanted))
         take = place[key]
-        sizes = np.where(plain, length[take] if len(length) else 0, 0)
-        heads = at[:-1][whole]
-        take[heads] = len(found) + np.arange(len(rest))
-        sizes[heads] = length[len(found) :]
+        take[at[:-1][whole]] = len(wanted) + np.arange(len(whole_length))
+        alone = plain.copy()
+        alone[at[:-1][whole]] = True
+        sizes = np.where(alone, length[take], 0) if len(length) else np.zeros(len(take), np.int64)
         ends = np.concatenate([[0], np.cumsum(sizes)])
-        return ends[at], flat[ragged(start[take] if len(length) else sizes, sizes)]
+        return ends[at], flat[ragged(start[take], sizes)] if len(length) else flat
+
+
+def _class_table() -> np.ndarray:
+    """The class of every code point below ``PLAIN_BELOW``, and of all others at the end."""
+    table = np.full(PLAIN_BELOW + 1, ODD, np.uint8)
+    for c in range(0x21, PLAIN_BELOW):
+        if not 0x7F <= c <= 0xA0 and chr(c) != "'":
+            table[c] = {"L": LETTER, "N": NUMBER}.get(unicodedata.category(chr(c))[0], SIGN)
+    table[0x20] = SPACE
+    return table
+
+
+SPACE, LETTER, NUMBER, SIGN, ODD = range(5)
+CLASSES = _class_table()
+
+
+def character_classes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The class of every character, and the characters at which strings start (one more at the end)."""
+    data, _ = utf8_bytes(strings)
+    points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+    lengths = pc.utf8_length(strings).to_numpy(zero_copy_only=False)
+    return CLASSES[np.minimum(points, PLAIN_BELOW)], np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]).astype(np.int64)
+
+
+def ends_open(strings: pa.Array) -> np.ndarray:
+    """Whether a string is empty or ends in white space."""
+    data, offsets = utf8_bytes(strings)
+    last = np.append(data, np.uint8(0))[np.maximum(offsets[1:] - 1, 0)] if len(strings) else np.zeros(0, np.uint8)
+    doubtful = np.flatnonzero((offsets[1:] == offsets[:-1]) | (last < 0x21) | (last > 0x7E))
+    out = np.zeros(len(strings), bool)
+    out[doubtful] = [not s or s[-1].isspace() for s in strings.take(pa.array(doubtful)).to_pylist()]
+    return out
 
 
 @lru_cache(maxsize=2)
