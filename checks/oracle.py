@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from checks import parameters as q
+from trendlake.constants import EXPECTED_ARTICLE_COLUMNS, EXPECTED_RECIPE_COLUMNS, RECIPE_NUMERIC_COLUMNS
 
 
 def _list(words) -> str:
@@ -255,6 +256,13 @@ buzz AS (SELECT row_number() OVER (ORDER BY n DESC, term) AS rank, term, n FROM
 SEARCH_WORDS = "buzz(rank, term) AS (VALUES " + ", ".join(f"({i + 1}, '{w}')" for i, w in enumerate(q.SEARCH_WORDS)) + ")"
 
 
+PIECES = """
+pieces(rank, term) AS (SELECT length(term), term FROM (
+  SELECT substr(p_name, (1 + p_partkey % 7)::INT, (1 + p_partkey % 6)::INT) AS term FROM part UNION SELECT p_partkey::VARCHAR FROM part) WHERE term <> '')
+"""
+LOWER_BODY = "lower(title || ' ' || cuisines)"
+
+
 def _alignment(source: str) -> str:
     return f"""
 texts AS (SELECT *, lower(coalesce(title, '') || ' ' || coalesce(cuisines, '') || ' ' || coalesce(dishTypes, '')) AS body FROM {source}),
@@ -351,20 +359,77 @@ _WEB_TYPES = {
     "quality": False, "toxic": False,
 }
 _K = "kpi_name, category, source, field, value, unit, finding"
-GOVERNANCE = ARTICLES + "," + RECIPES + f""",
-web AS (SELECT r.*, l.quality, l.toxic FROM raw r LEFT JOIN labels l ON l.doc_id = r.article_id),
-facts AS (
-  SELECT {_K} FROM ({_null_rates('web', _WEB_TYPES, 'webscraping')})
-  UNION ALL SELECT {_K} FROM ({_records('web', 'webscraping')})
-  UNION ALL SELECT {_K} FROM ({_duplicates('web', 'article_summary', 'webscraping')})
-  UNION ALL SELECT {_K} FROM ({_compliance('webscraping', 4, 5, ['published_date'], ['categories', 'author', 'quality', 'toxic'])})
-  UNION ALL SELECT {_K} FROM ({_null_rates('recipes', _RECIPE_TYPES, 'api')})
-  UNION ALL SELECT {_K} FROM ({_records('recipes', 'api')})
-  UNION ALL SELECT {_K} FROM ({_duplicates('recipes', 'title', 'api')})
-  UNION ALL SELECT {_K} FROM ({_compliance('api', 2, 2, [], [c for c in _RECIPE_TYPES if c not in ('id', 'title')])})
-  UNION ALL SELECT {_K} FROM ({_outliers('recipes', ['spoonacularScore', 'healthScore', 'readyInMinutes'], 'api')}))
+_WEB_TYPES |= {"article_summary_clean": True, "article_title_clean": True}
+_RECIPE_TYPES |= {"summary": True}
+_FILE_ROWS = """
+SELECT 'source_file_count' AS kpi_name, 'volume' AS category, source, NULL::VARCHAR AS field, arg_max(n, dt)::DOUBLE AS value, 'files' AS unit,
+       arg_max(n, dt) || ' files of ' || source || ' on ' || max(dt)::VARCHAR AS finding
+FROM (SELECT o_orderstatus AS source, o_orderdate::DATE AS dt, count(*) AS n FROM orders GROUP BY 1, 2) GROUP BY source"""
+_INGESTION = (
+    "WITH d AS (SELECT event_type AS source, count(DISTINCT ts::DATE) AS days, count(*) AS n, string_agg(DISTINCT ts::DATE::VARCHAR, ', ' ORDER BY ts::DATE::VARCHAR) AS names FROM events GROUP BY 1) "
+    "SELECT 'ingestion_distinct_dates' AS kpi_name, 'timeliness' AS category, source, NULL::VARCHAR AS field, days::DOUBLE AS value, 'dates' AS unit, source || ' landed on ' || days || ' days: ' || names AS finding FROM d "
+    "UNION ALL SELECT 'ingestion_file_count', 'timeliness', source, NULL, n::DOUBLE, 'files', n || ' landed files of ' || source FROM d"
+)
+_COVERAGE = (
+    "WITH targets(name) AS (VALUES " + ", ".join(f"('{n}')" for n in q.TARGETS) + "), "
+    "hit AS (SELECT count(*) FILTER (name IN (SELECT n_name FROM nation JOIN supplier ON s_nationkey = n_nationkey)) AS f, count(*) AS n FROM targets) "
+    f"SELECT 'ingredient_coverage' AS kpi_name, 'volume' AS category, 'api' AS source, NULL::VARCHAR AS field, {_pct('f', 'n')} AS value, '%' AS unit, "
+    "'data landed for ' || f || ' of ' || n || ' targets' AS finding FROM hit"
+)
+
+
+def _compression() -> str:
+    mean = "avg(length(clean)::DOUBLE / length(article_summary))"
+    return (
+        f"SELECT 'nlp_compression_ratio' AS kpi_name, 'accuracy' AS category, 'webscraping' AS source, 'article_summary_clean' AS field, {_r(mean, 4)} AS value, "
+        f"'ratio' AS unit, printf('cleaning keeps %.2f%% of a text on average', {mean} * 100) AS finding FROM articles WHERE article_summary <> '' AND clean <> ''"
+    )
+
+
+def _columns_seen(source: str, expected, types) -> str:
+    expected, types = set(expected), set(types)
+    return _compliance(source, len(expected & types), len(expected), expected - types, types - expected)
+
+
+def _text_stats(table: str, c: str, source: str, digits: int | None = 3) -> str:
+    def shown(x: str) -> str:
+        return _r(x, digits) if digits else f"({x})::DOUBLE"
+
+    stats = {"mean": f"avg(length({c}))", "median": f"quantile_disc(length({c}), 0.5)", "min": f"min(length({c}))", "max": f"max(length({c}))"}
+    rows = [
+        f"SELECT 'text_length_{k}' AS kpi_name, 'accuracy' AS category, '{source}' AS source, '{c}' AS field, {shown(v)} AS value, "
+        f"'chars' AS unit, '{k} number of characters of {c}' AS finding FROM {table} WHERE {c} <> ''"
+        for k, v in stats.items()
+    ]
+    foreign = rf"sum(length({c}) - length(regexp_replace({c}, '[^\x00-\x7F]', '', 'g')))"
+    rows.append(
+        f"SELECT 'non_ascii_ratio', 'accuracy', '{source}', '{c}', {_pct(foreign, f'sum(length({c}))', 3)}, '%', "
+        f"{foreign}::BIGINT || ' of ' || sum(length({c}))::BIGINT || ' characters are not ASCII; English text should stay below 1%' "
+        f"FROM {table} WHERE {c} <> ''"
+    )
+    return " UNION ALL ".join(rows)
+
+
+def _governance() -> str:
+    numbers = [c for c in RECIPE_NUMERIC_COLUMNS if c in _RECIPE_TYPES]
+    parts = [
+        _null_rates("web", _WEB_TYPES, "webscraping"), _records("web", "webscraping"), _duplicates("web", "article_id", "webscraping"),
+        _columns_seen("webscraping", EXPECTED_ARTICLE_COLUMNS, _WEB_TYPES), _text_stats("web", "article_summary", "webscraping", None),
+        _text_stats("web", "article_summary_clean", "webscraping", None), _compression(),
+        _null_rates("dishes", _RECIPE_TYPES, "api"), _records("dishes", "api"), _duplicates("dishes", "id", "api"),
+        _columns_seen("api", EXPECTED_RECIPE_COLUMNS, _RECIPE_TYPES), _text_stats("dishes", "summary", "api", None), _outliers("dishes", numbers, "api"),
+        _FILE_ROWS, _INGESTION, _COVERAGE,
+    ]
+    return ARTICLES + "," + RECIPES + f""",
+web AS (SELECT r.* EXCLUDE (toks, title_toks, clean, title_clean), r.clean AS article_summary_clean, r.title_clean AS article_title_clean, l.quality, l.toxic
+        FROM articles r LEFT JOIN labels l ON l.doc_id = r.article_id),
+dishes AS (SELECT *, title || ' – ' || cuisines AS summary FROM recipes),
+facts AS ({" UNION ALL ".join(f"SELECT {_K} FROM ({part})" for part in parts)})
 """
 
+
+GOVERNANCE = _governance()
+
 S = "aggregation, category, dimension_name, dimension_value, metric, value, label"
 STORY = (
     SCORED + "," + RECIPES + "," + DISTRIBUTION + "," + WEEKS + "," + CATEGORIES + "," + FLAGS + "," + _tfidf() + ","
@@ -434,22 +499,6 @@ def _length_describe(table: str, columns) -> str:
     )
 
 
-def _text_stats(table: str, c: str, source: str) -> str:
-    stats = {"mean": f"avg(length({c}))", "median": f"quantile_disc(length({c}), 0.5)", "min": f"min(length({c}))", "max": f"max(length({c}))"}
-    rows = [
-        f"SELECT 'text_length_{k}' AS kpi_name, 'accuracy' AS category, '{source}' AS source, '{c}' AS field, {_r(v, 3)} AS value, "
-        f"'chars' AS unit, '{k} number of characters of {c}' AS finding FROM {table} WHERE {c} <> ''"
-        for k, v in stats.items()
-    ]
-    foreign = rf"sum(length({c}) - length(regexp_replace({c}, '[^\x00-\x7F]', '', 'g')))"
-    rows.append(
-        f"SELECT 'non_ascii_ratio', 'accuracy', '{source}', '{c}', {_r(_pct(foreign, f'sum(length({c}))', 3), 3)}, '%', "
-        f"{foreign}::BIGINT || ' of ' || sum(length({c}))::BIGINT || ' characters are not ASCII; English text should stay below 1%' "
-        f"FROM {table} WHERE {c} <> ''"
-    )
-    return " UNION ALL ".join(rows)
-
-
 def _visible(x: str) -> str:
     for tag in ("script", "style", "template"):
         x = rf"regexp_replace({x}, '(?is)<{tag}\b.*?</{tag}\s*>', chr(1), 'g')"
@@ -507,7 +556,15 @@ ORACLE: dict[str, str] = {
     "compression_ratio": f"WITH {ARTICLES} SELECT 'nlp_compression_ratio' AS kpi_name, 'accuracy' AS category, 'webscraping' AS source, 'article_summary_clean' AS field, {_r('avg(length(clean)::DOUBLE / length(article_summary))', 4)} AS value, 'ratio' AS unit, printf('cleaning keeps %.2f%% of a text on average', avg(length(clean)::DOUBLE / length(article_summary)) * 100) AS finding FROM articles WHERE article_summary <> '' AND clean <> ''",
     "describe_with_nan": _describe(_NAN_PRICES, ["price", "l_quantity"]),
     "outlier_report_with_nan": _report(_NAN_PRICES, ["price"]),
+    "substring_terms": f"WITH {PIECES} SELECT term, count(*) AS documents, sum(length(text)) AS chars FROM documents JOIN pieces ON contains(text, term) GROUP BY 1",
+    "keyword_sentiment_long_list": f"WITH {SCORED}, {PIECES} SELECT term, count(*) AS documents, round(sum(compound_score) * 10000)::BIGINT AS total FROM pieces JOIN scored ON contains(clean, term) GROUP BY 1",
+    "alignment_long_list": f"WITH {RECIPES}, {PIECES}, bodies AS (SELECT id, lower(coalesce(title, '') || ' ' || coalesce(cuisines, '') || ' ' || coalesce(dishTypes, '')) AS body FROM recipes), "
+    "found AS (SELECT id, list(term ORDER BY rank, term) AS m FROM bodies JOIN pieces ON contains(body, term) WHERE rank > 2 GROUP BY 1) "
+    "SELECT id, coalesce(len(m), 0) AS hits, coalesce(array_to_string(m, '|'), '') AS found FROM bodies LEFT JOIN found USING (id)",
+    "keyword_search_long_list": f"WITH {RECIPES}, {PIECES}, buzz(rank, term) AS (SELECT DISTINCT 1, lower(term) FROM pieces), {_search('recipes', LOWER_BODY, 'buzz', 'spoonacularScore', 3)}",
     "keyword_search_mixed_case": f"WITH {RECIPES}, {SEARCH_WORDS}, {_search('recipes', '''lower(title || ' ' || cuisines)''', 'buzz', 'spoonacularScore', 5)}",
+    "outlier_rate_sketch": "SELECT kind, field, p, (SELECT count(*) FROM lineitem) AS n, true AS inside FROM (VALUES ('whole'), ('daily')) k(kind), (VALUES ('l_quantity'), ('l_extendedprice'), ('l_discount'), ('l_tax')) f(field), (VALUES (0.25::DOUBLE), (0.75::DOUBLE)) p(p)",
+    "outlier_rate_approximate": f"SELECT kpi_name, source, field, value FROM ({_outliers('lineitem', ['l_quantity', 'l_discount', 'l_tax'], 'api')})",
     "describe_numeric": _describe("lineitem", ["l_quantity", "l_extendedprice", "l_discount"]),
     "exact_medians": " UNION ALL ".join(
         f"SELECT {p}::DOUBLE AS p, round(quantile_cont(o_totalprice, {p}), 4) AS cont, quantile_disc(o_totalprice, {p}) AS disc FROM orders" for p in (0.1, 0.5, 0.9)
@@ -575,6 +632,7 @@ ORACLE: dict[str, str] = {
     "rss_rows": "SELECT p_partkey::VARCHAR AS article_id, CASE WHEN p_size > 3 THEN p_name ELSE 'Untitled' END AS article_title, 'http://x/?a&b=' || p_partkey AS article_url, '' AS author, 'Tue, 26 May 2026 10:11:12 GMT' AS published_date, CASE WHEN p_size > 40 THEN 'Long ' ELSE 'Short ' END || p_name AS article_summary, 'feed' AS source, 'New York City' AS location_focus, p_brand || '|' || p_type AS categories FROM part",
     "atom_rows": "SELECT p_partkey::VARCHAR AS article_id, p_name AS article_title, 'http://x/' || p_partkey AS article_url, p_brand AS author, CASE WHEN p_size > 25 THEN '2026-05-26T10:11:12-04:00' ELSE '2026-05-27' END AS published_date, p_name AS article_summary, 'feed' AS source, 'New York City' AS location_focus, p_type AS categories FROM part",
     # serving
+    "governance_job": f"WITH {GOVERNANCE} SELECT * FROM facts",
     "governance_rows": f"WITH {GOVERNANCE} SELECT *, '{q.RUN_TS.date()}' AS partition_date, (SELECT count(*) FROM facts) AS row_count FROM facts",
     "kpi_summary": f"WITH {GOVERNANCE} SELECT (sum(value) FILTER (kpi_name = 'record_count'))::BIGINT AS total_records, max(value) FILTER (kpi_name = 'null_rate') AS max_null_rate, max(value) FILTER (kpi_name = 'duplicate_rate') AS duplicate_rate, min(value) FILTER (kpi_name = 'schema_compliance_rate') AS schema_compliance_rate FROM facts",
     "null_rates_severity": f"WITH {GOVERNANCE} SELECT source, field, value, CASE WHEN value > 50 THEN 'high' WHEN value > 20 THEN 'medium' ELSE 'low' END AS severity FROM facts WHERE kpi_name = 'null_rate' AND value > 0",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks import parameters as q
 from checks.tables import TEXT, Tables
 from trendlake.functions import nested, text, values
-from trendlake.operators import dedupe, entities, keywords, profile, search, trends
+from trendlake.operators import dedupe, entities, keywords, profile, search, sketches, substring, trends
 from trendlake.operators.quantiles import exact_quantiles
 from trendlake.plans import gold, serving, silver
 from trendlake.plans.governance import ingestion_facts
@@ -206,6 +206,35 @@ def compression_ratio(t: Tables):
     return facts(rows)
 
 
+@query
+def outlier_rate_sketch(t: Tables):
+    """Whether quartiles of sketches lie at their rank, give or take the stated error; also of sketches for each day, merged."""
+    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    lines = t["lineitem"]
+    whole = sketches.column_sketches(lines, columns)
+    daily = written_once(sketches.column_sketches(lines, columns, ["l_shipdate"]))
+    kinds = [("whole", whole), ("daily", sketches.merged(daily))]
+    quartiles = drift.union_all([
+        s.select(F.lit(kind).alias("kind"), "field", "n", F.explode(F.array(*[
+            F.struct(F.lit(p).alias("p"), sketches.quantile_of(F.col("sketch"), p).alias("v")) for p in (0.25, 0.75)
+        ])).alias("q")).select("kind", "field", "n", "q.*") for kind, s in kinds
+    ])
+    values_ = lines.select(F.inline(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("x")) for c in columns])))
+    ranks = values_.groupBy("field", "x").agg(F.count("*").alias("m")).join(quartiles, "field").groupBy("kind", "field", "n", "p").agg(
+        F.sum(F.when(F.col("x") < F.col("v"), F.col("m")).otherwise(0)).alias("below"), F.sum(F.when(F.col("x") <= F.col("v"), F.col("m")).otherwise(0)).alias("upto")
+    )
+    error = F.lit(sketches.RANK_ERROR)
+    inside = (F.col("below") <= (F.col("p") + error) * F.col("n")) & (F.col("upto") >= (F.col("p") - error) * F.col("n"))
+    return ranks.select("kind", "field", "p", "n", inside.alias("inside"))
+
+
+@query
+def outlier_rate_approximate(t: Tables):
+    """The job's default: rates by the fences of one sketch, give or take what the error of a quartile can move."""
+    columns = ["l_quantity", "l_discount", "l_tax"]
+    return facts(profile.outlier_rates(t["lineitem"], columns, "api", q.RUN_TS)).select("kpi_name", "source", "field", "value")
+
+
 @query
 def describe_numeric(t: Tables):
     return profile.describe_numeric(t["lineitem"], ["l_quantity", "l_extendedprice", "l_discount"])
@@ -424,6 +453,39 @@ def keyword_search_mixed_case(t: Tables):
     return search.search_by_keywords(terms, t.recipes(), ["title", "cuisines"], 5).select("query", "rank", "id")
 
 
+def _piece_terms(t: Tables) -> DataFrame:
+    """Pieces of part names, one to six characters long, and all part numbers: thousands of terms, many of them in texts."""
+    key = F.col("p_partkey")
+    pieces = t["part"].select(F.substring(F.col("p_name"), (1 + key % 7).cast("int"), (1 + key % 6).cast("int")).alias("term"))
+    return pieces.union(t["part"].select(key.cast("string"))).distinct()
+
+
+@query
+def substring_terms(t: Tables):
+    """Documents that contain each of a long list of terms."""
+    hits = substring.with_terms(t["documents"].select("text"), "text", _piece_terms(t))
+    return hits.groupBy("term").agg(F.count("*").alias("documents"), F.sum(F.length("text")).alias("chars"))
+
+
+@query
+def keyword_sentiment_long_list(t: Tables):
+    means = keywords.keyword_means(t.stored_scored(), TEXT, _piece_terms(t))
+    return means.select("term", "documents", F.round(F.col("mean") * F.col("documents") * 10000).cast("long").alias("total"))
+
+
+@query
+def alignment_long_list(t: Tables):
+    """Recipes beside a list of a few hundred ranked words."""
+    words = _piece_terms(t).filter(F.length("term") > 2).select(F.length("term").alias("rank"), "term")
+    matched = trends.match_words(t.recipes(), ["title", "cuisines", "dishTypes"], words)
+    return matched.select("id", F.size("matches").alias("hits"), F.array_join("matches", "|").alias("found"))
+
+
+@query
+def keyword_search_long_list(t: Tables):
+    return search.search_by_keywords(_piece_terms(t), t.recipes(), ["title", "cuisines"], 3).select("query", "rank", "id")
+
+
 @query
 def conversation_search(t: Tables):
     terms = keywords.top_terms(t.stored_articles(), TEXT, 10)
@@ -484,19 +546,15 @@ def feed_cap(t: Tables):
     return landed.cap_per_feed(rows).select("event_id", "event_type")
 
 
-def _event_files(t: Tables) -> DataFrame:
-    return t["events"].select(F.col("event_type").alias("source"), F.to_date("ts").alias("dt"))
-
-
 @query
 def ingestion_inventory(t: Tables):
-    rows = partitions.inventory(_event_files(t))
+    rows = partitions.inventory(t.event_files())
     return rows.select("source", "distinct_dates", "files", "latest_files", F.col("latest_date").cast("string").alias("latest_date"))
 
 
 @query
 def ingestion_frequency(t: Tables):
-    return facts(ingestion_facts(_event_files(t), q.RUN_TS))
+    return facts(ingestion_facts(t.event_files(), q.RUN_TS))
 
 
 @query
@@ -658,6 +716,12 @@ def atom_rows(t: Tables):
 
 # --- serving ------------------------------------------------------------------
 
+@query
+def governance_job(t: Tables):
+    """All KPIs of the daily job: nulls, volume, duplicates, schema, outliers, texts, compression, coverage, files, ingestion."""
+    return facts(t.governance_job())
+
+
 @query
 def governance_rows(t: Tables):
     rows = serving.fact_rows(t.governance()).withColumn("partition_date", F.col("partition_date").cast("string"))

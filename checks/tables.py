@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 from checks import parameters as q
 from trendlake.operators.sentiment import add_sentiment
 from trendlake.plans.gold import gold_articles
-from trendlake.plans.governance import table_facts
+from trendlake.plans.governance import governance_facts
 from trendlake.plans.silver import clean_articles
 from trendlake.plans.storytelling import storytelling_facts
 from trendlake.session import written_once
-from trendlake.sources.drift import union_all
 
 TEXT = "article_summary_clean"
 
@@ -84,16 +83,25 @@ class Tables:
             ).alias("diets"),
         )
 
-    def governance(self) -> DataFrame:
-        """Governance facts of articles (with the partly missing labels) and recipes, stored as the job does."""
+    def event_files(self) -> DataFrame:
+        """Events as a listing of landed files: their type is the source."""
+        return self["events"].select(F.col("event_type").alias("source"), F.to_date("ts").alias("dt"))
+
+    def governance_job(self) -> DataFrame:
+        """The complete governance job: cleaned articles with the partly missing labels, recipes, listings and targets."""
         labels = self["labels"].withColumnRenamed("doc_id", "article_id")
-        articles = self.raw_articles().join(labels, "article_id", "left")
-        expected = ["article_id", "article_title", "article_summary", "source", "published_date"]
-        numeric = ["spoonacularScore", "healthScore", "readyInMinutes"]
-        return written_once(union_all([
-            table_facts(articles, "webscraping", q.RUN_TS, "article_summary", expected, []),
-            table_facts(self.recipes(), "api", q.RUN_TS, "title", ["id", "title"], [], numeric, outlier_method="discrete"),
-        ]))
+        return governance_facts(
+            self.recipes().withColumn("summary", F.concat_ws(" – ", "title", "cuisines")),
+            self.articles().join(labels, "article_id", "left"), q.RUN_TS,
+            silver_files=self["orders"].select(F.col("o_orderstatus").alias("source"), F.to_date("o_orderdate").alias("dt")),
+            bronze_files=self.event_files(), targets=self.spark.createDataFrame([(n,) for n in q.TARGETS], "name string"),
+            found_targets=self["supplier"].join(self["nation"], F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("name")),
+            outlier_method="discrete",
+        )
+
+    def governance(self) -> DataFrame:
+        """Governance facts, stored as the job does."""
+        return written_once(self.governance_job())
 
     def story(self) -> DataFrame:
         """Storytelling facts of articles and recipes, stored as the job does."""

@@ -21,7 +21,7 @@ def _compact(field: T.StructField) -> Column:
     return column
 
 
-def _keys(df: DataFrame, names: Sequence[str]) -> list[Column]:
+def key_columns(df: DataFrame, names: Sequence[str]) -> list[Column]:
     return [_compact(df.schema[name]).alias(f"_key{i}") for i, name in enumerate(names)]
 
 
@@ -31,23 +31,26 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     An aggregate, not a window: copies of a hot key are reduced before the shuffle.
     """
     row = F.struct(*[F.col(c) for c in df.columns])
-    return df.groupBy(*_keys(df, keys)).agg(F.min_by(row, F.struct(*order)).alias("_row")).select("_row.*")
+    return df.groupBy(*key_columns(df, keys)).agg(F.min_by(row, F.struct(*order)).alias("_row")).select("_row.*")
 
 
 def key_duplicates(df: DataFrame, key: str) -> DataFrame:
     """One row: ``total`` rows and ``duplicates`` beyond the first of each key."""
-    per_key = df.groupBy(*_keys(df, [key])).agg(F.count("*").alias("_n"))
+    per_key = df.groupBy(*key_columns(df, [key])).agg(F.count("*").alias("_n"))
     return per_key.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates")
     )
 
 
-def duplicate_rate(df: DataFrame, key: str, source: str, run_ts: datetime) -> DataFrame:
+def duplicate_row(key: str, source: str) -> Column:
+    """The KPI row of ``total`` and ``duplicates``."""
     finding = F.format_string("%d of %d rows repeat a value of %s", "duplicates", "total", F.lit(key))
     rate = F.coalesce(percent(F.col("duplicates"), F.col("total")), F.lit(0.0))
-    return long_rows(
-        key_duplicates(df, key), [kpi_row("duplicate_rate", "uniqueness", source, key, rate, "%", finding)], run_ts
-    )
+    return kpi_row("duplicate_rate", "uniqueness", source, key, rate, "%", finding)
+
+
+def duplicate_rate(df: DataFrame, key: str, source: str, run_ts: datetime) -> DataFrame:
+    return long_rows(key_duplicates(df, key), [duplicate_row(key, source)], run_ts)
 
 
 def full_row_duplicates(df: DataFrame) -> DataFrame:

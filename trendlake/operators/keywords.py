@@ -18,6 +18,7 @@ from trendlake.functions.text import bigrams_of, tokens_of, word_tokens
 from trendlake.functions.values import half_up, sentiment_label
 from trendlake.functions.vectors import cosine
 from trendlake.operators.longform import long_rows, story_row
+from trendlake.operators.substring import with_terms
 
 DOCUMENT_MARK = ""
 SCORES_SCHEMA = "term string, total bigint, score double"
@@ -190,17 +191,13 @@ def top_bigrams(df: DataFrame, text: str, run_ts: datetime, top_n: int = 15) ->
 
 
 def keyword_means(scored: DataFrame, text: str, terms: DataFrame, whole_words: bool = False) -> DataFrame:
-    """``term`` and mean score of the documents containing it.
-
-    ``terms`` is a top-n list; it travels as one array value, so the documents are
-    read once and only (term, score) pairs are aggregated.
-    """
-    listed = scored.select(text, "compound_score").withColumn("_terms", terms.agg(F.collect_list("term")).scalar())
+    """``term`` and mean score of the documents containing it, for a list of any length."""
+    listed = terms.select("term").distinct()
     if whole_words:
-        hits = F.array_intersect("_terms", tokens_of(F.col(text)))
+        words = scored.select(F.explode(F.array_distinct(tokens_of(F.col(text)))).alias("term"), "compound_score")
+        pairs = words.join(listed, "term")
     else:
-        hits = F.filter("_terms", lambda t: F.contains(F.col(text), t))
-    pairs = listed.select(F.explode(hits).alias("term"), "compound_score")
+        pairs = with_terms(scored.select(text, "compound_score"), text, listed)
     return pairs.groupBy("term").agg(F.avg("compound_score").alias("mean"), F.count("*").alias("documents"))
 
 

@@ -1,11 +1,11 @@
 """Exact quantiles without gathering a column in one task.
 
-The wanted ranks of all columns are closed in together. In each round, one pass takes
-approximate percentiles on both sides of every open rank from the values still in
-question, and one counts how the values lie to them; a rank falls onto one of them or
-between two. Both ends are then left out, so every round leaves fewer different values.
-What is left of all ranks is ordered in one last pass, once it is at most ``limit``
-different values for each.
+The wanted ranks of all columns are closed in together. In each round, one pass sketches
+the values still in question and takes quantiles on both sides of every open rank, and one
+counts how the values lie to them; a rank falls onto one of them or between two, wherever
+the sketch put it. Both ends are then left out, so every round leaves a small part of the
+values. What is left of all ranks is ordered in one last pass, once it is at most ``limit``
+values for each. Most tables take three passes.
 """
 
 from __future__ import annotations
@@ -47,7 +47,6 @@ class Span:
     high: float | None
     below: int
     inside: int
-    distinct: int
     ranks: tuple[int, ...]
 
     def holds(self, low: float | None = None, high: float | None = None) -> Column:
@@ -64,20 +63,37 @@ def _unpivoted(df: DataFrame, spans: Sequence[Span]) -> DataFrame:
     return df.filter(inside).select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
 
 
-def _narrowed(df: DataFrame, spans: Sequence[Span], error: float, known: dict) -> list[Span]:
-    """The parts of ``spans`` in which their ranks lie; ranks that fall onto a cut are added to ``known``."""
-    cuts: dict[int, list[float]] = {}
-    for i, s in enumerate(spans):
-        shares = sorted({min(max((r - s.below + d) / s.inside + e, 0.0), 1.0) for r in s.ranks for d, e in ((0, -2 * error), (1, 2 * error))})
-        cuts[i] = shares
-    accuracy = math.ceil(1 / error)
+def _sketch_size(error: float) -> int:
+    """The size of a sketch whose ranks are off by ``error`` at most, as its authors state it."""
+    return min(max(math.ceil((2.296 / error) ** (1 / 0.9021)), 8), 65_535)
+
+
+def _quantiles(value: Column, shares: Sequence[float], error: float) -> Column:
+    """Aggregate: the values at the shares of those that are not null, by a sketch; null without values."""
+    sketch = F.kll_sketch_agg_double(value, F.lit(_sketch_size(error)))
+    within = [min(max(share, 0.0), 1.0) for share in shares]
+    return F.when(F.count(value) > 0, F.kll_sketch_get_quantile_double(sketch, F.array(*map(F.lit, within))))
+
+
+def _sides(shares: Sequence[float], error: float) -> list[float]:
+    return sorted({min(max(share + side, 0.0), 1.0) for share in shares for side in (-2 * error, 2 * error)})
+
+
+def _cuts(df: DataFrame, spans: Sequence[Span], error: float) -> list[list[float]]:
+    """Values on both sides of the ranks of each span."""
     found = df.agg(*[
-        F.percentile_approx(F.when(spans[i].holds(), _number(spans[i].column)), shares, accuracy).alias(f"c{i}") for i, shares in cuts.items()
+        _quantiles(F.when(s.holds(), _number(s.column)), _sides([(r - s.below) / s.inside for r in s.ranks], error), error).alias(f"c{i}")
+        for i, s in enumerate(spans)
     ]).first()
-    ends = {i: sorted(set(found[f"c{i}"])) for i in cuts}
+    return [found[f"c{i}"] for i in range(len(spans))]
+
+
+def _narrowed(df: DataFrame, spans: Sequence[Span], cuts: Sequence[Sequence[float]], known: dict) -> list[Span]:
+    """The parts of ``spans`` in which their ranks lie; ranks that fall onto a cut are added to ``known``."""
+    ends = [sorted(set(c)) for c in cuts]
     counts = df.agg(*[
         column.alias(f"{tag}{i}_{k}")
-        for i, values_ in ends.items()
+        for i, values_ in enumerate(ends)
         for k, cut in enumerate([*values_, None])
         for tag, column in _counts(spans[i], values_[k - 1] if k else None, cut)
     ]).first()
@@ -88,8 +104,7 @@ def _narrowed(df: DataFrame, spans: Sequence[Span], error: float, known: dict) -
             inside, same = counts[f"within{i}_{k}"], counts[f"same{i}_{k}"]
             ranks = tuple(r for r in s.ranks if below <= r < below + inside)
             if ranks:
-                high = s.high if cut is None else cut
-                parts.append(Span(s.column, low, high, below, inside, counts[f"kinds{i}_{k}"], ranks))
+                parts.append(Span(s.column, low, s.high if cut is None else cut, below, inside, ranks))
             below += inside
             known.update({(s.column, r): cut for r in s.ranks if below <= r < below + same})
             below, low = below + same, cut
@@ -97,9 +112,8 @@ def _narrowed(df: DataFrame, spans: Sequence[Span], error: float, known: dict) -
 
 
 def _counts(span: Span, low: float | None, cut: float | None) -> list[tuple[str, Column]]:
-    between, value = span.holds(low, cut), _number(span.column)
-    same = F.lit(0) if cut is None else F.count_if(value == cut)
-    return [("within", F.count_if(between)), ("same", same), ("kinds", F.approx_count_distinct(F.when(between, value)))]
+    same = F.lit(0) if cut is None else F.count_if(_number(span.column) == cut)
+    return [("within", F.count_if(span.holds(low, cut))), ("same", same)]
 
 
 def _ordered(df: DataFrame, spans: Sequence[Span], known: dict) -> None:
@@ -129,28 +143,33 @@ def exact_quantiles(
     ``interpolate`` picks the continuous definition, otherwise the smallest value
     whose cumulative share reaches the probability. Nulls and NaN do not count.
     """
-    sizes = df.agg(*[
-        f(_number(c)).alias(f"{tag}{i}") for i, c in enumerate(columns) for tag, f in (("n", F.count), ("kinds", F.approx_count_distinct))
+    sides = _sides(probabilities, error)
+    first = df.agg(*[
+        a.alias(f"{tag}{i}") for i, c in enumerate(columns) for tag, a in (("n", F.count(_number(c))), ("c", _quantiles(_number(c), sides, error)))
     ]).first()
     known: dict[tuple[str, int], float] = {}
-    spans = []
+    ready, spans, cuts = [], [], []
     for i, c in enumerate(columns):
-        n = sizes[f"n{i}"]
+        n = first[f"n{i}"]
         ranks = {r for p in probabilities for r in _ranks(n, p, interpolate)[:2]} if n else set()
         if ranks:
-            spans.append(Span(c, None, None, 0, n, sizes[f"kinds{i}"], tuple(sorted(ranks))))
-    ready = []
+            span = Span(c, None, None, 0, n, tuple(sorted(ranks)))
+            if n <= limit:
+                ready.append(span)
+            else:
+                spans.append(span)
+                cuts.append(first[f"c{i}"])
     while spans:
-        ready += [s for s in spans if s.distinct <= limit]
-        spans = [s for s in spans if s.distinct > limit]
-        if spans:
-            spans = _narrowed(df, spans, error, known)
+        parts = _narrowed(df, spans, cuts, known)
+        ready += [s for s in parts if s.inside <= limit]
+        spans = [s for s in parts if s.inside > limit]
+        cuts = _cuts(df, spans, error) if spans else []
     if ready:
         _ordered(df, ready, known)
 
     result: dict[str, list[float | None]] = {}
     for i, name in enumerate(columns):
-        n = sizes[f"n{i}"]
+        n = first[f"n{i}"]
         result[name] = []
         for p in probabilities:
             if not n:

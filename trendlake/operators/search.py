@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from trendlake.constants import RECIPE_DISPLAY_COLUMNS
 from trendlake.functions.values import fill_text, select_present
+from trendlake.operators.substring import with_terms
 
 
 def _best_per_query(hits: DataFrame, number: int) -> DataFrame:
@@ -32,11 +33,8 @@ def search_by_keywords(
     """
     text = F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
     narrow = recipes.select("id", F.col(score).alias("score"), text.alias("_text"))
-    terms = keywords.select(F.lower("term").alias("term")).filter("term <> ''").agg(F.collect_set("term"))
-    listed = narrow.withColumn("_terms", terms.scalar())
-    hits = listed.select(
-        F.explode(F.filter("_terms", lambda t: F.contains(F.col("_text"), t))).alias("query"), "id", "score"
-    )
+    hits = with_terms(narrow, "_text", keywords.select(F.lower("term").alias("term")).distinct())
+    hits = hits.select(F.col("term").alias("query"), "id", "score")
     return _details(_best_per_query(hits, number), recipes)
 
 

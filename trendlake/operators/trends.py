@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendlake.constants import DIETARY_LABELS, POSITIVE_FROM
+from trendlake.functions.lookup import let
 from trendlake.functions.text import is_number, tokens_of
 from trendlake.functions.values import half_up, percent, positive_or_not, present_columns, published_date
 from trendlake.operators.keywords import ranked
 from trendlake.operators.longform import long_rows, story_row
+from trendlake.operators.substring import FEW, few_rows, with_terms
 
 
 def sentiment_counts(scored: DataFrame) -> DataFrame:
@@ -150,9 +152,10 @@ def source_comparison(
 
 def buzz_words(scored: DataFrame, text: str, top_n: int = 20) -> DataFrame:
     """Most frequent longer words of the positive documents, or of all when none is positive."""
-    positive = scored.filter(F.col("compound_score") >= POSITIVE_FROM)
-    source = scored if positive.isEmpty() else positive
-    words = source.select(tokens_of(F.col(text)).alias("words")).select(F.explode("words").alias("term"))
+    positive = F.coalesce(F.col("compound_score") >= POSITIVE_FROM, F.lit(False))
+    any_positive = scored.agg(F.coalesce(F.max(positive), F.lit(False))).scalar()
+    used = scored.filter(positive | ~any_positive)
+    words = used.select(tokens_of(F.col(text)).alias("words")).select(F.explode("words").alias("term"))
     counted = (
         words.filter((F.length("term") > 3) & ~is_number(F.col("term")))
         .groupBy("term").agg(F.count("*").alias("n"))
@@ -160,19 +163,27 @@ def buzz_words(scored: DataFrame, text: str, top_n: int = 20) -> DataFrame:
     return ranked(counted, top_n, "n").select("rank", "term", "n")
 
 
-def match_words(df: DataFrame, columns: list[str], words: DataFrame) -> DataFrame:
-    """``df`` plus ``matches``: the listed words found as substrings of the columns, in rank order."""
+def match_words(df: DataFrame, columns: list[str], words: DataFrame, few: int = FEW) -> DataFrame:
+    """``df`` plus ``matches``: the listed words found as substrings of the columns, in rank order.
+
+    A short list is looked for in place. With a longer one, each different text's matches
+    are found once and joined back.
+    """
     text = F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
-    listed = words.agg(F.array_sort(F.collect_list(F.struct("rank", "term"))).alias("w"))
-    return (
-        df.withColumn("_words", listed.scalar()).withColumn("_text", text)
-        .withColumn("matches", F.filter(F.transform("_words", lambda w: w["term"]), lambda t: F.contains(F.col("_text"), t)))
-        .drop("_words", "_text")
-    )
+    rows, listed = few_rows(words, few), words.select("rank", "term")
+    if rows is not None:
+        terms = F.array(*(F.lit(r["term"]) for r in sorted(rows, key=lambda r: (r["rank"], r["term"])) if r["term"])).cast("array<string>")
+        return df.withColumn("matches", let(text, lambda body: F.filter(terms, lambda t: F.contains(body, t))))
+    with_text = df.withColumn("_text", text)
+    hits = with_terms(with_text.select("_text").distinct(), "_text", listed, few)
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "term")))
+    found = hits.groupBy("_text").agg(F.transform(ordered, lambda w: w["term"]).alias("matches"))
+    none = F.array().cast("array<string>")
+    return with_text.join(found, "_text", "left").withColumn("matches", F.coalesce("matches", none)).select(*df.columns, "matches")
 
 
 def trend_alignment(recipes: DataFrame, words: DataFrame, run_ts: datetime) -> DataFrame:
-    """Per recipe: matched words, score, likes; rows stay where they are, nothing is shuffled."""
+    """Per recipe: matched words, score, likes; with a short list rows stay where they are."""
     matched = match_words(
         recipes.select("id", "title", "cuisines", "dishTypes", "spoonacularScore", "aggregateLikes"),
         ["title", "cuisines", "dishTypes"], words,

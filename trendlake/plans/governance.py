@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from trendlake.constants import (
     ARTICLE_TEXT_COLUMNS, EXPECTED_ARTICLE_COLUMNS, EXPECTED_RECIPE_COLUMNS, RECIPE_NUMERIC_COLUMNS, RECIPE_TEXT_COLUMNS,
 )
+from trendlake.functions.values import present_columns
 from trendlake.operators import profile as p
-from trendlake.operators.dedupe import duplicate_rate
 from trendlake.operators.longform import kpi_row, long_rows
 from trendlake.sources.drift import union_all
 from trendlake.sources.partitions import inventory
@@ -30,23 +30,24 @@ def table_facts(
     outlier_method: str = "approximate",
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All KPIs of one table: one wide pass, one pass over the texts, one over the numbers, one over the key."""
-    measures = [p.null_measure(df, source), p.volume_measure(source)]
+    """All KPIs of one table: a wide pass over its columns and a narrow one over its key and numbers."""
+    measures = [p.null_measure(df, source), p.volume_measure(source), p.text_measure(df, text_columns, source)]
     if compression and set(compression) <= set(df.columns):
         measures.append(p.compression_measure(*compression, source))
-    parts = [p.profile(df, measures, run_ts), p.schema_compliance(df, expected, source, run_ts, columns)]
-    if key in df.columns:
-        parts.append(duplicate_rate(df, key, source, run_ts))
-    if set(numeric_columns) & set(df.columns):
-        parts.append(p.outlier_rates(df, numeric_columns, source, run_ts, outlier_method))
-    if set(text_columns) & set(df.columns):
-        parts.append(p.text_profile(df, text_columns, source, run_ts))
-    return union_all(parts)
+    numbers = present_columns(df, numeric_columns)
+    if key in df.columns or numbers:
+        rows = p.keyed_profile(df, measures, key if key in df.columns else None, numbers, source, run_ts, outlier_method)
+    else:
+        rows = p.profile(df, measures, run_ts)
+    return union_all([rows, p.schema_compliance(df, expected, source, run_ts, columns)])
 
 
-def recipe_facts(df: DataFrame, run_ts: datetime, source: str = "api", columns: Sequence[str] | None = None) -> DataFrame:
+def recipe_facts(
+    df: DataFrame, run_ts: datetime, source: str = "api", columns: Sequence[str] | None = None, outlier_method: str = "approximate"
+) -> DataFrame:
     return table_facts(
-        df, source, run_ts, "id", EXPECTED_RECIPE_COLUMNS, RECIPE_TEXT_COLUMNS, RECIPE_NUMERIC_COLUMNS, columns=columns
+        df, source, run_ts, "id", EXPECTED_RECIPE_COLUMNS, RECIPE_TEXT_COLUMNS, RECIPE_NUMERIC_COLUMNS,
+        outlier_method=outlier_method, columns=columns,
     )
 
 
@@ -89,9 +90,10 @@ def governance_facts(
     found_targets: DataFrame | None = None,
     recipe_columns: Sequence[str] | None = None,
     article_columns: Sequence[str] | None = None,
+    outlier_method: str = "approximate",
 ) -> DataFrame:
     """The whole table; file and target KPIs need the listings, and schema KPIs of landed files the columns seen there."""
-    parts = [recipe_facts(recipes, run_ts, columns=recipe_columns), article_facts(articles, run_ts, columns=article_columns)]
+    parts = [recipe_facts(recipes, run_ts, columns=recipe_columns, outlier_method=outlier_method), article_facts(articles, run_ts, columns=article_columns)]
     if silver_files is not None:
         parts.append(silver_file_facts(silver_files, run_ts))
     if targets is not None and found_targets is not None:
