@@ -44,7 +44,8 @@ def story_row(aggregation: str, category: str, dimension: str, dimension_value,
     )
 
 
-def long_rows(wide: DataFrame, rows: Sequence[Column], run_ts: datetime) -> DataFrame:
-    """Each wide row becomes its long rows; null structs give no row."""
-    packed = F.filter(F.array(*rows), lambda r: r.isNotNull())
+def long_rows(wide: DataFrame, rows: Sequence[Column], run_ts: datetime, lists: Sequence[Column] = ()) -> DataFrame:
+    """Each wide row becomes its long rows, single ones and whole arrays of them; null structs give no row."""
+    every = [*([F.array(*rows)] if rows else []), *lists]
+    packed = F.filter(F.concat(*every) if len(every) > 1 else every[0], lambda r: r.isNotNull())
     return wide.select(F.inline(packed)).withColumn("computed_at", F.lit(run_ts).cast("timestamp"))
