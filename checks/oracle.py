@@ -84,6 +84,14 @@ dated AS (SELECT s.*, e.ts FROM scored s JOIN events e ON e.event_id = s.article
 """
 
 
+_LEXICON_ROWS = f"lexicon(token, valence) AS (VALUES {', '.join(f'({chr(39)}{w}{chr(39)}, {v}::DOUBLE)' for w, v in q.LEXICON.items())})"
+_ALL_WORDS = (
+    "lexicon AS (SELECT token, ((length(token) * 7) % 41 - 20) / 4.0::DOUBLE AS valence "
+    "FROM (SELECT DISTINCT unnest(toks) AS token FROM articles) WHERE length(token) % 3 <> 0)"
+)
+SCORED_LARGE = SCORED.replace(_LEXICON_ROWS, _ALL_WORDS).replace(f"IN {_list(q.LEXICON)}", "IN (SELECT token FROM lexicon)")
+
+
 def _tfidf(text: str = "clean", size: int = 500) -> str:
     return rf"""
 corpus AS (SELECT article_id, {text} AS body FROM articles WHERE trim({text}) <> ''),
@@ -574,6 +582,7 @@ ORACLE: dict[str, str] = {
     f"hit AS (SELECT t.name, EXISTS (SELECT 1 FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_name = t.name) AS f FROM targets t) "
     f"SELECT 'ingredient_coverage' AS kpi_name, 'volume' AS category, 'api' AS source, NULL::VARCHAR AS field, {_pct('count(*) FILTER (f)', 'count(*)')} AS value, '%' AS unit, 'data landed for ' || count(*) FILTER (f) || ' of ' || count(*) || ' targets' AS finding FROM hit",
     # sentiment and trends
+    "sentiment_large_lexicon": f"WITH {SCORED_LARGE} SELECT article_id, compound_score, sentiment_label FROM scored",
     "sentiment_score": f"WITH {SCORED} SELECT article_id, compound_score, sentiment_label FROM scored",
     "sentiment_distribution": f"WITH {SCORED}, {DISTRIBUTION} {DISTRIBUTION_ROWS}",
     "sentiment_trend_weekly": f"WITH {SCORED}, {WEEKS} {TREND_ROWS}",

@@ -10,6 +10,7 @@ from checks.tables import TEXT, Tables
 from trendlake.functions import nested, text, values
 from trendlake.operators import dedupe, entities, keywords, profile, search, sketches, substring, trends
 from trendlake.operators.quantiles import exact_quantiles
+from trendlake.operators.sentiment import add_sentiment
 from trendlake.plans import gold, serving, silver
 from trendlake.plans.governance import ingestion_facts
 from trendlake.session import written_once
@@ -284,6 +285,17 @@ def sentiment_score(t: Tables):
     return t.scored().select("article_id", "compound_score", "sentiment_label")
 
 
+@query
+def sentiment_large_lexicon(t: Tables):
+    """A lexicon of most words of the articles, far beyond what becomes a constant."""
+    articles = t.stored_articles()
+    words = articles.select(F.explode(text.tokens_of(F.col(TEXT))).alias("token")).distinct()
+    length = F.length("token")
+    lexicon = words.filter(length % 3 != 0).withColumn("valence", ((length * 7) % 41 - 20) / F.lit(4.0))
+    scored = add_sentiment(articles, TEXT, lexicon, boosters=q.BOOSTERS, negations=q.NEGATIONS, limit=1_000)
+    return scored.select("article_id", "compound_score", "sentiment_label")
+
+
 @query
 def sentiment_distribution(t: Tables):
     return facts(trends.sentiment_distribution(t.scored(), q.RUN_TS))

@@ -52,8 +52,12 @@ def test_sentiment_on_documents_agrees_with_brute_force(spark, docs):
     assert all(abs(r.compound_score) < 1 for r in rows)
     for r in rows:
         assert r.compound_score == pytest.approx(python_score(r.clean.split(), LEXICON, BOOSTERS, NEGATIONS), abs=1.1e-4)
-    with pytest.raises(ValueError):
-        sentiment.add_sentiment(docs, "clean", lexicon, limit=2)
+    # Beyond the limit the lexicon is joined, with copies and blank texts as well.
+    more = docs.select("clean").union(docs.select("clean")).union(docs.sparkSession.createDataFrame([(None,), ("",), ("least great not to bad",)], "clean string"))
+    either = [sentiment.add_sentiment(more, "clean", lexicon, boosters=BOOSTERS, negations=NEGATIONS, limit=n) for n in (2, 100)]
+    counted = [sorted(Counter(map(tuple, df.collect())).items(), key=repr) for df in either]
+    assert counted[0] == counted[1]
+    assert "collect_set" in either[0]._jdf.queryExecution().toString()
 
 
 def test_sentiment_is_the_same_at_any_lexicon_size(spark):

@@ -2,7 +2,10 @@
 
 A document's lexicon words are found in its array of words and scored with the
 three words before them, so scoring needs no explode, no window and no shuffle.
-The lexicon is a constant lookup.
+The lexicon is a constant lookup. A lexicon of more than ``LEXICON_LIMIT`` tokens stays a
+table: the documents' words, with their places and the three words before, are joined to it
+as Spark chooses, and each text's values are added up in the order of their places. Both
+ways give the same scores.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from trendlake.functions.text import tokens_of
 from trendlake.functions.values import half_up, sentiment_label
 
 
-LEXICON_LIMIT = 1_000_000
+LEXICON_LIMIT = 20_000
 
 
 def default_boosters() -> dict[str, float]:
@@ -40,6 +43,18 @@ def _adjusted(valence: Column, before: Column, known: Callable, booster: Callabl
     return F.aggregate(before, valence, apply)
 
 
+def _contribution(valence: Column, before: Callable[[int], Column], known: Callable, booster: Callable, negations: Sequence[str]) -> Column:
+    """What a lexicon word adds, given the words ``before`` it by distance."""
+    nearby = F.array(*[F.struct(before(i).alias("w"), F.lit(d).alias("damping")) for i, d in enumerate(DISTANCE_DAMPING, 1)])
+    value = _adjusted(valence, nearby, known, booster, lambda word: word.isin(list(negations)))
+    least = (before(1) == "least") & known(F.lit("least")).isNull() & ~before(2).isin("at", "very")
+    return value * F.when(least, NEGATION_FACTOR).otherwise(1.0)
+
+
+def _compound(total: Column) -> Column:
+    return let(total, lambda t: half_up(t / F.sqrt(t * t + NORMALISATION_ALPHA), 4))
+
+
 def token_sentiment(
     tokens: Column,
     lexicon: Callable[[Column], Column],
@@ -54,36 +69,56 @@ def token_sentiment(
     """
     booster = constant_lookup(boosters, "double")
 
-    def negated(word: Column) -> Column:
-        return word.isin(list(negations))
-
     def total(words: Column) -> Column:
-        def before(place: Column, distance: int) -> Column:
-            return F.coalesce(F.get(words, place - distance), F.lit(""))
-
         def add(sum_: Column, place: Column) -> Column:
-            nearby = F.array(*[
-                F.struct(before(place, i + 1).alias("w"), F.lit(d).alias("damping")) for i, d in enumerate(DISTANCE_DAMPING)
-            ])
-            value = _adjusted(lexicon(F.get(words, place)), nearby, lexicon, booster, negated)
-            least = (before(place, 1) == "least") & lexicon(F.lit("least")).isNull() & ~before(place, 2).isin("at", "very")
-            return sum_ + value * F.when(least, NEGATION_FACTOR).otherwise(1.0)
+            def before(distance: int) -> Column:
+                return F.coalesce(F.get(words, place - distance), F.lit(""))
+
+            return sum_ + _contribution(lexicon(F.get(words, place)), before, lexicon, booster, negations)
 
         scored = F.array_compact(
             F.transform(words, lambda word, i: F.when(listed(word) & ~word.isin(list(boosters)), i))
         )
         return F.aggregate(scored, F.lit(0.0), add)
 
-    return let(let(tokens, total), lambda t: half_up(t / F.sqrt(t * t + NORMALISATION_ALPHA), 4))
+    return _compound(let(tokens, total))
 
 
-def _entries(lexicon: DataFrame, limit: int) -> dict[str, float]:
+def _valences(lexicon: DataFrame) -> DataFrame:
     """Valence of each token; of a repeated token the greatest counts, null tokens and valences do not."""
     known = lexicon.select("token", F.col("valence").cast("double").alias("valence")).dropna()
-    rows = known.groupBy("token").agg(F.max("valence").alias("valence")).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"a lexicon may have {limit} tokens")
-    return {r["token"]: r["valence"] for r in rows}
+    return known.groupBy("token").agg(F.max("valence").alias("valence"))
+
+
+def _joined_scores(
+    df: DataFrame, text: str, valences: DataFrame, boosters: Mapping[str, float], negations: Sequence[str]
+) -> DataFrame:
+    """``df`` plus ``compound_score`` by a join of its words to the lexicon.
+
+    Texts are known by 96 bits of hashes and their length; the values of equal texts are one
+    set. Only words that boost or negate need to be known before others, and those are a
+    bounded part of the lexicon.
+    """
+    keys = {"_h1": F.xxhash64(text), "_h2": F.hash(text), "_h3": F.length(text)}
+    special = sorted({*boosters, *negations, "least"})
+    rows = valences.filter(F.col("token").isin(special)).collect()
+    known = constant_lookup({r["token"]: r["valence"] for r in rows}, "double")
+    booster = constant_lookup(boosters, "double")
+    hashed = df.withColumns(keys)
+    words = hashed.select(*keys, tokens_of(F.col(text)).alias("_words"))
+
+    def in_context(word: Column, i: Column) -> Column:
+        before = [F.coalesce(F.get("_words", i - d), F.lit("")).alias(f"b{d}") for d in range(1, len(DISTANCE_DAMPING) + 1)]
+        return F.struct(i.alias("place"), word.alias("token"), *before)
+
+    placed = words.select(*keys, F.inline(F.transform("_words", in_context))).filter(~F.col("token").isin(list(boosters)))
+    value = _contribution(F.col("valence"), lambda d: F.col(f"b{d}"), known, booster, negations)
+    valued = placed.join(valences, "token").select(*keys, F.struct("place", value.alias("value")).alias("_v"))
+    sums = valued.groupBy(*keys).agg(F.array_sort(F.collect_set("_v")).alias("_v"))
+    total = F.aggregate("_v", F.lit(0.0), lambda acc, v: acc + v["value"])
+    scores = sums.select(*keys, _compound(total).alias("_score"))
+    joined = hashed.join(scores, list(keys), "left")
+    return joined.select(*df.columns, F.coalesce("_score", F.lit(0.0)).alias("compound_score"))
 
 
 def add_sentiment(
@@ -96,15 +131,19 @@ def add_sentiment(
 ) -> DataFrame:
     """``df`` plus ``compound_score`` and ``sentiment_label`` of a cleaned text column.
 
-    ``lexicon`` has ``token`` and ``valence``. Whatever its size it becomes a constant;
-    beyond ``limit`` tokens, which no lexicon of a language has, it is refused.
+    ``lexicon`` has ``token`` and ``valence`` and may have any size; up to ``limit`` tokens
+    it becomes a constant, a larger one is joined.
     """
     boosters = default_boosters() if boosters is None else boosters
-    valences = _entries(lexicon, limit)
-
-    def scored(table: Column) -> Column:
-        lookup = partial(look_up, table)
-        return token_sentiment(tokens_of(F.col(text)), lookup, lambda w: lookup(w).isNotNull(), boosters, negations)
-
-    with_score = df.withColumn("compound_score", let(bucket_table(valences, "double"), scored))
+    known = _valences(lexicon)
+    rows = known.limit(limit + 1).collect()
+    if len(rows) > limit:
+        with_score = _joined_scores(df, text, known, boosters, negations)
+    else:
+        def scored(table: Column) -> Column:
+            lookup = partial(look_up, table)
+            return token_sentiment(tokens_of(F.col(text)), lookup, lambda w: lookup(w).isNotNull(), boosters, negations)
+
+        valences = {r["token"]: r["valence"] for r in rows}
+        with_score = df.withColumn("compound_score", let(bucket_table(valences, "double"), scored))
     return with_score.withColumn("sentiment_label", sentiment_label(F.col("compound_score")))
