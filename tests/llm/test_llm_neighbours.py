@@ -97,3 +97,11 @@ def test_sets_of_edges():
     a, b = np.array([0, 2, 5, 7, 8]), np.array([1, 5, 9, 8, 9])
     assert neighbours._least_of_sets(10, a, b).tolist() == [0, 0, 2, 3, 4, 2, 6, 2, 2, 2]
     assert neighbours._least_of_sets(3, a[:0], b[:0]).tolist() == [0, 1, 2]
+
+
+def test_rows_are_thinned_out_before_they_leave_a_task():
+    kind, a, b = [0, 0, 0, 0, 0, 1, 1, 2], [7, 7, 7, 7, 8, 7, 7, 7], [1, 2, 1, 3, 1, 2, 2, 2]
+    rows = np.rec.fromarrays([np.array(kind, np.int32), np.array(a), np.array(b), np.array([0.8, 0.9, 0.8, 0.7, 0.95, 1, 1, 0.9], np.float32)], names=["kind", "a", "b", "sim"])
+    got = neighbours.nearest_rows(rows, 2)
+    assert sorted(tuple(r)[:3] for r in got.tolist()) == [(0, 7, 1), (0, 7, 2), (0, 8, 1), (1, 7, 2), (2, 7, 2)]
+    assert len(neighbours.nearest_rows(rows[:0], 2)) == 0

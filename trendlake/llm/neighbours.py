@@ -51,6 +51,7 @@ ROUNDS = 4
 GAIN = 0.01
 SAMPLE, AUDIT = 4_096, 1_024
 RECALL, PASSES = 0.995, 6
+HELD = 500_000  # rows that a task thins out before it gives them away
 ROWS = 512  # rows of a product of matrices that are held at once
 LISTED, TIED, DOUBTED = range(3)
 FOUND = "kind int, a long, b long, sim float"
@@ -223,6 +224,18 @@ def _rows(kind: int, a: np.ndarray, b: np.ndarray, sim: np.ndarray) -> np.ndarra
     return np.rec.fromarrays([np.full(len(a), kind, np.int32), a, b, sim.astype(np.float32)], names=["kind", "a", "b", "sim"])
 
 
+def nearest_rows(rows: np.ndarray, size: int) -> np.ndarray:
+    """Every pair of a kind once, and of the list entries each class's nearest ``size``."""
+    rows = rows[np.lexsort((rows["b"], rows["a"], rows["kind"]))]
+    new = np.ones(len(rows), bool)
+    new[1:] = np.any([rows[c][1:] != rows[c][:-1] for c in ("kind", "a", "b")], axis=0)
+    rows = rows[new]
+    listed = rows[rows["kind"] == LISTED]
+    listed = listed[np.lexsort((listed["b"], -listed["sim"], listed["a"]))]
+    rank = np.arange(len(listed)) - np.searchsorted(listed["a"], listed["a"])
+    return np.concatenate([rows[rows["kind"] != LISTED], listed[rank < size]])
+
+
 def _compared(sets: DataFrame, keys: tuple[str, ...], size: int, floor: float, cosine: float) -> DataFrame:
     """:func:`compare` over every key's rows (cls, code)."""
 
@@ -233,14 +246,14 @@ def _compared(sets: DataFrame, keys: tuple[str, ...], size: int, floor: float, c
             raw = group["code"].to_pylist()
             parts = compare(cls, [raw[i] for i in first.tolist()], size, floor, cosine)
             held, n = held + [p for p in parts if len(p)], n + sum(map(len, parts))
-            if n > 50_000:
+            if n > HELD:
                 yield batch_of(held)
                 held, n = [], 0
         if held:
             yield batch_of(held)
 
     def batch_of(parts: list[np.ndarray]) -> pa.RecordBatch:
-        rows = np.concatenate(parts)
+        rows = nearest_rows(np.concatenate(parts), size)
         return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[c])) for c in rows.dtype.names], list(rows.dtype.names))
 
     return sets.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, FOUND)
