@@ -438,6 +438,12 @@ facts AS ({" UNION ALL ".join(f"SELECT {_K} FROM ({part})" for part in parts)})
 
 GOVERNANCE = _governance()
 
+_WHOLE = """length('{"results":[{"id":' || doc_id || ',"title":"' || source || '","image":"' || lang || '"}]}') // 2"""
+_REJECTS = f"""
+SELECT 'api' AS source, 'p' || doc_id AS source_file, CASE WHEN doc_id % 7 = 0 THEN 'unreadable' WHEN doc_id % 11 = 0 THEN 'incomplete' ELSE 'unreadable' END AS reason,
+       CASE WHEN doc_id % 7 = 0 THEN {_WHOLE} WHEN doc_id % 11 = 0 THEN NULL ELSE 17 END AS chars
+FROM documents WHERE doc_id % 7 = 0 OR doc_id % 11 = 0 OR doc_id % 13 = 0"""
+
 S = "aggregation, category, dimension_name, dimension_value, metric, value, label"
 STORY = (
     SCORED + "," + RECIPES + "," + DISTRIBUTION + "," + WEEKS + "," + CATEGORIES + "," + FLAGS + "," + _tfidf() + ","
@@ -641,6 +647,12 @@ ORACLE: dict[str, str] = {
     "rss_rows": "SELECT p_partkey::VARCHAR AS article_id, CASE WHEN p_size > 3 THEN p_name ELSE 'Untitled' END AS article_title, 'http://x/?a&b=' || p_partkey AS article_url, '' AS author, 'Tue, 26 May 2026 10:11:12 GMT' AS published_date, CASE WHEN p_size > 40 THEN 'Long ' ELSE 'Short ' END || p_name AS article_summary, 'feed' AS source, 'New York City' AS location_focus, p_brand || '|' || p_type AS categories FROM part",
     "atom_rows": "SELECT p_partkey::VARCHAR AS article_id, p_name AS article_title, 'http://x/' || p_partkey AS article_url, p_brand AS author, CASE WHEN p_size > 25 THEN '2026-05-26T10:11:12-04:00' ELSE '2026-05-27' END AS published_date, p_name AS article_summary, 'feed' AS source, 'New York City' AS location_focus, p_type AS categories FROM part",
     # serving
+    "rejected_payloads": _REJECTS,
+    "accepted_payload_rows": "SELECT doc_id AS id, source AS title, lang, 'p' || doc_id AS file FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 11 <> 0 AND doc_id % 13 <> 0",
+    "reject_rate": f"SELECT 'rejected_payloads' AS kpi_name, 'validity' AS category, source, reason AS field, count(*)::DOUBLE AS value, 'payloads' AS unit, count(*) || ' payloads of api are ' || reason AS finding FROM ({_REJECTS}) GROUP BY source, reason",
+    "landed_newest_day": "SELECT o_orderstatus AS source, o_orderdate::DATE::VARCHAR AS dt, o_orderkey AS path FROM orders o WHERE o_orderdate::DATE = (SELECT max(o_orderdate::DATE) FROM orders i WHERE i.o_orderstatus = o.o_orderstatus)",
+    "publish_round_trip": "SELECT 'orders_' || lower(o_orderstatus) AS \"table\", strftime(o_orderdate, '%Y-%m') AS month, count(*) AS rows, sum(o_orderkey)::BIGINT AS keys FROM orders GROUP BY 1, 2",
+    "streamed_articles": f"WITH {ARTICLES} SELECT article_id, source, length(clean) AS chars FROM articles",
     "governance_job": f"WITH {GOVERNANCE} SELECT * FROM facts",
     "governance_rows": f"WITH {GOVERNANCE} SELECT *, '{q.RUN_TS.date()}' AS partition_date, (SELECT count(*) FROM facts) AS row_count FROM facts",
     "kpi_summary": f"WITH {GOVERNANCE} SELECT (sum(value) FILTER (kpi_name = 'record_count'))::BIGINT AS total_records, max(value) FILTER (kpi_name = 'null_rate') AS max_null_rate, max(value) FILTER (kpi_name = 'duplicate_rate') AS duplicate_rate, min(value) FILTER (kpi_name = 'schema_compliance_rate') AS schema_compliance_rate FROM facts",

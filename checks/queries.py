@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,9 +14,10 @@ from trendlake.operators import dedupe, entities, keywords, profile, search, ske
 from trendlake.operators.quantiles import exact_quantiles
 from trendlake.operators.sentiment import add_sentiment
 from trendlake.plans import gold, serving, silver
-from trendlake.plans.governance import ingestion_facts
-from trendlake.session import written_once
-from trendlake.sources import batches, drift, landed, partitions, schemas
+from trendlake.plans.governance import ingestion_facts, reject_facts
+from trendlake.session import shared_folder, written_once
+from trendlake.sources import batches, drift, landed, partitions, schemas, sinks
+from trendlake.streaming import articles as articles_stream
 from trendlake.streaming.articles import weekly_windows
 
 REGISTRY: dict = {}
@@ -726,6 +729,72 @@ def atom_rows(t: Tables):
     return rows.select(*_ARTICLE, F.array_join("categories", "|").alias("categories"))
 
 
+def _broken_payloads(t: Tables) -> DataFrame:
+    """A payload for each document, of which some are cut off, some lack results, and some are of another type."""
+    key = F.col("doc_id")
+    whole = F.to_json(F.struct(F.array(F.struct(key.alias("id"), F.col("source").alias("title"), F.col("lang").alias("image"))).alias("results")))
+    body = (
+        F.when(key % 7 == 0, F.substring(whole, F.lit(1), (F.length(whole) / 2).cast("int")))
+        .when(key % 11 == 0, '{"status": "failure", "code": 402}').when(key % 13 == 0, "<html>busy</html>").otherwise(whole)
+    )
+    return t["documents"].select(body.alias("body"), F.concat(F.lit("p"), key).alias(landed.SOURCE_FILE))
+
+
+@query
+def rejected_payloads(t: Tables):
+    payloads = landed.parsed(_broken_payloads(t), "body", schemas.RECIPE_FILE)
+    return landed.rejected(payloads.select("results", landed.CORRUPT, landed.SOURCE_FILE), "api", "results").drop("digest")
+
+
+@query
+def accepted_payload_rows(t: Tables):
+    payloads = landed.parsed(_broken_payloads(t), "body", schemas.RECIPE_FILE)
+    rows = landed.recipe_rows(landed.accepted(payloads.select("results", landed.CORRUPT, landed.SOURCE_FILE)))
+    return rows.select("id", "title", F.col("image").alias("lang"), F.col(landed.SOURCE_FILE).alias("file"))
+
+
+@query
+def reject_rate(t: Tables):
+    payloads = landed.parsed(_broken_payloads(t), "body", schemas.RECIPE_FILE)
+    return facts(reject_facts(landed.rejected(payloads.select("results", landed.CORRUPT, landed.SOURCE_FILE), "api", "results"), q.RUN_TS))
+
+
+@query
+def landed_newest_day(t: Tables):
+    """Files of each source's newest day: here orders by status."""
+    files = t["orders"].select(F.col("o_orderstatus").alias("source"), F.to_date("o_orderdate").alias("dt"), F.col("o_orderkey").alias("path"))
+    return partitions.newest_of_each(files).select("source", F.col("dt").cast("string").alias("dt"), "path")
+
+
+@query
+def publish_round_trip(t: Tables):
+    """Orders published by status in two runs, the second one left uncommitted: readers see the first."""
+    folder = f"{shared_folder(t.spark)}/published-{uuid.uuid4()}"
+    orders = t["orders"].select("o_orderkey", "o_orderstatus", F.to_date("o_orderdate").alias("day"), "o_totalprice")
+    parts = {f"orders_{s.lower()}": orders.filter(F.col("o_orderstatus") == s) for s in ("O", "F", "P")}
+    sinks.publish_snapshot(t.spark, parts, folder)
+    sinks.stage_snapshot({name: df.limit(1) for name, df in parts.items()}, folder, sinks.new_run())
+    rows = drift.union_all([sinks.read_published(t.spark, folder, name).withColumn("table", F.lit(name)) for name in parts])
+    return rows.groupBy("table", F.date_format("day", "yyyy-MM").alias("month")).agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("keys"))
+
+
+@query
+def streamed_articles(t: Tables):
+    """Documents land in two parts, the second with copies of the first, and are streamed after each and once more."""
+    folder = f"{shared_folder(t.spark)}/stream-{uuid.uuid4()}"
+    key = F.col("article_id")
+    landed_rows = t.raw_articles().select(
+        key.cast("string").alias("article_id"), "article_title", "article_summary", "source", "author",
+        F.date_format(F.timestamp_seconds(1_780_000_000 + key), "yyyyMMdd_HHmmss").alias("date_extracted"),
+    )
+    for part, rows in (("one", landed_rows.filter(key % 2 == 0)), ("two", landed_rows), ("two", landed_rows.limit(0))):
+        rows.write.mode("append").json(f"{folder}/landed/{part}")
+        stream = articles_stream.stream_articles(t.spark, f"{folder}/landed", multi_line=False)
+        articles_stream.start_ingest(stream, q.STOP_WORDS, f"{folder}/table", f"{folder}/state").awaitTermination()
+    stored = t.spark.read.parquet(f"{folder}/table")
+    return stored.select(F.col("article_id").cast("long").alias("article_id"), "source", F.length("article_summary_clean").alias("chars"))
+
+
 # --- serving ------------------------------------------------------------------
 
 @query

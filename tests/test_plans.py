@@ -192,3 +192,39 @@ def test_schema_compliance_sees_landed_fields(spark, tmp_path):
     assert rows["schema_compliance_rate", "webscraping"].value < 100 and "author" in rows["schema_compliance_rate", "webscraping"].finding
     assert "mood" in rows["unexpected_columns", "webscraping"].finding
     assert "newField" in rows["unexpected_columns", "api"].finding
+
+
+def test_ingest_remembers_ids_for_ever_and_replayed_batches_add_nothing(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "one.json").write_text(json.dumps([article(1, "great ramen"), article(1, "same batch", date_extracted="20260527_090000")]))
+    rows = stream.stream_articles(spark, str(source))
+    table, state = str(tmp_path / "table"), str(tmp_path / "state")
+    stream.start_ingest(rows, STOP, table, state).awaitTermination(120)
+    (source / "later.json").write_text(json.dumps([article(1, "forty days on", date_extracted="20260706_080000"), article(2, "new", article_id=None)]))
+    stream.start_ingest(rows, STOP, table, state).awaitTermination(120)
+    got = {r.article_id: r.article_summary_clean for r in spark.read.parquet(table).collect()}
+    assert got == {"a1": "great ramen", None: "new"}
+    # All files once more, as after a failure between the write and the commit of a batch.
+    stream.start_ingest(rows, STOP, table, str(tmp_path / "other")).awaitTermination(120)
+    assert spark.read.parquet(table).count() == 2
+
+
+def test_malformed_files_go_to_the_reject_table(spark, tmp_path):
+    posts, dishes = tmp_path / "bronze/articles/dt=2026-05-27", tmp_path / "bronze/recipes/dt=2026-05-27"
+    posts.mkdir(parents=True)
+    dishes.mkdir(parents=True)
+    (posts / "one.json").write_text(json.dumps([article(1, "great ramen")]))
+    (posts / "bad.json").write_text('[{"source": ')
+    (dishes / "r.json").write_text(json.dumps({"results": [recipe(1, "Ramen")]}))
+    (dishes / "typed.json").write_text(json.dumps({"results": [{**recipe(2, "Pho"), "healthScore": "high"}]}))
+    (dishes / "error.json").write_text(json.dumps({"status": "failure"}))
+    (dishes / "html.json").write_text("<html>busy</html>")
+    inputs = daily.Inputs(lexicon=spark.createDataFrame([("great", 3.1)], "token string, valence double"), stop_words=STOP)
+    written = daily.run_daily(spark, str(tmp_path), inputs, TS)
+    assert written["silver_articles"] == 1 and written["rejects"] == 4
+    rejects = {r.source_file.split("/")[-1]: (r.source, r.reason) for r in spark.read.parquet(f"{tmp_path}/silver/rejects").collect()}
+    assert rejects == {"bad.json": ("webscraping", "unreadable"), "typed.json": ("api", "partly read"), "error.json": ("api", "incomplete"), "html.json": ("api", "unreadable")}
+    assert {r.id for r in spark.read.parquet(f"{tmp_path}/silver/recipes").collect()} == {1, 2}
+    facts = spark.read.parquet(f"{tmp_path}/gold/governance").filter("kpi_name = 'rejected_payloads'").collect()
+    assert sorted((r.source, r.field, r.value) for r in facts) == [("api", "incomplete", 1.0), ("api", "partly read", 1.0), ("api", "unreadable", 1.0), ("webscraping", "unreadable", 1.0)]

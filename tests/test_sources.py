@@ -151,3 +151,27 @@ def test_repeated_batches(spark):
 def test_json_sink(spark, tmp_path):
     sinks.write_json(spark.createDataFrame([(1, ["a"])], "id int, tags array<string>"), str(tmp_path / "j"), date(2026, 5, 1))
     assert spark.read.json(str(tmp_path / "j")).first().tags == ["a"]
+
+
+def test_readers_see_committed_runs_only(spark, tmp_path):
+    target = str(tmp_path / "published")
+    with pytest.raises(FileNotFoundError):
+        sinks.read_published(spark, target, "a")
+    first = sinks.publish_snapshot(spark, {"a": spark.range(3), "b": spark.range(2)}, target)
+    late = sinks.new_run()
+    staged = sinks.stage_snapshot({"a": spark.range(9), "b": spark.range(8)}, target, late)  # a run that stopped here
+    assert [sinks.read_published(spark, target, t).count() for t in "ab"] == [3, 2] and staged == {"a": 9, "b": 8}
+    sinks.commit_snapshot(spark, target, late, staged)
+    assert [sinks.read_published(spark, target, t).count() for t in "ab"] == [9, 8]
+    assert sinks.read_published(spark, target, "a", first).count() == 3
+    with pytest.raises(FileNotFoundError):
+        sinks.read_published(spark, target, "c")
+    assert sinks.published_runs(spark, target) == [first, late]
+    assert sinks.drop_old_runs(spark, target, keep=1) == [first] and sinks.published_runs(spark, target) == [late]
+    assert sinks.read_published(spark, target, "a").count() == 9
+
+
+def test_newest_day_of_each_source(spark):
+    rows = [("a", date(2026, 5, 1), "x"), ("a", date(2026, 5, 2), "y"), ("a", date(2026, 5, 2), "z"), ("b", date(2026, 4, 1), "w"), ("c", None, "v"), (None, date(2026, 1, 1), "u")]
+    got = partitions.newest_of_each(spark.createDataFrame(rows, "source string, dt date, path string"))
+    assert sorted(r.path for r in got.collect()) == ["u", "w", "y", "z"]

@@ -1,6 +1,6 @@
 """The daily run: landed files to published fact tables, in one application.
 
-Layout below ``base``: ``bronze/{articles,recipes}``, ``silver/{articles,recipes}``,
+Layout below ``base``: ``bronze/{articles,recipes}``, ``silver/{articles,recipes,rejects}``,
 ``gold/{gold_articles,gold_recipes,governance,storytelling}``, each with ``dt=`` partitions.
 """
 
@@ -24,7 +24,7 @@ from trendlake.plans.silver import silver_articles, silver_recipes
 from trendlake.plans.storytelling import TEXT, storytelling_facts
 from trendlake.session import work_folder
 from trendlake.sources import landed, partitions, sinks
-from trendlake.sources.drift import read_reconciled
+from trendlake.sources.drift import read_reconciled, union_all
 
 GOLD_TABLES = ["gold_articles", "gold_recipes", "governance", "storytelling"]
 
@@ -100,6 +100,13 @@ def _run(
     written["gold_recipes"] = sinks.write_dated(gold_recipes(cleaned_recipes), f"{gold}/gold_recipes", day)
     written["gold_articles"] = sinks.write_dated(gold_articles(cleaned_articles), f"{gold}/gold_articles", day)
 
+    lost = [
+        landed.rejected(landed.read_recipe_files(spark, partitions.partition_path(spark, f"{bronze}/recipes", day)), "api", "results"),
+        landed.rejected(landed.read_article_files(spark, partitions.partition_path(spark, f"{bronze}/articles", day)), "webscraping"),
+    ]
+    written["rejects"] = sinks.write_dated(union_all(lost), f"{silver}/rejects", day)
+    rejects = spark.read.schema(landed.REJECTS).parquet(partitions.partition_path(spark, f"{silver}/rejects", day))
+
     sources = {"api": "recipes", "webscraping": "articles"}
     targets = spark.createDataFrame([(t,) for t in TARGET_INGREDIENTS], "ingredient string")
     found = cleaned_recipes.select(F.explode(as_list(cleaned_recipes, "ingredient_names")).alias("ingredient"))
@@ -110,6 +117,7 @@ def _run(
         targets, found,
         landed.columns_seen(cleaned_recipes.columns, recipes.columns, recipe_fields),
         landed.columns_seen(cleaned_articles.columns, articles.columns, article_fields),
+        rejects=rejects,
     )
     written["governance"] = sinks.write_dated(governance, f"{gold}/governance", day, small=True)
 
@@ -123,6 +131,7 @@ def _run(
 
     if target is not None:
         sinks.publish_latest(spark, gold, target, GOLD_TABLES)
-    layers = [f"{bronze}/articles", f"{bronze}/recipes", f"{silver}/articles", f"{silver}/recipes"]
+        sinks.publish_snapshot(spark, {t: spark.read.parquet(partitions.partition_path(spark, f"{gold}/{t}", day)) for t in GOLD_TABLES}, f"{target}/snapshots")
+    layers = [f"{bronze}/articles", f"{bronze}/recipes", f"{silver}/articles", f"{silver}/recipes", f"{silver}/rejects"]
     partitions.apply_retention(spark, layers + [f"{gold}/{t}" for t in GOLD_TABLES], day, retention_days)
     return written

@@ -80,6 +80,14 @@ def ingestion_facts(files: DataFrame, run_ts: datetime) -> DataFrame:
     return long_rows(inventory(files), rows, run_ts)
 
 
+def reject_facts(rejects: DataFrame, run_ts: datetime) -> DataFrame:
+    """Rejected payloads by source and reason."""
+    counted = rejects.groupBy("source", "reason").agg(F.count("*").alias("n"))
+    finding = F.format_string("%d payloads of %s are %s", "n", "source", "reason")
+    row = kpi_row("rejected_payloads", "validity", F.col("source"), F.col("reason"), F.col("n"), "payloads", finding)
+    return long_rows(counted, [row], run_ts)
+
+
 def governance_facts(
     recipes: DataFrame,
     articles: DataFrame,
@@ -91,6 +99,7 @@ def governance_facts(
     recipe_columns: Sequence[str] | None = None,
     article_columns: Sequence[str] | None = None,
     outlier_method: str = "approximate",
+    rejects: DataFrame | None = None,
 ) -> DataFrame:
     """The whole table; file and target KPIs need the listings, and schema KPIs of landed files the columns seen there."""
     parts = [recipe_facts(recipes, run_ts, columns=recipe_columns, outlier_method=outlier_method), article_facts(articles, run_ts, columns=article_columns)]
@@ -100,4 +109,6 @@ def governance_facts(
         parts.append(p.target_coverage(targets, found_targets, targets.columns[0], "api", run_ts))
     if bronze_files is not None:
         parts.append(ingestion_facts(bronze_files, run_ts))
+    if rejects is not None:
+        parts.append(reject_facts(rejects, run_ts))
     return union_all(parts)

@@ -12,12 +12,58 @@ from trendlake.sources import schemas
 
 SOURCE_FILE = "_source_file"
 POSITION = "_position"
+CORRUPT = "_corrupt"
+REJECTS = "source string, source_file string, reason string, chars int, digest string"
+
+
+def _json(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+    """Landed JSON files by a declared schema; what does not fit it is kept as text in ``CORRUPT``."""
+    reader = spark.read.schema(f"{schema}, {CORRUPT} string").option("columnNameOfCorruptRecord", CORRUPT)
+    files = reader.option("multiLine", True).option("recursiveFileLookup", True).json(path)
+    return files.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+
+
+def parsed(payloads: DataFrame, text: str, schema: str) -> DataFrame:
+    """Payload texts parsed like landed files: the fields of ``schema``, ``CORRUPT``, and the other columns."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    others = [c for c in payloads.columns if c != text]
+    return payloads.select(F.from_json(text, f"{schema}, {CORRUPT} string", options).alias("_parsed"), *others).select("_parsed.*", *others)
+
+
+def _unread(payloads: DataFrame) -> Column:
+    """Whether nothing of a payload could be read."""
+    fields = [c for c in payloads.columns if c not in (CORRUPT, SOURCE_FILE, POSITION)]
+    return F.col(CORRUPT).isNotNull() & F.coalesce(*[F.when(F.col(c).isNotNull(), True) for c in fields]).isNull()
+
+
+def accepted(payloads: DataFrame) -> DataFrame:
+    """The payloads of which something could be read."""
+    return payloads.filter(~_unread(payloads)).drop(CORRUPT)
+
+
+def rejected(payloads: DataFrame, source: str, needed: str | None = None) -> DataFrame:
+    """The reject table of payloads: ``REJECTS``, a row for each that lost something.
+
+    ``unreadable`` ones give no rows at all; of ``partly read`` ones, in which a value has
+    another type than declared or the text ends early, what could be read is used;
+    ``incomplete`` ones are well formed but lack the field ``needed``. The text itself is not
+    copied: its file, length and digest identify it.
+    """
+    lacking = F.lit(False) if needed is None else F.col(needed).isNull()
+    reason = F.when(_unread(payloads), "unreadable").when(F.col(CORRUPT).isNotNull(), "partly read").when(lacking, "incomplete")
+    rows = payloads.select(F.lit(source).alias("source"), F.col(SOURCE_FILE).alias("source_file"), reason.alias("reason"),
+                           F.length(CORRUPT).alias("chars"), F.sha2(CORRUPT, 256).alias("digest"))
+    return rows.filter("reason IS NOT NULL")
+
+
+def read_recipe_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One row per landed payload, readable or not, with its file."""
+    return _json(spark, path, schemas.RECIPE_FILE).select("results", CORRUPT, SOURCE_FILE)
 
 
 def read_recipes(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per recipe of the ``results`` arrays; files with empty results give no rows."""
-    files = spark.read.schema(schemas.RECIPE_FILE).option("multiLine", True).option("recursiveFileLookup", True).json(path)
-    return recipe_rows(files.select("results", F.col("_metadata.file_path").alias(SOURCE_FILE)))
+    """One row per recipe of the ``results`` arrays; files with empty results and unreadable ones give no rows."""
+    return recipe_rows(accepted(read_recipe_files(spark, path)))
 
 
 def recipe_rows(payloads: DataFrame) -> DataFrame:
@@ -25,10 +71,14 @@ def recipe_rows(payloads: DataFrame) -> DataFrame:
     return payloads.selectExpr("inline(results)", SOURCE_FILE)
 
 
+def read_article_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One row per article, and one per unreadable file, with its file and its position there."""
+    return _json(spark, path, schemas.ARTICLE_FILE).withColumn(POSITION, F.monotonically_increasing_id())
+
+
 def read_articles(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per article of the JSON arrays, with its file and its position there."""
-    files = spark.read.schema(schemas.ARTICLE_FILE).option("multiLine", True).option("recursiveFileLookup", True).json(path)
-    return files.withColumns({SOURCE_FILE: F.col("_metadata.file_path"), POSITION: F.monotonically_increasing_id()})
+    """One row per article of the JSON arrays, with its file and its position there; unreadable files give none."""
+    return accepted(read_article_files(spark, path))
 
 
 def field_names(spark: SparkSession, path: str | list[str], within: str | None = None) -> set[str]:

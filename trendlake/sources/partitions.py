@@ -21,14 +21,14 @@ _DATE_DIRECTORY = re.compile(r"^(?:dt=)?(\d{4}-\d{2}-\d{2})$")
 LISTING_SCHEMA = "base string, name string, path string"
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def _directories(spark: SparkSession, base: str) -> list[tuple[str, str]]:
     """(date text, path) of the date directories, oldest first; none if the base is absent."""
-    system, path = _file_system(spark, base)
+    system, path = file_system(spark, base)
     if not system.exists(path):
         return []
     found = []
@@ -96,12 +96,21 @@ def source_listing(spark: SparkSession, bases: dict[str, str], pattern: str = "*
     schema = "path string, modified timestamp, name string, dt date, source string"
     listing = spark.createDataFrame([], schema)
     for source, base in bases.items():
-        system, path = _file_system(spark, base)
+        system, path = file_system(spark, base)
         if system.exists(path):
             listing = listing.unionByName(file_listing(spark, base, pattern).withColumn("source", F.lit(source)))
     return listing
 
 
+def newest_of_each(files: DataFrame, source: str = "source") -> DataFrame:
+    """The files of the newest partition of each source; a source without dated files gives none.
+
+    The newest dates are an aggregate, so a source with most of the files is one row a task.
+    """
+    days = files.groupBy(F.col(source).alias("_source")).agg(F.max("dt").alias("_dt"))
+    return files.join(days, F.col(source).eqNullSafe(F.col("_source")) & (F.col("dt") == F.col("_dt"))).select(*files.columns)
+
+
 def distinct_paths(files: DataFrame) -> DataFrame:
     return files.select("path").distinct()
 
@@ -144,7 +153,7 @@ def apply_retention(
         error = None
         if row.status == "deleted" and not dry_run:
             try:
-                system, path = _file_system(spark, row.path)
+                system, path = file_system(spark, row.path)
                 if not system.delete(path, True):
                     error = "not deleted"
             except Py4JJavaError as problem:
