@@ -1,7 +1,7 @@
 """Secrets in text: fixed patterns, and credential values that are hard to guess.
 
 Three patterns find assignments, access keys and long hexadecimal runs. Besides those,
-the value that follows a credential word is measured with
+the value that follows a credential word, or the password of a connection string, is measured with
 :func:`trendlake.llm.guesses.guess_cost`; one that takes ``10 ** min_cost`` guesses or
 more is a secret (kind ``guess``), whatever its alphabet.
 
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from trendlake.llm.columnar import slices, text_column
 from trendlake.llm.guesses import RANKS, guess_cost
+from trendlake.llm.tables import Scratch
 
 KINDS = ("assign", "access", "hex", "guess")
 MIN_COST = 10.0
@@ -32,25 +33,53 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 # A name anywhere in an identifier, where its last letter is (or with an s) and no small letter follows: dbPassword2, TOKEN_OLD,
 # secretKey, but not secretary. "pass" must stand alone. Each identifier is read once, from its first character.
-_NAME = r"(?:pass(?:word|wd|phrase|code)|pwd|secret|token|(?:api|access|private)[_-]?key|credential)s?(?:(?![a-z])|(?-i:(?<=[a-z])(?=[A-Z])))"
+_KEYS = "api|access|private|aws|auth|encryption|signing|master|service|account|client|shared|storage"
+_NAME = rf"(?:pass(?:word|wd|phrase|code)|pwd|psk|secret|token|(?:{_KEYS})[_-]?key|credential)s?(?:(?![a-z])|(?-i:(?<=[a-z])(?=[A-Z])))"
 CONTEXT = re.compile(
     r"(?ai:(?<![a-z0-9_-])"
-    rf"""(?:bearer\s++|(?:(?=[a-z0-9_-]*?(?:{_NAME}|(?<![a-z0-9])(?:pass|bearer)(?![a-z0-9])))[a-z0-9_-]++"""
+    rf"""(?:bearer\s++|authorization["']?\s*+[:=]\s*+["']?basic\s++|(?:(?=[a-z0-9_-]*?(?:{_NAME}|(?<![a-z0-9])(?:pass|bearer)(?![a-z0-9])))[a-z0-9_-]++"""
     r"""["']?\s*+(?:=>|:=|[:=]|(?<=\s)is(?=\s))\s*+)))["']?([^\s"'<>,;]{6,})"""
 )
+# The password of a connection string, between the user's name and the host.
+CONNECTION = re.compile(r"""(?<=://)[^\s:/@"'<>]{1,64}:([^\s/@"'<>]{6,128})@""")
 # A text without any of these has no span of any kind.
-POSSIBLE = r"(?i)pass|pwd|secret|token|api_?-?key|(access|private)[_-]?key|credential|bearer|(?-i:AKIA[A-Z0-9]{16}|[0-9a-f]{24})"
+POSSIBLE = rf"""(?i)pass|pwd|psk|secret|token|({_KEYS})[_-]?key|credential|bearer|authorization|://[^\s:/@"'<>]{{1,64}}:|(?-i:AKIA[A-Z0-9]{{16}}|[0-9a-f]{{24}})"""
 # A word of a list: small letters between spaces and punctuation, in so many texts; the list ends at so many words.
 COMMON = r"(?<![^\s(\"'])\p{L}{3,24}(?=[.,;:!?)\"']*(?:\s|$))"
-COMMON_TEXTS, COMMON_WORDS = 20, 50_000
-
-
-def common_words(docs: DataFrame, text: str = "text", texts: int = COMMON_TEXTS, size: int = COMMON_WORDS) -> dict[str, int]:
-    """Ranks of the ``size`` words that are in most texts, and in ``texts`` at least; listed words keep a better rank."""
-    own = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(COMMON), F.lit(0)))
-    counted = docs.select(F.explode(own).alias("word")).groupBy("word").count().filter(F.col("count") >= texts)
-    rows = counted.orderBy(F.desc("count"), "word").limit(size).collect()  # at most ``size`` rows
-    ranks = {row["word"]: rank for rank, row in enumerate(rows, 1)}
+COMMON_TEXTS, COMMON_SHARE, COMMON_WORDS = 20, 1e-4, 50_000
+# What follows a credential's name, with or without a sign between them, is no common word, however many copies a text has.
+VALUE = (
+    r"""(?i)(?:pass(?:word|wd|phrase|code)?|pwd|psk|secret|token|[_-]key|apikey|credential|bearer|basic)[a-z0-9_-]{0,40}["']?"""
+    r"""\s{0,8}(?:=>|:=|[:=]|is(?=\s))?\s{0,8}["']?[^\s"'<>,;]{3,}|://[^\s:/@"'<>]{1,64}:[^\s/@"'<>]{3,128}@"""
+)
+CLASSES = 8  # of numbers of texts, for each power of two
+
+
+def common_words(
+    docs: DataFrame, text: str = "text", texts: int = COMMON_TEXTS, share: float = COMMON_SHARE, size: int = COMMON_WORDS
+) -> dict[str, int]:
+    """Ranks of the words that are in most texts; listed words keep a better rank.
+
+    A word is in ``texts`` texts at least and in ``share`` of all; words in the place of a
+    credential's value do not count. Counts are put into classes by their logarithm, and the
+    highest classes with no more than ``size`` words together are taken whole, so the driver
+    gets one number for each class and at most ``size`` words, whatever the number of tasks.
+    """
+    scratch = Scratch(docs.sparkSession, "secrets")
+    body = F.when(F.col(text).rlike(VALUE), F.regexp_replace(text, VALUE, "; ")).otherwise(F.col(text))
+    own = F.array_distinct(F.regexp_extract_all(F.lower(body), F.lit(COMMON), F.lit(0)))
+    least = docs.select(F.greatest(F.lit(texts), F.count("*") * share).alias("least"))
+    counted = docs.select(F.explode(own).alias("word")).groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= least.scalar())
+    counted = scratch.write(counted.withColumn("class", F.floor(F.log2("n") * CLASSES).cast("int")), "words")
+    lowest, held = None, 0
+    for row in sorted(counted.groupBy("class").count().collect(), reverse=True):  # at most 64 classes for each power of two
+        held += row["count"]
+        if held > size:
+            break
+        lowest = row["class"]
+    rows = [] if lowest is None else counted.filter(F.col("class") >= lowest).select("word", "n").collect()
+    scratch.drop("words")
+    ranks = {row["word"]: rank for rank, row in enumerate(sorted(rows, key=lambda r: (-r["n"], r["word"])), 1)}
     return ranks | {word: min(rank, ranks.get(word, rank)) for word, rank in RANKS.items()}
 
 
@@ -73,10 +102,15 @@ def guess_spans(
         else:
             joined.append([start, stop])
     out, at = [], 0
-    for m in CONTEXT.finditer(text):
+    values = sorted([*CONTEXT.finditer(text), *CONNECTION.finditer(text)], key=lambda m: m.start(1))
+    last = -1
+    for m in values:
+        if m.start(1) == last:
+            continue
+        last = m.start(1)
         while at < len(joined) and joined[at][1] <= m.start(1):
             at += 1
-        value = m[1].rstrip(".)]}")
+        value = m[1].rstrip(".)]}") if m.re is CONTEXT else m[1]
         end = m.start(1) + len(value)
         covered = at < len(joined) and joined[at][0] <= m.start(1) and end <= joined[at][1]
         if len(value) >= 6 and not covered and guess_cost(value, words, min_cost) >= min_cost:
