@@ -637,7 +637,7 @@ ORACLE: dict[str, str] = {
     f"a AS ({_batches('n', 'id')}), b AS ({_batches('s', 'id')}), r AS (SELECT day, batch FROM a WHERE EXISTS (SELECT 1 FROM b WHERE b.day = a.day AND b.ids = a.ids)) "
     "SELECT day, count(*) AS n, count(DISTINCT batch) AS batches FROM n ANTI JOIN r USING (day, batch) GROUP BY 1",
     "union_by_name": "SELECT lang, role, count(*) AS n, sum(id)::BIGINT AS ids FROM (SELECT doc_id AS id, lang FROM documents UNION ALL BY NAME SELECT conv_id AS id, role FROM conversations) GROUP BY 1, 2",
-    "run_summary": " UNION ALL ".join(f"SELECT '{n}' AS \"table\", count(*) AS rows, 1 AS files FROM {n}" for n in ("documents", "pages", "conversations", "lineitem", "orders")),
+    "run_summary": " UNION ALL ".join(f"SELECT '{n}' AS \"table\", count(*) AS rows, 1 AS files FROM {n}" for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")),
     # landing
     "recipe_payload_rows": f"WITH {RECIPES} SELECT id, title, cuisines, spoonacularScore, healthScore, readyInMinutes, vegetarian, replace(ingredient_names, ', ', '|') AS ingredients, readyInMinutes || 'd' AS cookingMinutes, NULL::VARCHAR AS license, dishTypes || '-' || readyInMinutes AS _source_file FROM recipes",
     "silver_recipes": f"WITH {RECIPES} SELECT id, title, cuisines, dishTypes, diets, readyInMinutes AS preparationMinutes, NULL::INTEGER AS cookingMinutes, ingredient_names, title || ' Serve.' AS instructions_text, title || ' for & all' AS summary, NULL::VARCHAR AS license FROM recipes",

@@ -21,6 +21,10 @@ from trendlake.streaming import articles as articles_stream
 from trendlake.streaming.articles import weekly_windows
 
 REGISTRY: dict = {}
+ALL_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark",
+    "labels", "conversations",
+)
 
 
 def query(function):
@@ -609,12 +613,8 @@ def union_by_name(t: Tables):
 
 @query
 def run_summary(t: Tables):
-    """Rows and files per table."""
-    names = ["documents", "pages", "conversations", "lineitem", "orders"]
-    counted = [
-        t.scan(n).select(F.lit(n).alias("table"), F.col("_metadata.file_path").alias("file")) for n in names
-    ]
-    return drift.union_all(counted).groupBy("table").agg(F.count("*").alias("rows"), F.count_distinct("file").alias("files"))
+    """Rows and files of every table."""
+    return partitions.table_summary({name: t.scan(name) for name in ALL_TABLES})
 
 
 # --- landing ------------------------------------------------------------------

@@ -7,8 +7,9 @@ table files are not opened for them.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -120,6 +121,13 @@ def latest_file(files: DataFrame, by: str = "modified") -> DataFrame:
     return files.orderBy(F.desc(by), F.desc("path")).limit(1)
 
 
+def table_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``table``, ``rows`` and ``files`` of scanned tables; files are counted by task first, no column is read."""
+    paths = [df.select(F.lit(name).alias("table"), F.col("_metadata.file_path").alias("_file")) for name, df in tables.items()]
+    per_file = reduce(DataFrame.unionAll, paths).groupBy("table", "_file").agg(F.count("*").alias("_n"))
+    return per_file.groupBy("table").agg(F.sum("_n").alias("rows"), F.count("*").alias("files"))
+
+
 def freshness(files: DataFrame) -> DataFrame:
     """One row: newest partition date and time of the last write."""
     return files.agg(
