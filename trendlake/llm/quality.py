@@ -118,8 +118,13 @@ def beta_prior(hosts: DataFrame) -> tuple[float, float]:
 
 def host_verdicts(docs: DataFrame, text: str = "text", host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """(host, n, failed, rate, rejected), written: one row for each host."""
-    tally = counted(docs, text, host, []).filter("host is not null").groupBy("host")
-    scratch = Scratch(docs.sparkSession, "quality")
+    return _verdicts(counted(docs, text, host, []), max_rate)
+
+
+def _verdicts(each: DataFrame, max_rate: float) -> DataFrame:
+    """:func:`host_verdicts` of rows that are counted."""
+    tally = each.filter("host is not null").groupBy("host")
+    scratch = Scratch(each.sparkSession, "quality")
     hosts = scratch.write(tally.agg(F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed")), "tally")
     alpha, beta = beta_prior(hosts)
     rated = hosts.withColumn("rate", (F.col("failed") + alpha) / (F.col("n") + (alpha + beta)))
@@ -129,7 +134,12 @@ def host_verdicts(docs: DataFrame, text: str = "text", host: str = "source", max
 def judge(
     docs: DataFrame, text: str = "text", host: str = "source", carry: list[str] | None = None, max_rate: float = MAX_HOST_RATE
 ) -> DataFrame:
-    """:func:`counted` and ``kept``: false for a text that fails and for every text of a rejected host."""
-    rejected = host_verdicts(docs, text, host, max_rate).filter("rejected").select("host", "rejected")
-    judged = counted(docs, text, host, carry).join(rejected, "host", "left")
+    """:func:`counted` and ``kept``: false for a text that fails and for every text of a rejected host.
+
+    Texts are counted once; what is counted, with the carried columns, is written, and the
+    hosts' tally and the result both read it.
+    """
+    each = Scratch(docs.sparkSession, "quality").write(counted(docs, text, host, carry), "counted")
+    rejected = _verdicts(each, max_rate).filter("rejected").select("host", "rejected")
+    judged = each.join(rejected, "host", "left")
     return judged.withColumn("kept", ~F.col("base_failed") & F.col("rejected").isNull()).drop("rejected")
