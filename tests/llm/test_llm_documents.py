@@ -205,6 +205,25 @@ def test_url_verdicts(spark):
     assert urls.judge_urls(pages).count() == len(rows) + 1 and urls.judge_urls(pages.limit(0)).collect() == []
 
 
+def test_weighted_table_of_terms_equals_brute_force(spark):
+    rng = np.random.default_rng(7)
+    letters = list("abcdefgh0-")
+    terms = {"".join(rng.choice(letters, rng.integers(2, 5))): float(rng.choice([0.25, 1 / 3, 0.5, 1.0])) for _ in range(2_500)}
+    table = spark.createDataFrame([(t.upper(), w) for t, w in terms.items()] + [(t, 0.1) for t in terms] + [(None, 1.0), ("", 1.0), ("zz", None), ("yy", 0.0)], "term string, weight double")
+    weights = urls.read_vocabulary(table)
+    assert weights == terms and len(terms) > 1_000
+    texts = ["x://h/" + "".join(rng.choice([*letters, "/", "é", "."], rng.integers(0, 25))) for _ in range(400)] + [None, ""]
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id int, url string").repartition(3)
+    got = {r.page_id: r.verdict for r in urls.judge_urls(pages, vocabulary=weights).collect()}
+
+    def score(text):
+        return sum(w for t, w in terms.items() if re.search(rf"(?<![^\W_]){re.escape(t)}(?![^\W_])", text or ""))
+
+    assert got == {i: "block" if score(t) >= 1 - 1e-6 else "allow" for i, t in enumerate(texts)}
+    assert set(got.values()) == {"block", "allow"}
+    assert {r.verdict for r in urls.judge_urls(pages, vocabulary={}).collect()} == {"allow"}
+
+
 # secrets
 
 
