@@ -43,7 +43,7 @@ from trendlake.llm.tables import Scratch
 
 COSINE = 0.9
 SIZE = 12  # neighbours that a list holds before it is found saturated
-WIDEST = 64  # neighbours of a class that one descent compares with each other
+WIDEST = 32  # neighbours of a class that one descent compares with each other
 TREES = 4
 LEAF, BLOCK = 1_024, 2_048
 PART = 2_048  # members of a component that one task compares with each other
