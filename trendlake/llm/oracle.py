@@ -59,4 +59,28 @@ QUALITY = JUDGED.replace("{table}", "documents") + """
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND (source IS NULL OR source NOT IN (SELECT source FROM rejected)) AS kept FROM judged"""
 
-ORACLE: dict[str, str] = {"op4_urls": _url_sql(), "op5_exact": EXACT, "op6_quality": QUALITY}
+# CRC-32 of the decimal key bit by bit; runs as islands of equal 16-word windows at each lag.
+RUNS = r"""
+WITH texts AS (SELECT doc_id, doc_id::VARCHAR AS k, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+bits AS (SELECT *, flatten(list_transform(range(1, length(k) + 1), lambda i: [ascii(substr(k, i, 1))::BIGINT, 0, 0, 0, 0, 0, 0, 0])) AS b FROM texts),
+hashed AS (SELECT *, len(w)::BIGINT AS n, xor(list_reduce(list_prepend(4294967295::BIGINT, b),
+             lambda c, e: xor(xor(c, e) >> 1, 3988292384::BIGINT * (xor(c, e) & 1))), 4294967295::BIGINT) AS h FROM bits),
+placed AS (SELECT doc_id, w, n, h, CASE WHEN n > 0 THEN (h // 10) % n ELSE 0 END AS a FROM hashed),
+plan AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM placed),
+made AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 THEN list_transform(range(0, n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) ELSE w END AS w FROM plan),
+grams AS (SELECT doc_id, i, array_to_string(w[i + 1:i + 16], ' ') AS g FROM (SELECT doc_id, w, unnest(range(0, n - 15)) AS i FROM made)),
+pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.g = y.g AND x.i < y.i),
+numbered AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs),
+stretches AS (SELECT doc_id, q, min(i) AS s, max(i) + 16 - min(i) + q AS size FROM numbered GROUP BY doc_id, q, island),
+long AS (SELECT * FROM stretches WHERE size >= greatest(24, 3 * q)),
+runs AS (SELECT * FROM long l WHERE NOT EXISTS (SELECT 1 FROM long o WHERE o.doc_id = l.doc_id AND o.q < l.q AND l.q % o.q = 0 AND o.s <= l.s AND o.s + o.size >= l.s + l.size)),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || size || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM runs GROUP BY 1),
+best AS (SELECT doc_id, s, size, q FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY size::DOUBLE / q DESC, s, q) AS r FROM runs) WHERE r = 1),
+words AS (SELECT doc_id, unnest(range(0, n)) AS i, unnest(w) AS word FROM made),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + size)) AS i FROM runs),
+rest AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS body FROM words x WHERE NOT EXISTS (SELECT 1 FROM gone y WHERE y.doc_id = x.doc_id AND y.i = x.i) GROUP BY 1)
+SELECT m.doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, size AS length, q AS period, 1000 * size // q AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
+FROM made m LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN rest USING (doc_id)"""
+
+ORACLE: dict[str, str] = {"op4_urls": _url_sql(), "op5_exact": EXACT, "op6_quality": QUALITY, "op11_runs": RUNS}
