@@ -83,4 +83,18 @@ SELECT m.doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, size AS length, q AS
        sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
 FROM made m LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN rest USING (doc_id)"""
 
-ORACLE: dict[str, str] = {"op4_urls": _url_sql(), "op5_exact": EXACT, "op6_quality": QUALITY, "op11_runs": RUNS}
+# All pairs and the closure of their links.
+NEIGHBOURS = """
+WITH RECURSIVE rows_ AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+sized AS (SELECT vec_id, e, len(e) AS width, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM rows_
+          WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+known AS (SELECT vec_id, width, list_transform(e, lambda x: x / norm) AS u FROM sized WHERE norm > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM known a JOIN known b ON a.width = b.width AND a.vec_id <> b.vec_id
+          WHERE list_inner_product(a.u, b.u) >= 0.9),
+reach(node, root) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.node),
+least AS (SELECT node, min(root) AS component_id FROM reach GROUP BY 1),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON node = vec_id LEFT JOIN degree ON a = vec_id"""
+
+ORACLE: dict[str, str] = {"op4_urls": _url_sql(), "op5_exact": EXACT, "op6_quality": QUALITY, "op11_runs": RUNS, "op13_neighbours": NEIGHBOURS}
