@@ -482,8 +482,11 @@ def _piece_terms(t: Tables) -> DataFrame:
 @query
 def substring_terms(t: Tables):
     """Documents that contain each of a long list of terms."""
-    hits = substring.with_terms(t["documents"].select("text"), "text", _piece_terms(t))
-    return hits.groupBy("term").agg(F.count("*").alias("documents"), F.sum(F.length("text")).alias("chars"))
+    def totals(hits: DataFrame) -> DataFrame:
+        return hits.groupBy("term").agg(F.count("*").alias("documents"), F.sum("chars").alias("chars"))
+
+    docs = t["documents"].select("text", F.length("text").alias("chars"))
+    return substring.per_term(docs, "text", _piece_terms(t), totals)
 
 
 @query

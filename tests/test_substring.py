@@ -1,9 +1,13 @@
 import random
+from collections import Counter
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from trendlake.operators import substring
+from trendlake.operators import substring, windows
 from trendlake.operators.keywords import keyword_means
+from trendlake.operators.search import search_by_keywords
 from trendlake.operators.trends import match_words
 
 
@@ -61,3 +65,55 @@ def test_no_terms_and_no_texts(spark, texts):
     assert substring.with_terms(texts, "body", none).count() == 0
     assert substring.with_terms(texts, "body", none, -1).count() == 0
     assert substring.with_terms(texts.limit(0), "body", spark.createDataFrame([("a",)], "term string"), 0).count() == 0
+
+
+def counted(hits):
+    return hits.groupBy("term").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
+
+
+def test_per_term_equals_brute_force_by_either_way(spark, texts):
+    terms = spark.createDataFrame([(t,) for t in [*TERMS, "a", "abc"]], "term string")
+    pairs = brute(texts.collect(), TERMS)
+    wanted = {t: (sum(1 for _, x in pairs if x == t), sum(i for i, x in pairs if x == t)) for t in {t for _, t in pairs}}
+    for few in (64, 0):
+        got = substring.per_term(texts.select("id", "body"), "body", terms, counted, few).collect()
+        assert len(got) == len(wanted) and {r.term: (r.n, r.ids) for r in got} == wanted
+
+
+def test_long_terms_and_places_across_chunks(spark, monkeypatch):
+    rng = random.Random(3)
+    bodies = ["".join(rng.choice("abcé ") for _ in range(rng.randint(0, 300))) for _ in range(60)]
+    terms = sorted({b[i : i + n] for b in bodies for n in (1, 2, 3, 4, 5, 8, 9, 17, 40, 250) for i in (0, 7, 33) if len(b) >= i + n} | {"absent" * 9})
+    monkeypatch.setattr(windows, "CHUNK", 64)
+    listed = pa.array(terms)
+    kinds = windows.kinds_of(dict(Counter(len(t.encode()) for t in terms)))
+    held = windows.Listed(kinds)
+    for kind, bit in zip(*windows.bits_of(listed, kinds), strict=True):
+        held.maps[kind][bit >> 3] |= 1 << (bit & 7)
+    offsets, strings = held.find(pa.array(bodies))
+    found = [s.decode("utf-8", "replace") for s in strings.to_pylist()]
+    for body, a, b in zip(bodies, offsets[:-1], offsets[1:], strict=True):
+        own = found[a:b]
+        assert len(own) == len(set(own)) and set(terms) & set(own) == {t for t in terms if t in body}
+        assert len(own) <= 1.2 * len(set(terms) & set(own)) + 3
+
+
+def test_a_long_list_of_numbers_gives_few_candidates_and_moves_no_text(spark):
+    terms = spark.range(100_000, 400_000).selectExpr("cast(id AS string) AS term")
+    docs = spark.range(200).selectExpr("id", "concat_ws(' x', transform(sequence(0, 20), i -> lpad(hash(id, i) % 1000, 3, '0'))) AS body")
+    pairs = substring.occurrences(docs, "body", terms, ["id"]).count()
+    assert pairs <= 200  # by a gram of three digits each text had thousands
+    plan = substring.per_term(docs, "body", terms, counted)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") > plan.index("HashAggregate")
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "body" in line]
+
+
+def test_search_over_a_long_list_equals_one_over_short_lists(spark):
+    recipes = spark.range(500).selectExpr("id", "concat('dish ', id % 90, ' of ', id % 7) AS title", "cast(hash(id) % 9 AS double) AS score")
+    words = [str(i) for i in range(90)] + ["dish", "OF", "sh 1", "absent", ""]
+    longer = search_by_keywords(spark.createDataFrame([(w,) for w in words], "term string"), recipes, ["title"], 4, "score").collect()
+    short = [
+        row for i in range(0, len(words), 40)
+        for row in search_by_keywords(spark.createDataFrame([(w,) for w in words[i : i + 40]], "term string"), recipes, ["title"], 4, "score").collect()
+    ]
+    assert sorted(longer) == sorted(short) and len(longer) > 300

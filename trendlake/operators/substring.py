@@ -1,11 +1,11 @@
 """Which terms of a list occur in which texts, as substrings, for lists of any length.
 
 A list of up to ``FEW`` terms becomes a constant and every text is searched for it in place:
-nothing is shuffled. A longer one is joined by character 3-grams: the texts' grams are
-counted, every term is indexed by the one that the fewest texts have, an equi-join gives
-candidates, and ``contains`` decides. Terms of one or two characters are their own gram, and
-texts give grams of that length only where such terms are listed. Candidates carry a hash of
-the text, so equal texts are one candidate and no text is moved before it has one.
+nothing is shuffled. A longer one is made into bitmaps of bounded size
+(:mod:`trendlake.operators.windows`), by which each task reads the listed strings off its texts,
+whatever their number: all of them, and few others, which an equi-join with the list drops. No
+text is moved and no place of a text is compared with several terms. What is wanted for each term
+alone, such as counts, is aggregated before that join (:func:`per_term`).
 
 Defined results: null texts contain nothing; null and empty terms are in no text; a term that
 is listed twice matches twice.
@@ -13,13 +13,19 @@ is listed twice matches twice.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row
+from collections.abc import Callable, Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from trendlake.operators import windows
 from trendlake.session import written_once
 
 FEW = 64
-GRAM = 3
+_PART = 15  # logarithm of the bits of one part of a bitmap
 
 
 def few_rows(terms: DataFrame, few: int = FEW) -> list[Row] | None:
@@ -28,40 +34,82 @@ def few_rows(terms: DataFrame, few: int = FEW) -> list[Row] | None:
     return rows if len(rows) <= few else None
 
 
-def grams(text: Column, size: int) -> Column:
-    """The distinct runs of ``size`` characters; they are read where a lookahead matches, which is everywhere."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)))
-
-
-def _text_grams(texts: DataFrame, text: str, listed: DataFrame) -> DataFrame:
-    """(hash, gram) of every text: its 3-grams, and shorter ones where a term is that short."""
-    none = F.array().cast("array<string>")
-    short = [listed.agg(F.count_if(F.length("term") == n) > 0).scalar() for n in range(1, GRAM)]
-    shorter = [F.when(there, grams(F.col(text), n)).otherwise(none) for n, there in enumerate(short, 1)]
-    return texts.select("_hash", F.explode(F.concat(grams(F.col(text), GRAM), *shorter)).alias("gram"))
-
-
-def _index(found: DataFrame, listed: DataFrame) -> DataFrame:
-    """(gram, term): each term under its rarest gram; a term with a gram that no text has is left out."""
-    own = listed.select("term", F.explode(F.when(F.length("term") < GRAM, F.array("term")).otherwise(grams(F.col("term"), GRAM))).alias("gram"))
-    counted = found.join(own.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
-    number = F.coalesce("n", F.lit(0))
-    best = own.join(counted, "gram", "left").groupBy("term").agg(F.min(F.struct(number.alias("n"), "gram")).alias("best"))
-    return best.filter("best.n > 0").select("best.gram", "term")
+def listed_windows(listed: DataFrame) -> windows.Listed:
+    """The bitmaps of a table of terms; they have a greatest size, and only they reach the driver."""
+    counts = {r["n"]: r["count"] for r in listed.groupBy(F.octet_length("term").alias("n")).count().collect()}
+    kinds = windows.kinds_of({n: count for n, count in counts.items() if n})
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in windows.slices(batch, "term"):
+                kind, bit = windows.bits_of(piece.column("term"), kinds)
+                columns = [kind.astype(np.int32), (bit >> _PART).astype(np.int32), bit & ((1 << _PART) - 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["kind", "part", "bit"])
+
+    held = windows.Listed(kinds)
+    parts = listed.select("term").mapInArrow(bits, "kind int, part int, bit long").groupBy("kind", "part")
+    for row in parts.agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():
+        start = row["part"] << (_PART - 3)
+        held.maps[row["kind"]][start : start + len(row["bits"])] = np.frombuffer(row["bits"], np.uint8)
+    return held
+
+
+def occurrences(df: DataFrame, text: str, listed: DataFrame, carry: Sequence[str], first: int | None = None) -> DataFrame:
+    """Each row's carried columns with each listed ``term`` of its text, as bytes, and with few strings that are not listed.
+
+    With ``first`` a term is given only for that many rows of a batch, the first that hold it.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(listed_windows(listed))
+    row = F.struct(*(F.col(c) for c in carry)) if carry else F.lit(0)
+    narrow = df.select(row.alias("row"), F.col(text).alias("text"))
+    schema = T.StructType([narrow.schema["row"], T.StructField("terms", T.ArrayType(T.BinaryType()))])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in windows.slices(batch, "text"):
+                offsets, strings = shared.value.find(piece.column("text"), first)
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), strings)
+                yield pa.RecordBatch.from_arrays([piece.column("row"), lists], ["row", "terms"])
+
+    found = narrow.mapInArrow(find, schema)
+    return found.select(*(F.col("row")[c].alias(c) for c in carry), F.explode("terms").alias("term"))
+
+
+def per_term(
+    df: DataFrame, text: str, terms: DataFrame, work: Callable[[DataFrame], DataFrame], few: int = FEW, first: int | None = None
+) -> DataFrame:
+    """``work`` on the rows of ``df`` (without the text) with each different ``term`` their text contains.
+
+    ``work`` must treat each term by itself and keep the column; with a long list it comes
+    first and strings that are not listed are dropped from its result. Where it needs no more
+    than the ``first`` rows of each term, and every partition of ``df`` is in that order, rows
+    beyond them are left out early.
+    """
+    others, different = [c for c in df.columns if c != text], terms.select("term").distinct()
+    if few_rows(different, few) is not None:
+        return work(with_terms(df, text, different, few).select(*others, "term"))
+    listed = written_once(different.filter("term <> ''"))
+    done = work(occurrences(df, text, listed, others, first))
+    own = listed.select(F.col("term").cast("binary").alias("_bytes"), F.col("term").alias("_term"))
+    names = [F.col("_term").alias("term") if c == "term" else F.col(c) for c in done.columns]
+    return done.join(own.hint("merge"), F.col("term") == F.col("_bytes")).select(*names)  # a long list is not broadcast
 
 
 def with_terms(df: DataFrame, text: str, terms: DataFrame, few: int = FEW) -> DataFrame:
-    """Each row of ``df`` with each row of ``terms`` whose ``term`` its text contains."""
+    """Each row of ``df`` with each row of ``terms`` whose ``term`` its text contains.
+
+    With a long list texts are known by a hash until they are joined back, so that no text is
+    moved once for each of its terms.
+    """
     rows = few_rows(terms, few)
     if rows is not None:
         entry = f"array<struct<{', '.join(f'{f.name}: {f.dataType.simpleString()}' for f in terms.schema)}>>"
         listed = F.array(*(F.struct(*(F.lit(r[c]).alias(c) for c in terms.columns)) for r in rows if r["term"])).cast(entry)
         return df.select(*df.columns, F.inline(F.filter(listed, lambda t: F.contains(F.col(text), t["term"]))))
     stored = written_once(terms.filter("term <> ''"))
-    listed = stored.select("term").distinct()
     hashed = df.withColumn("_hash", F.xxhash64(text))
-    found = _text_grams(hashed, text, listed)
-    candidates = found.join(_index(found, listed), "gram").select("_hash", F.col("term").alias("_term")).distinct()
-    hits = hashed.join(candidates, "_hash").filter(F.contains(text, "_term"))
-    beside = stored.select(F.col("term").alias("_term"), *(F.col(c).alias(f"_of_{c}") for c in terms.columns))
-    return hits.join(beside, "_term").select(*df.columns, *(F.col(f"_of_{c}").alias(c) for c in terms.columns))
+    found = occurrences(hashed, text, stored.select("term").distinct(), ["_hash"]).distinct()
+    beside = stored.select(F.col("term").cast("binary").alias("_bytes"), *(F.col(c).alias(f"_of_{c}") for c in terms.columns))
+    hits = found.join(beside, F.col("term") == F.col("_bytes")).drop("term", "_bytes")
+    joined = hashed.join(hits, "_hash").filter(F.contains(text, "_of_term"))
+    return joined.select(*df.columns, *(F.col(f"_of_{c}").alias(c) for c in terms.columns))
