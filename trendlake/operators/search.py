@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from trendlake.constants import RECIPE_DISPLAY_COLUMNS
 from trendlake.functions.values import fill_text, select_present
-from trendlake.operators.substring import with_terms
+from trendlake.operators.substring import per_term
 
 
 def _best_per_query(hits: DataFrame, number: int) -> DataFrame:
@@ -33,9 +33,13 @@ def search_by_keywords(
     """
     text = F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
     narrow = recipes.select("id", F.col(score).alias("score"), text.alias("_text"))
-    hits = with_terms(narrow, "_text", keywords.select(F.lower("term").alias("term")).distinct())
-    hits = hits.select(F.col("term").alias("query"), "id", "score")
-    return _details(_best_per_query(hits, number), recipes)
+
+    def best(hits: DataFrame) -> DataFrame:
+        return _best_per_query(hits.withColumnRenamed("term", "query"), number).withColumnRenamed("query", "term")
+
+    in_order = narrow.sortWithinPartitions(F.desc_nulls_last("score"), "id")
+    found = per_term(in_order, "_text", keywords.select(F.lower("term").alias("term")), best, first=number)
+    return _details(found.withColumnRenamed("term", "query"), recipes)
 
 
 def as_list(df: DataFrame, column: str) -> Column:
