@@ -18,7 +18,7 @@ from trendlake.functions.text import bigrams_of, tokens_of, word_tokens
 from trendlake.functions.values import half_up, sentiment_label
 from trendlake.functions.vectors import cosine
 from trendlake.operators.longform import long_rows, story_row
-from trendlake.operators.substring import with_terms
+from trendlake.operators.substring import per_term
 
 DOCUMENT_MARK = ""
 SCORES_SCHEMA = "term string, total bigint, score double"
@@ -192,13 +192,14 @@ def top_bigrams(df: DataFrame, text: str, run_ts: datetime, top_n: int = 15) ->
 
 def keyword_means(scored: DataFrame, text: str, terms: DataFrame, whole_words: bool = False) -> DataFrame:
     """``term`` and mean score of the documents containing it, for a list of any length."""
-    listed = terms.select("term").distinct()
+
+    def means(pairs: DataFrame) -> DataFrame:
+        return pairs.groupBy("term").agg(F.avg("compound_score").alias("mean"), F.count("*").alias("documents"))
+
     if whole_words:
         words = scored.select(F.explode(F.array_distinct(tokens_of(F.col(text)))).alias("term"), "compound_score")
-        pairs = words.join(listed, "term")
-    else:
-        pairs = with_terms(scored.select(text, "compound_score"), text, listed)
-    return pairs.groupBy("term").agg(F.avg("compound_score").alias("mean"), F.count("*").alias("documents"))
+        return means(words.join(terms.select("term").distinct(), "term"))
+    return per_term(scored.select(text, "compound_score"), text, terms, means)
 
 
 def keyword_sentiment(
