@@ -113,3 +113,26 @@ def test_sequences_and_masks_are_views_at_known_places(tmp_path):
     assert np.shares_memory(shard.sequence(3), shard.flat[0])
     assert not shard.sequence(3).flags.owndata
     assert (np.concatenate(list(shard.ids(2_040, 20))) == ids[2_040:2_060]).all()
+
+
+def test_strings_and_ids_of_a_batch_are_made_in_parts(monkeypatch):
+    path = public_tokenizers.path(bpe.WORD_BPE)
+    vocabulary, lexicon, seen = bpe.vocabulary(path), _Nothing(), []
+    texts = pa.array([" ".join(f"word{i * j % 997}<|endoftext|>" if i % 9 == 0 else f"été{i * j % 613}," for j in range(50)) for i in range(40)] + [""])
+    whole = bpe.encode_texts(vocabulary, lexicon, texts)
+    monkeypatch.setattr(bpe, "PIECES", 100)
+    monkeypatch.setattr(bpe, "GATHER", 37)
+    one = bpe.encode_pieces
+    monkeypatch.setattr(bpe, "encode_pieces", lambda *a: (seen.append(len(a[2])), one(*a))[1])
+    parts = bpe.encode_texts(vocabulary, lexicon, texts)
+    assert max(seen) <= 100 < sum(seen) and parts[1].dtype == np.int32
+    assert all(np.array_equal(a, b) for a, b in zip(whole, parts, strict=True))
+    none = bpe.encode_texts(vocabulary, lexicon, pa.array(["", " "]))
+    assert none[0].tolist() == [0, 0, 0] and not len(none[1])
+
+
+class _Nothing:
+    """A lexicon without words."""
+
+    def look_up(self, words):
+        return np.zeros(len(words), bool), np.zeros(0, np.int64), np.zeros(0, np.int64)

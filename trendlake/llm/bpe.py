@@ -41,6 +41,8 @@ WORD_BPE = "word_bpe_49k.json"
 LEXICON_WORDS = 65_536
 LEXICON_WORD = 256  # bytes of the longest word of a lexicon
 SLICE = 6 << 20
+PIECES = 1 << 15  # different pieces that are cut into words at once
+GATHER = 1 << 17  # occurrences of words whose ids are written at once
 PLAIN_BELOW = 0x250  # code points that are stable under NFC and whose classes do not differ between Unicode versions
 
 
@@ -140,13 +142,24 @@ def encode_pieces(bpe: WordBpe, lexicon: Lexicon, pieces: list[str]) -> tuple[np
 
 
 def encode_texts(bpe: WordBpe, lexicon: Lexicon, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets of each text's ids, and the ids of all texts."""
+    """Offsets of each text's ids, and the ids of all texts.
+
+    Python's strings and the ids take much more memory than the text, so both are made a
+    part at a time.
+    """
     words = Words(texts)
-    lengths, ids = encode_pieces(bpe, lexicon, words.distinct.to_pylist())
+    parts = [(np.zeros(0, np.int64), np.zeros(0, np.int32))]
+    for first in range(0, len(words.distinct), PIECES):
+        sizes, ids = encode_pieces(bpe, lexicon, words.distinct.slice(first, PIECES).to_pylist())
+        parts.append((sizes, ids.astype(np.int32)))
+    lengths, ids = map(np.concatenate, zip(*parts, strict=True))
     starts = np.cumsum(lengths) - lengths
-    sizes = lengths[words.codes]
-    ends = np.concatenate([[0], np.cumsum(sizes)])
-    return ends[words.offsets], ids[ragged(starts[words.codes], sizes)]
+    ends = np.concatenate([[0], np.cumsum(lengths[words.codes])])
+    out = np.empty(int(ends[-1]), np.int32)
+    for first in range(0, len(words.codes), GATHER):
+        codes = words.codes[first : first + GATHER]
+        out[ends[first] : ends[first + len(codes)]] = ids[ragged(starts[codes], lengths[codes])]
+    return ends[words.offsets], out
 
 
 def word_counts(docs: DataFrame, text: str, path: str) -> DataFrame:
@@ -156,9 +169,13 @@ def word_counts(docs: DataFrame, text: str, path: str) -> DataFrame:
         bpe = vocabulary(path)
         words = Words(text_column(batch, text))
         times = np.bincount(words.codes, minlength=len(words.distinct))
-        parts = [[p for p in bpe.pieces(x) if isinstance(p, str)] for x in words.distinct.to_pylist()]
-        flat = pa.array([p for x in parts for p in x], pa.string()).dictionary_encode()
-        weight = np.repeat(times, [len(x) for x in parts])
+        numbers, found = [], [pa.array([], pa.string())]
+        for first in range(0, len(words.distinct), PIECES):
+            parts = [[p for p in bpe.pieces(x) if isinstance(p, str)] for x in words.distinct.slice(first, PIECES).to_pylist()]
+            numbers.extend(map(len, parts))
+            found.append(pa.array([p for x in parts for p in x], pa.string()))
+        flat = pa.concat_arrays(found).dictionary_encode()
+        weight = np.repeat(times, numbers)
         total = np.bincount(flat.indices.to_numpy(zero_copy_only=False), weights=weight, minlength=len(flat.dictionary))
         return pa.RecordBatch.from_arrays([flat.dictionary, pa.array(total.astype(np.int64))], ["word", "n"])
 
@@ -202,7 +219,7 @@ def encode(docs: DataFrame, lexicon: str, key: str = "doc_id", text: str = "text
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         offsets, ids = encode_texts(vocabulary(path), mapped(lexicon), text_column(batch, text))
-        lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))
+        lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
         return pa.RecordBatch.from_arrays([batch.column(key), lists], [key, "ids"])
 
     return map_batches(docs.select(key, text), text, run, schema, SLICE)
@@ -219,7 +236,7 @@ def digests(docs: DataFrame, lexicon: str, key: str = "doc_id", text: str = "tex
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         bpe = vocabulary(path)
         offsets, ids = encode_texts(bpe, mapped(lexicon), text_column(batch, text))
-        ids = ids.astype("<u4")
+        ids = ids.astype("<u4", copy=False)
         own = [ids[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         columns = [
             batch.column(key), pa.array(np.diff(offsets)),
