@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import datetime
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -18,7 +22,7 @@ from trendlake.functions.text import bigrams_of, tokens_of, word_tokens
 from trendlake.functions.values import half_up, sentiment_label
 from trendlake.functions.vectors import cosine
 from trendlake.operators.longform import long_rows, story_row
-from trendlake.operators.substring import per_term
+from trendlake.operators.substring import few_rows, per_term
 
 DOCUMENT_MARK = ""
 SCORES_SCHEMA = "term string, total bigint, score double"
@@ -35,17 +39,29 @@ def corpus_words(df: DataFrame, text: str) -> DataFrame:
     return df.filter(F.trim(text) != "").select(word_tokens(F.col(text)).alias("words"))
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, total, documents) of each batch of ``words``, and a row of the empty term that counts its documents."""
+    for batch in batches:
+        lists = pc.fill_null(batch.column("words"), [])
+        coded = lists.flatten().dictionary_encode()
+        terms, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        owners = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+        once = pd.unique(owners * max(len(terms), 1) + codes) % max(len(terms), 1)
+        columns = [
+            pa.concat_arrays([terms, pa.array([DOCUMENT_MARK], pa.string())]),
+            *(pa.array(np.append(np.bincount(x, minlength=len(terms)), len(lists))) for x in (codes, once)),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["term", "total", "documents"])
+
+
 def vocabulary(words: DataFrame, max_features: int) -> DataFrame:
     """The most frequent terms with their ``total`` and ``documents``; equal totals in term order.
 
-    The first row has the empty term and counts all documents. A term's first place in
-    a document's sorted words counts the document, so one grouping gives both numbers.
+    The first row has the empty term and counts all documents. Both numbers are counted in
+    each batch first, so one grouping of few rows adds them up.
     """
-    ordered = words.select(F.array_sort("words").alias("w"))
-    places = F.transform("w", lambda term, i: F.struct(term.alias("term"), ((i == 0) | (F.get("w", i - 1) != term)).alias("first")))
-    mark = F.array(F.struct(F.lit(DOCUMENT_MARK).alias("term"), F.lit(True).alias("first")))
-    counted = ordered.select(F.inline(F.concat(mark, places))).groupBy("term").agg(
-        F.count("*").alias("total"), F.count_if("first").alias("documents")
+    counted = words.mapInArrow(_counted, "term string, total long, documents long").groupBy("term").agg(
+        F.sum("total").alias("total"), F.sum("documents").alias("documents")
     )
     return counted.orderBy(F.col("term") != DOCUMENT_MARK, F.desc("total"), "term").limit(max_features + 1)
 
@@ -197,8 +213,12 @@ def keyword_means(scored: DataFrame, text: str, terms: DataFrame, whole_words: b
         return pairs.groupBy("term").agg(F.avg("compound_score").alias("mean"), F.count("*").alias("documents"))
 
     if whole_words:
-        words = scored.select(F.explode(F.array_distinct(tokens_of(F.col(text)))).alias("term"), "compound_score")
-        return means(words.join(terms.select("term").distinct(), "term"))
+        listed, own = terms.select("term").distinct(), tokens_of(F.col(text))
+        rows = few_rows(listed)
+        if rows is not None:  # only words that are listed become rows
+            wanted = F.array(*(F.lit(r["term"]) for r in rows if r["term"])).cast("array<string>")
+            return means(scored.select(F.explode(F.array_intersect(own, wanted)).alias("term"), "compound_score"))
+        return means(scored.select(F.explode(F.array_distinct(own)).alias("term"), "compound_score").join(listed, "term"))
     return per_term(scored.select(text, "compound_score"), text, terms, means)
 
 
