@@ -175,3 +175,13 @@ def test_newest_day_of_each_source(spark):
     rows = [("a", date(2026, 5, 1), "x"), ("a", date(2026, 5, 2), "y"), ("a", date(2026, 5, 2), "z"), ("b", date(2026, 4, 1), "w"), ("c", None, "v"), (None, date(2026, 1, 1), "u")]
     got = partitions.newest_of_each(spark.createDataFrame(rows, "source string, dt date, path string"))
     assert sorted(r.path for r in got.collect()) == ["u", "w", "y", "z"]
+
+
+def test_table_summary_counts_tables_and_files_without_rows(spark, tmp_path):
+    spark.range(10).repartition(2).write.parquet(str(tmp_path / "two"))
+    spark.range(0).coalesce(1).write.parquet(str(tmp_path / "none"))
+    spark.range(0).coalesce(1).write.mode("append").parquet(str(tmp_path / "two"))
+    tables = {name: spark.read.parquet(str(tmp_path / name)) for name in ("two", "none")}
+    from trendlake.sources.partitions import table_summary
+
+    assert {r["table"]: (r["rows"], r["files"]) for r in table_summary(tables).collect()} == {"two": (10, 3), "none": (0, 1)}

@@ -122,10 +122,9 @@ def latest_file(files: DataFrame, by: str = "modified") -> DataFrame:
 
 
 def table_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """``table``, ``rows`` and ``files`` of scanned tables; files are counted by task first, no column is read."""
-    paths = [df.select(F.lit(name).alias("table"), F.col("_metadata.file_path").alias("_file")) for name, df in tables.items()]
-    per_file = reduce(DataFrame.unionAll, paths).groupBy("table", "_file").agg(F.count("*").alias("_n"))
-    return per_file.groupBy("table").agg(F.sum("_n").alias("rows"), F.count("*").alias("files"))
+    """``table``, ``rows`` and ``files`` of scanned tables; no column is read. Tables and files without rows count as well."""
+    counts = [df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows", F.lit(len(df.inputFiles())).cast("long").alias("files")) for name, df in tables.items()]
+    return reduce(DataFrame.unionAll, counts)
 
 
 def freshness(files: DataFrame) -> DataFrame:
