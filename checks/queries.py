@@ -298,7 +298,7 @@ def sentiment_large_lexicon(t: Tables):
     articles = t.stored_articles()
     words = articles.select(F.explode(text.tokens_of(F.col(TEXT))).alias("token")).distinct()
     length = F.length("token")
-    lexicon = words.filter(length % 3 != 0).withColumn("valence", ((length * 7) % 41 - 20) / F.lit(4.0))
+    lexicon = written_once(words.filter(length % 3 != 0).withColumn("valence", ((length * 7) % 41 - 20) / F.lit(4.0)))
     scored = add_sentiment(articles, TEXT, lexicon, boosters=q.BOOSTERS, negations=q.NEGATIONS, limit=1_000)
     return scored.select("article_id", "compound_score", "sentiment_label")
 

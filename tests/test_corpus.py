@@ -69,6 +69,22 @@ def test_sentiment_is_the_same_at_any_lexicon_size(spark):
     assert few[2].compound_score == 0.0
 
 
+def test_large_lexicon_moves_each_word_of_a_group_once(spark, monkeypatch):
+    """Texts in several groups score as with a constant lexicon; no row is made for each place of a word."""
+    monkeypatch.setattr(sentiment, "GROUP_LETTERS", 2_000)
+    rng = np.random.default_rng(5)
+    words = [*LEXICON, *BOOSTERS, *NEGATIONS, "least", "at", "very", "other", "Straße", "日本"]
+    gaps = [" ", " ", "  ", "\t", "\n "]
+    texts = ["".join(w + rng.choice(gaps) for w in rng.choice(words, rng.integers(0, 40))) for _ in range(300)]
+    odd = [(t,) for t in [*texts, *texts[:50], "\t", "\tgreat", " bad ", "least great", "at least great", None, "", "great " * 900]]
+    df = spark.createDataFrame(odd, "clean string")
+    for listed in (LEXICON, {**LEXICON, "least": -0.3, "to": 1.3, "not": -0.6, "": 0.7}):
+        lexicon = spark.createDataFrame(list(listed.items()), "token string, valence double")
+        few, many = (sentiment.add_sentiment(df, "clean", lexicon, BOOSTERS, NEGATIONS, limit=n) for n in (100, 2))
+        assert Counter(map(tuple, many.collect())) == Counter(map(tuple, few.collect()))
+        assert "Generate" not in many._jdf.queryExecution().toString()
+
+
 def test_sentiment_rules(spark):
     lexicon = spark.createDataFrame([("great", 3.1), ("bad", -2.5)], "token string, valence double")
     cases = [
