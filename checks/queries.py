@@ -392,13 +392,13 @@ def frequency_keywords(t: Tables):
 
 @query
 def top_bigrams(t: Tables):
-    return facts(keywords.top_bigrams(t.articles(), TEXT, q.RUN_TS))
+    return facts(keywords.top_bigrams(written_once(t.articles().select(TEXT)), TEXT, q.RUN_TS))
 
 
 @query
 def conversation_bigrams(t: Tables):
     turns = t["conversations"].select(text.clean_text(F.col("text"), []).alias("clean"))
-    return keywords.ranked(keywords.bigram_counts(turns, "clean"), 50, "n")
+    return keywords.frequent_bigrams(written_once(turns), "clean", 50)
 
 
 @query

@@ -186,6 +186,26 @@ def test_bigrams(docs, spark):
     assert [r.dimension_value for r in rows] == ["1", "2", "3"]
 
 
+def test_top_bigrams_leave_rare_pairs_where_they_are(spark, monkeypatch):
+    """The best pairs come out exact without a count of all pairs, whether they lie in few texts or in many."""
+    rng = np.random.default_rng(3)
+    rare = [" ".join(f"w{i}" for i in rng.integers(0, 5_000, 200)) for _ in range(150)]
+    often = [f"{t} common pair here common pair" if i % 2 else f"{t}  second pair " for i, t in enumerate(rare)]
+    lone = " ".join(["single text"] * 130)
+    df = spark.createDataFrame([(t,) for t in [*often, lone, None, "", "\todd", "a b " * 300]], "clean string").repartition(3)
+    want = keywords.ranked(keywords.bigram_counts(df, "clean"), 4, "n").collect()
+    assert [tuple(r) for r in want][:2] == [("common pair", 150, 1), ("single text", 130, 2)]
+    flat = df.filter("clean like 'w%'").select(F.regexp_replace("clean", " (common|second) .*", "").alias("clean"))
+    flat_want = keywords.ranked(keywords.bigram_counts(flat, "clean"), 4, "n").collect()
+    assert keywords.frequent_bigrams(flat, "clean", 4, 6, 3_000, 100).collect() == flat_want  # no pair stands out: all are counted
+    assert keywords.frequent_bigrams(df, "clean", 4).collect() == want  # small parts leave nothing out
+    counted = keywords._common_pairs(df.select(text.tokens_of(F.col("clean")).alias("words")), 6, 3_000, 1_000)
+    assert counted.count() < 3_000 < keywords.bigram_counts(df, "clean").count()
+    monkeypatch.delattr(keywords, "bigram_counts")
+    assert keywords.frequent_bigrams(df, "clean", 2, 6, 3_000, 1_000).collect() == want[:2]
+    assert keywords.frequent_bigrams(df.limit(0), "clean", 2).count() == 0
+
+
 def test_keyword_sentiment_substring_and_whole_word(spark):
     scored = spark.createDataFrame([("hot pizzas", 0.5), ("pizza", -0.1), ("tea", 0.0)], "clean string, compound_score double")
     terms = spark.createDataFrame([(1, "pizza", 1.0), (2, "none", 1.0)], "rank int, term string, score double")

@@ -25,6 +25,8 @@ from trendlake.operators.longform import long_rows, story_row
 from trendlake.operators.substring import few_rows, per_term
 
 DOCUMENT_MARK = ""
+PART_WORDS, PART_SHARE = 4 << 20, 1 << 18
+CANDIDATES = 10_000
 SCORES_SCHEMA = "term string, total bigint, score double"
 
 
@@ -200,8 +202,115 @@ def bigram_counts(df: DataFrame, text: str, min_length: int = 6) -> DataFrame:
     return joined.groupBy("term").agg(F.count("*").alias("n"))
 
 
+def _parts(batches: Iterator[pa.RecordBatch], part_words: int) -> Iterator[pa.Array]:
+    """The lists of ``words`` of all batches, about ``part_words`` words at a time (one list at least)."""
+    held, size = [], 0
+    for batch in batches:
+        lists, start = batch.column("words"), 0
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False), dtype=np.int64)
+        while start < len(lists):
+            base = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, base + part_words - size, side="right")))
+            held.append(lists.slice(start, stop - start))
+            size += ends[stop - 1] - base
+            if stop < len(lists) or size >= part_words:
+                yield pa.concat_arrays(held)
+                held, size = [], 0
+            start = stop
+    if held:
+        yield pa.concat_arrays(held)
+
+
+def _neighbours(lists: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different words of some lists, and the codes of the left and the right word of each pair."""
+    coded = lists.flatten().dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    followed = np.ones(len(codes), bool)
+    followed[np.cumsum(sizes)[sizes > 0] - 1] = False
+    left = np.flatnonzero(followed)
+    return coded.dictionary, codes[left], codes[left + 1]
+
+
+def _common_pairs(words: DataFrame, min_length: int, part_words: int, part_share: int) -> DataFrame:
+    """``term``, ``n`` and ``rest`` of the pairs that are common in some part of the texts.
+
+    A part gives the pairs that make up more than one in ``part_share`` of its own, so it gives a
+    bounded number of rows. ``n`` counts a pair in those parts; ``rest`` is how often the parts
+    that give it could have left out another one. The row without a term has the ``rest`` of all parts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lists in _parts(batches, part_words):
+            terms, left, right = _neighbours(lists)
+            lengths, size = pc.utf8_length(terms).to_numpy(zero_copy_only=False), max(len(terms), 1)
+            pairs = (left * size + right)[lengths[left] + lengths[right] + 1 >= min_length]
+            found, n = np.unique(pairs, return_counts=True)
+            rest = len(pairs) // part_share
+            first, second = np.divmod(found[n > rest], size)
+            joined = pc.binary_join_element_wise(terms.take(pa.array(first)), terms.take(pa.array(second)), " ")
+            columns = [
+                pa.concat_arrays([joined, pa.nulls(1, pa.string())]),
+                pa.array(np.append(n[n > rest], 0)), pa.array(np.full(len(first) + 1, rest)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["term", "n", "rest"])
+
+    counted = words.mapInArrow(run, "term string, n long, rest long")
+    return counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("rest").alias("rest"))
+
+
+def _listed_pairs(words: DataFrame, listed: Sequence[str], part_words: int) -> DataFrame:
+    """``term`` and ``n`` of a bounded list of pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        halves = [term.split(" ", 1) for term in listed]
+        own = pa.array(sorted({word for pair in halves for word in pair}), pa.string())
+        wanted = pc.index_in(pa.array([a for a, _ in halves], pa.string()), value_set=own).to_numpy().astype(np.int64) * len(own)
+        wanted += pc.index_in(pa.array([b for _, b in halves], pa.string()), value_set=own).to_numpy()
+        order = np.argsort(wanted)
+        for lists in _parts(batches, part_words):
+            terms, left, right = _neighbours(lists)
+            place = pc.fill_null(pc.index_in(terms, value_set=own), -1).to_numpy().astype(np.int64)
+            both = np.flatnonzero(place[left] >= 0)
+            both = both[place[right[both]] >= 0]
+            found, n = np.unique(place[left[both]] * len(own) + place[right[both]], return_counts=True)
+            kept = np.isin(found, wanted)
+            at = order[np.searchsorted(wanted, found[kept], sorter=order)]
+            yield pa.RecordBatch.from_arrays([pa.array([listed[i] for i in at], pa.string()), pa.array(n[kept])], ["term", "n"])
+
+    return words.mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+
+
+def frequent_bigrams(
+    df: DataFrame, text: str, top_n: int, min_length: int = 6, part_words: int = PART_WORDS, part_share: int = PART_SHARE
+) -> DataFrame:
+    """The ``top_n`` most frequent pairs of neighbouring words, with ``n`` and ``rank``; exact, equal counts in term order.
+
+    A pair that a part of the texts leaves out is there at most ``rest`` times, so what a pair can have in
+    all is known. Only pairs that can reach the last place are counted again, unless no part
+    left one of them out. Where that bound does not tell, as when no pair is much more frequent
+    than others, all pairs are counted. Reads ``df`` up to twice.
+    """
+    words = df.select(tokens_of(F.col(text)).alias("words"))
+    common = _common_pairs(words, min_length, part_words, part_share)
+    order = [F.col("term").isNotNull(), F.desc(F.col("n") - F.col("rest")), "term"]
+    most = max(CANDIDATES, top_n)
+    mark, *found = common.orderBy(*order).limit(most + 1).collect() or [None]
+    rest = mark["rest"] if mark else 0
+    if rest:
+        last = sorted((r["n"] for r in found), reverse=True)[top_n - 1 : top_n]
+        outside = rest + max(0, found[-1]["n"] - found[-1]["rest"]) if len(found) == most else rest
+        if not last or outside >= last[0]:
+            return ranked(bigram_counts(df, text, min_length), top_n, "n")
+        found = [r for r in found if r["n"] - r["rest"] + rest >= last[0]]
+        if any(r["rest"] < rest for r in found):
+            found = _listed_pairs(words, [r["term"] for r in found], part_words).collect()
+    counts = df.sparkSession.createDataFrame([(r["term"], r["n"]) for r in found], "term string, n long")
+    return ranked(counts, top_n, "n")
+
+
 def top_bigrams(df: DataFrame, text: str, run_ts: datetime, top_n: int = 15) -> DataFrame:
-    best = ranked(bigram_counts(df, text), top_n, "n")
+    best = frequent_bigrams(df, text, top_n)
     row = story_row("top_bigrams", "content", "rank", F.col("rank"), "frequency", F.col("n"), F.col("term"))
     return long_rows(best, [row], run_ts)
 
