@@ -26,7 +26,7 @@ from trendlake.operators.substring import few_rows, per_term
 
 DOCUMENT_MARK = ""
 PART_WORDS, PART_SHARE = 4 << 20, 1 << 18
-CANDIDATES = 10_000
+CANDIDATES = 1_000
 SCORES_SCHEMA = "term string, total bigint, score double"
 
 
