@@ -3,7 +3,9 @@ import re
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -98,5 +100,26 @@ def test_stages_take_an_empty_table(spark):
         assert stage(spark, docs, "").collect() == []
 
 
+def test_workers_get_texts_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    def seen(docs):
+        return docs.select(F.struct("doc_id", "text").alias("row")).mapInArrow(sizes, "rows long, bytes long").collect()
+
+    texts = F.concat(F.col("id").cast("string"), F.repeat(F.lit(" words of a text"), 500)).alias("text")
+    docs = spark.range(4_000, numPartitions=1).select(F.col("id").alias("doc_id"), texts, F.lit("a").alias("source"))
+    for name, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(corpus_pipeline.BATCH)
+        stage(spark, docs.limit(0), "")
+        found = seen(docs)
+        assert sum(r.rows for r in found) == 4_000 and max(r.bytes for r in found) < 1.1 * corpus_pipeline.BATCH_BYTES, name
+    spark.conf.set(corpus_pipeline.BATCH, "1m")
+    corpus_pipeline.quality_rules(spark, docs.limit(0), "")
+    assert spark.conf.get(corpus_pipeline.BATCH) == "1m"  # a session's own limit stays
+    spark.conf.unset(corpus_pipeline.BATCH)
+
+
 def test_run_applies_all_stages(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
